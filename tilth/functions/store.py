@@ -33,11 +33,13 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably and forget its lineage.
+    """Write ``df`` to the shared folder and continue from the written table.
 
-    Used where several later passes would each repeat the same shuffle.
+    Used where several later passes would each repeat the same shuffle.  Unlike
+    cached blocks the table survives lost executors; unlike an RDD checkpoint it
+    is columnar, so later passes read only the columns they use.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint()
+    spark = df.sparkSession
+    path = new_path(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -51,6 +51,19 @@ def _grow(points: np.ndarray, rng: np.random.Generator, depth: int) -> list[tupl
     return nodes
 
 
+def _pack(nodes: pd.DataFrame) -> tuple[np.ndarray, ...]:
+    """Arrays to walk a tree with: a leaf leads to itself and holds its path length."""
+    feature, split = nodes["feature"].to_numpy().copy(), nodes["split"].to_numpy().copy()
+    child, length = nodes["child"].to_numpy().copy(), _path(nodes["size"])
+    level = np.zeros(len(nodes))
+    for i in np.flatnonzero(child >= 0):
+        level[child[i] : child[i] + 2] = level[i] + 1
+    leaves = child < 0
+    feature[leaves], split[leaves] = 0, np.inf
+    child[leaves] = np.flatnonzero(leaves)
+    return feature, split, child, level + length
+
+
 def isolation_scores(
     df: DataFrame,
     columns: Sequence[str],
@@ -65,15 +78,22 @@ def isolation_scores(
     data = nan_to_null(df).select(
         F.col(id_col).alias("id"), *[F.col(c).cast("double").alias(c) for c in columns]
     ).dropna(subset=columns)
-    # The pool holds every tree's sample; its size does not depend on the data.
-    pool = cut(data.orderBy(stable_hash(seed, "id"), "id").limit(trees * sample))
-    w = W.partitionBy("tree").orderBy(stable_hash(seed, "tree", "id"), "id")
-    samples = (
-        pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-        .withColumn("_r", F.row_number().over(w))
-        .filter(F.col("_r") <= sample)
+    # A random permutation is cut into one block per tree, wrapping around on small
+    # tables; what is drawn does not grow with the data.
+    pool = data.orderBy(stable_hash(seed, "id"), "id").limit(trees * sample)
+    numbered = cut(
+        pool.withColumn("_p", F.row_number().over(W.orderBy(stable_hash(seed, "id"), "id")) - 1)
+    )
+    n = numbered.count()
+    used = min(sample, n)
+    if not used:
+        return data.select("id", F.lit(None).cast("double").alias("score"))
+    slots = data.sparkSession.range(trees * used).select(
+        F.floor(F.col("id") / used).cast("int").alias("tree"),
+        (F.col("id") % used).cast("int").alias("_r"),
     )
-    used = min(sample, pool.count())
+    place = ((F.col("tree") * F.lit(sample) + F.col("_r")) % n).cast("int").alias("_p")
+    samples = slots.select("tree", "_r", place).join(numbered, "_p")
     depth = math.ceil(math.log2(max(used, 2)))
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -87,29 +107,21 @@ def isolation_scores(
 
     # At most trees * 2 * sample nodes: bounded by the parameters.
     forest = samples.groupBy("tree").applyInPandas(grow, NODES).toPandas()
-    grown = [t.sort_values("node") for _, t in forest.groupby("tree")]
-    packed = [
-        (t["feature"].to_numpy(), t["split"].to_numpy(), t["child"].to_numpy(), _path(t["size"]))
-        for t in grown
-    ]
+    packed = [_pack(t.sort_values("node")) for _, t in forest.groupby("tree")]
     scale = float(_path(used)) or 1.0
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             x = b[columns].to_numpy()
-            rows = np.arange(len(x))
-            depth_sum = np.zeros(len(x))
-            for feature, split, child, rest in packed:
-                at = np.zeros(len(x), dtype=int)
+            flat, width = x.ravel(), x.shape[1]
+            start = np.arange(len(x)) * width
+            length = np.zeros(len(x))
+            for feature, split, child, leaf in packed:
+                at = np.zeros(len(x), dtype=np.int64)
                 for _ in range(depth):
-                    inner = child[at] >= 0
-                    if not inner.any():
-                        break
-                    r, a = rows[inner], at[inner]
-                    at[inner] = child[a] + (x[r, feature[a]] >= split[a])
-                    depth_sum[inner] += 1
-                depth_sum += rest[at]
-            yield pd.DataFrame({"id": b["id"], "score": 2.0 ** (-depth_sum / (len(packed) * scale))})
+                    at = child[at] + (flat[start + feature[at]] >= split[at])
+                length += leaf[at]
+            yield pd.DataFrame({"id": b["id"], "score": 2.0 ** (-length / (len(packed) * scale))})
 
     id_type = df.schema[id_col].dataType.simpleString()
     return data.mapInPandas(score, f"id {id_type}, score double")

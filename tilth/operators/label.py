@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from datetime import datetime
 
 import numpy as np
 import pandas as pd
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tilth.functions.scalars import is_blank
+from tilth.sources.collect import stamp
 
 THRESHOLD = 0.75
 BATCH = 8
@@ -48,7 +50,7 @@ def auto_label(
     input_col: str | None = None,
     threshold: float = THRESHOLD,
     batch: int = BATCH,
-    labeled_at: Column | None = None,
+    labeled_at: datetime | Column | None = None,
 ) -> DataFrame:
     """Label every row with its best-scoring candidate label.
 
@@ -84,8 +86,8 @@ def auto_label(
             )
 
     scored = df.mapInPandas(score, out).withColumn("confidence", F.round("confidence", 4))
-    at = F.current_timestamp() if labeled_at is None else labeled_at
-    return flag_low_confidence(scored, threshold=threshold, text_col=text_col).withColumn("labeled_at", at)
+    flagged = flag_low_confidence(scored, threshold=threshold, text_col=text_col)
+    return flagged.withColumn("labeled_at", stamp(labeled_at))
 
 
 def centroids(df: DataFrame, vector_col: str, label_col: str) -> DataFrame:

@@ -9,7 +9,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest
+from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.feature import (
     IDF,
     CountVectorizer,
@@ -20,9 +20,10 @@ from pyspark.ml.feature import (
     RegexTokenizer,
     SQLTransformer,
     StringIndexer,
+    VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import SparseVector, Vectors, VectorUDT
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -36,15 +37,15 @@ from tilth.operators.sampling import sample_n
 # Vocabulary size and token pattern of the text features.
 MAX_TERMS = 10_000
 TOKEN = r"(?U)\b\w\w+\b"
+# Rows per task while fitting.
+TRAIN_ROWS = 5_000
 HISTORY = "iteration int, n_labeled long, accuracy double, f1 double, strategy string"
 
 
 @F.pandas_udf(VectorUDT())
-def _sublinear(counts: pd.Series) -> pd.Series:
-    """1 + ln(tf) on the stored entries of sparse count vectors."""
-    return counts.map(
-        lambda v: SparseVector(v.size, v.indices, 1.0 + np.log(v.values)) if len(v.values) else v
-    )
+def _sublinear(counts: pd.DataFrame) -> pd.DataFrame:
+    """1 + ln(tf) on the stored entries of count vectors (Arrow hands a vector over as its fields)."""
+    return counts.assign(values=[1.0 + np.log(v) for v in counts["values"]])
 
 
 @dataclass
@@ -132,8 +133,10 @@ def fit_text_classifier(
             Normalizer(p=2.0, inputCol="_idf", outputCol="_features"),
         ]
     ).fit(tf)
-    train = weights.transform(tf).select("_features", "_y")
     n = tf.count()
+    # The optimiser runs one job per step: few tasks while the rows are few.
+    parts = -(-n // TRAIN_ROWS)
+    train = weights.transform(tf).select("_features", "_y").coalesce(max(parts, 1))
     # Rows are few next to features here; one narrow cache serves all optimiser passes.
     train.persist()
     try:
@@ -146,18 +149,29 @@ def fit_text_classifier(
         if model == "logreg":
             stages = [logreg.fit(train)]
         else:
-            svm = OneVsRest(
-                featuresCol="_features", labelCol="_y", predictionCol="_vote", rawPredictionCol="_margins",
-                classifier=LinearSVC(regParam=1.0 / n, standardization=False, maxIter=100),
-            ).fit(train)
-            calibrate = logreg.copy({logreg.featuresCol: "_margins"}).fit(svm.transform(train))
-            stages = [svm, calibrate]
+            stages = _one_vs_rest(train, len(index.labels), n)
+            margins = PipelineModel(stages=stages).transform(train)
+            stages.append(logreg.copy({logreg.featuresCol: "_margins"}).fit(margins))
         classifier = PipelineModel(stages=[*stages, decode])
     finally:
         train.unpersist()
     return TextClassifier(counter, weights, classifier, list(index.labels))
 
 
+def _one_vs_rest(train: DataFrame, classes: int, n: int) -> list:
+    """One linear SVM per class (one in all for two classes) and their margins as a vector."""
+    wanted = range(classes) if classes > 2 else [1]
+    stages: list = [
+        LinearSVC(
+            featuresCol="_features", labelCol="_is", predictionCol=f"_vote_{i}", rawPredictionCol=f"_margin_{i}",
+            regParam=1.0 / n, standardization=False, maxIter=100,
+        ).fit(train.withColumn("_is", (F.col("_y") == i).cast("double")))
+        for i in wanted
+    ]
+    stages.append(VectorAssembler(inputCols=[f"_margin_{i}" for i in wanted], outputCol="_margins"))
+    return stages
+
+
 def entropy_score(probability: Column | str) -> Column:
     """Shannon entropy of a probability array; higher is less certain."""
     p = F.col(probability) if isinstance(probability, str) else probability

@@ -7,10 +7,12 @@ import struct
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tilth.sources.readers import AUDIO_SUFFIXES, IMAGE_SUFFIXES, stored_files
 
 SAMPLE_FILES = 200
+SIZE = T.StructType([T.StructField("width", T.IntegerType()), T.StructField("height", T.IntegerType())])
 
 
 def image_size(head: bytes | None) -> tuple[int, int] | None:
@@ -77,13 +79,13 @@ def wav_seconds(content: bytes | None) -> float | None:
     return None
 
 
-@F.pandas_udf("struct<width:int,height:int>")
+@F.pandas_udf(SIZE)
 def _sizes(content: pd.Series) -> pd.DataFrame:
     found = [image_size(c) or (None, None) for c in content]
     return pd.DataFrame(found, columns=["width", "height"]).astype("Int32")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _seconds(content: pd.Series) -> pd.Series:
     return content.map(wav_seconds).astype("float64")
 

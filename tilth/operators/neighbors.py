@@ -284,12 +284,12 @@ def impute_knn(
     qb = max(1, -(-queries.count() // block_rows))
     db = max(1, -(-donors.count() // block_rows))
     q = (
-        queries.withColumn("_qi", F.pmod(F.xxhash64("_key"), F.lit(qb)))
-        .withColumn("_di", F.explode(F.sequence(F.lit(0), F.lit(db - 1))).cast("long"))
+        queries.withColumn("_qi", F.pmod(F.xxhash64("_key"), F.lit(qb)).cast("int"))
+        .withColumn("_di", F.explode(F.sequence(F.lit(0), F.lit(db - 1))))
     )
     d = (
-        donors.withColumn("_di", F.pmod(F.xxhash64("_id"), F.lit(db)))
-        .withColumn("_qi", F.explode(F.sequence(F.lit(0), F.lit(qb - 1))).cast("long"))
+        donors.withColumn("_di", F.pmod(F.xxhash64("_id"), F.lit(db)).cast("int"))
+        .withColumn("_qi", F.explode(F.sequence(F.lit(0), F.lit(qb - 1))))
     )
     wanted = [features.index(c) for c in targets]
     width = len(features)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tilth.functions.scalars import auto_top_n, tokenize
+from tilth.functions.store import cut
 
 # Okapi BM25 parameters and the share of the mean idf given to very common terms.
 K1 = 1.5
@@ -41,20 +42,26 @@ def bm25(docs: DataFrame, terms: DataFrame, id_col: str = "id", text_col: str =
     is replaced by a quarter of the mean idf over the vocabulary.
     """
     tokens = docs.select(F.col(id_col).alias("id"), tokenize(text_col).alias("tokens"))
-    sized = tokens.select("id", F.size("tokens").alias("dl"))
-    totals = sized.agg(
-        F.struct(
-            F.count(F.lit(1)).cast("double").alias("n"),
-            (F.sum("dl").cast("double") / F.count(F.lit(1))).alias("avgdl"),
+    # One pass for the vocabulary: each document adds its length with its first distinct
+    # term (an empty document with the null term), so totals come from the same counts.
+    vocabulary = cut(
+        tokens.select(
+            F.size("tokens").alias("dl"), F.posexplode_outer(F.array_distinct("tokens")).alias("at", "term")
         )
-    ).scalar()
-    df_counts = (
-        tokens.select(F.explode(F.array_distinct("tokens")).alias("term"))
         .groupBy("term")
-        .agg(F.count(F.lit(1)).cast("double").alias("df"))
-        .withColumn("raw_idf", F.log(totals["n"] - F.col("df") + 0.5) - F.log(F.col("df") + 0.5))
+        .agg(
+            F.count("term").cast("double").alias("df"),
+            F.count_if(F.coalesce("at", F.lit(0)) == 0).alias("docs"),
+            F.sum(F.when(F.col("at") == 0, F.col("dl"))).alias("length"),
+        )
+    )
+    totals = vocabulary.agg(F.sum("docs").alias("n"), F.sum("length").alias("length")).first()
+    n = float(totals["n"] or 0)
+    average = F.lit((totals["length"] or 0) / n if n else 1.0)
+    df_counts = vocabulary.filter("term is not null").withColumn(
+        "raw_idf", F.log(F.lit(n) - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)
     )
-    mean_idf = df_counts.agg(F.avg("raw_idf")).scalar()
+    mean_idf = F.lit(df_counts.agg(F.avg("raw_idf")).first()[0]).cast("double")
     weights = (
         df_counts.join(terms, "term")
         .withColumn(
@@ -73,11 +80,11 @@ def bm25(docs: DataFrame, terms: DataFrame, id_col: str = "id", text_col: str =
             F.first("weight").alias("weight"),
         )
     )
-    length = 1 - B + B * F.col("dl") / totals["avgdl"]
+    length = 1 - B + B * F.col("dl") / average
     gain = F.col("weight") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * length)
     scored = tf.groupBy("id").agg(F.sum(gain).alias("score"))
     return (
-        sized.select("id")
+        tokens.select("id")
         .join(scored, "id", "left")
         .select(F.col("id").alias(id_col), F.coalesce("score", F.lit(0.0)).alias("score"))
     )

@@ -6,7 +6,6 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tilth.functions.store import cut
 from tilth.operators.agree import label_quality
@@ -83,6 +82,3 @@ def export_stage(labelled: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame
     return labeling_tasks(labelled, id_col), review_queue(labelled)
 
 
-def with_row_id(df: DataFrame, *columns: str) -> DataFrame:
-    """A stable text id from column values, for sources that bring none."""
-    return df.withColumn("row_id", F.sha2(F.to_json(F.struct(*columns)), 256))

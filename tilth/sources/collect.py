@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,8 +20,9 @@ LABEL_CANDIDATES = ["label", "label_text", "category", "class"]
 ENVELOPES = ["results", "data", "items"]
 
 
-def _stamp(collected_at: Column | None) -> Column:
-    return (F.current_timestamp() if collected_at is None else collected_at).cast("timestamp")
+def stamp(at: datetime | Column | None) -> Column:
+    """The given time, or now."""
+    return (F.current_timestamp() if at is None else F.lit(at)).cast("timestamp")
 
 
 def load_dataset(
@@ -30,7 +32,7 @@ def load_dataset(
     origin: str = "hf",
     text_col: str | None = None,
     label_col: str | None = None,
-    collected_at: Column | None = None,
+    collected_at: datetime | Column | None = None,
 ) -> DataFrame:
     """Project a table to text, label, source, collected_at.
 
@@ -45,7 +47,7 @@ def load_dataset(
         F.col(text).cast("string").alias("text"),
         (F.col(label) if label else F.lit(None)).cast("string").alias("label"),
         F.lit(f"{origin}:{name}").alias("source"),
-        _stamp(collected_at).alias("collected_at"),
+        stamp(collected_at).alias("collected_at"),
     )
 
 
@@ -133,7 +135,7 @@ def flatten_api(
     endpoint: str,
     *,
     text_field: str | None = None,
-    collected_at: Column | None = None,
+    collected_at: datetime | Column | None = None,
 ) -> DataFrame:
     """Records of stored JSON response bodies as flat rows with a text column.
 
@@ -155,7 +157,7 @@ def flatten_api(
         {
             "text": F.col(f"`{text}`").cast("string"),
             "source": F.lit(f"api:{endpoint}"),
-            "collected_at": _stamp(collected_at),
+            "collected_at": stamp(collected_at),
         }
     )
 
@@ -286,7 +288,7 @@ def catalog_from_listing(raw: DataFrame, query_col: str = "query") -> DataFrame:
     ref = F.trim(_text("ref"))
     title = F.trim(F.coalesce(F.col("title"), ref))
     subtitle = F.substring(F.trim(_text("subtitle")), 1, 500)
-    tags = F.filter(F.transform(F.split(_text("tags"), ","), F.trim), lambda t: t != "")
+    tags = F.filter(F.transform(F.split(_text("tags"), ","), lambda t: F.trim(t)), lambda t: t != "")
     licence = F.trim(F.coalesce(F.col("licenseName"), F.lit("unknown")))
     size = F.trim(_text("size"))
     none = F.array().cast("array<string>")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from datetime import datetime
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tilth.schema import strip
+from tilth.sources.collect import stamp
 
 # Elements that never have content.
 VOID = {
@@ -82,7 +84,7 @@ def extract_html(
     *,
     html_col: str = "html",
     url_col: str = "url",
-    collected_at: Column | None = None,
+    collected_at: datetime | Column | None = None,
 ) -> DataFrame:
     """One row per non-empty element matching ``selector``, in document order."""
 
@@ -100,7 +102,7 @@ def extract_html(
         .select(
             "text",
             F.concat(F.lit("scrape:"), "url").alias("source"),
-            (F.current_timestamp() if collected_at is None else collected_at).alias("collected_at"),
+            stamp(collected_at).alias("collected_at"),
             "position",
         )
     )

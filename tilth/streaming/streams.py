@@ -71,11 +71,16 @@ def wave_stream(
     )
 
 
+def with_time(df: DataFrame, time_col: str) -> DataFrame:
+    """Event time as a timestamp with zone, as watermarks need it."""
+    return df.withColumn(time_col, F.col(time_col).cast("timestamp"))
+
+
 def dedupe_stream(
     stream: DataFrame, keys: list[str], time_col: str, delay: str = "1 hour"
 ) -> DataFrame:
     """First row per key; state of keys older than ``delay`` behind the newest row is released."""
-    return stream.withWatermark(time_col, delay).dropDuplicatesWithinWatermark(keys)
+    return with_time(stream, time_col).withWatermark(time_col, delay).dropDuplicatesWithinWatermark(keys)
 
 
 def quality_stream(
@@ -88,7 +93,8 @@ def quality_stream(
     below: float | None = None,
 ) -> DataFrame:
     """Rows, missing and flagged values per event-time window; the same plan for batch and stream."""
-    source = df.withWatermark(time_col, delay) if delay and df.isStreaming else df
+    timed = with_time(df, time_col)
+    source = timed.withWatermark(time_col, delay) if delay and df.isStreaming else timed
     flagged = F.lit(False) if below is None else F.coalesce(F.col(value_col) < below, F.lit(False))
     return (
         source.groupBy(F.window(time_col, window).alias("w"))
