@@ -1,10 +1,11 @@
 """Exact quantiles that never gather a column in one task.
 
 ``percentile`` keeps one map entry per distinct value, which is fine for small
-columns.  Above ``EXACT_ROWS`` values each wanted rank is bracketed with
-``percentile_approx`` and the bracket is counted exactly, so every round is one
-pruned scan with map-side aggregation; the loop stops when a bracket holds at
-most ``GATHER_ROWS`` values or the rank falls on a bracket end.
+columns.  Above ``EXACT_ROWS`` values the column is counted into equal-width bins
+between its smallest and largest value; the bin that holds a wanted rank is then
+binned again, between its own smallest and largest value.  Every round is one
+pruned scan with map-side aggregation into at most ``BINS`` rows per range, and a
+value that fills a bin alone is found at once, however often it occurs.
 """
 
 from __future__ import annotations
@@ -12,154 +13,133 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tilth.schema import number
 
-EXACT_ROWS = 2_000_000
-GATHER_ROWS = 50_000
-ACCURACY = 10_000
+EXACT_ROWS = 20_000
+GATHER_ROWS = 20_000
+BINS = 1024
 
 
-@dataclass
-class _Rank:
-    """One order statistic being searched inside the open interval (low, high)."""
+@dataclass(frozen=True)
+class _Range:
+    """Values of a column between ``low`` and ``high``: how many, and how many lie below."""
 
     column: str
-    rank: int
+    low: float
+    high: float
     below: int
     inside: int
-    low: float | None = None
-    high: float | None = None
-    value: float | None = None
-
-
-def _inside(x: Column, r: _Rank) -> Column:
-    cond = x.isNotNull()
-    if r.low is not None:
-        cond = cond & (x > F.lit(r.low))
-    if r.high is not None:
-        cond = cond & (x < F.lit(r.high))
-    return cond
-
-
-def _narrow(df: DataFrame, ranks: list[_Rank], accuracy: int) -> None:
-    """Two scans: guess a bracket for every rank, then count it exactly."""
-    x = {r.column: number(df, r.column) for r in ranks}
-    guesses = []
-    for i, r in enumerate(ranks):
-        share = (r.rank - r.below) / max(r.inside - 1, 1)
-        probes = [max(share - 2 / accuracy, 0.0), min(share + 2 / accuracy, 1.0)]
-        guesses.append(
-            F.percentile_approx(
-                F.when(_inside(x[r.column], r), x[r.column]),
-                F.array(*[F.lit(p) for p in probes]),
-                F.lit(accuracy),
-            ).alias(f"g{i}")
-        )
-    brackets = df.agg(*guesses).first()
-    counts = []
-    for i, r in enumerate(ranks):
-        v, inside = x[r.column], _inside(x[r.column], r)
-        a, b = (F.lit(e) for e in brackets[f"g{i}"])
-        counts.append(
-            F.struct(
-                F.count_if(inside & (v < a)).alias("before"),
-                F.count_if(inside & (v == a)).alias("at_a"),
-                F.count_if(inside & (v > a) & (v < b)).alias("between"),
-                F.count_if(inside & (v == b)).alias("at_b"),
-            ).alias(f"c{i}")
+
+
+def _between(x: Column, r: _Range) -> Column:
+    return (x >= F.lit(r.low)) & (x <= F.lit(r.high))
+
+
+def _split(df: DataFrame, ranges: Sequence[_Range], bins: int) -> dict[_Range, list[_Range]]:
+    """Count every range into bins: a scan of its column each, at most ``bins`` rows per range."""
+    scans = []
+    for i, r in enumerate(ranges):
+        # Halves keep the width of any two doubles finite.
+        share = (F.col("x") / 2 - r.low / 2) / F.lit(r.high / 2 - r.low / 2)
+        place = F.least(F.floor(share * bins), F.lit(bins - 1)).cast("int")
+        scans.append(
+            df.select(number(df, r.column).alias("x"))
+            .filter(_between(F.col("x"), r))
+            .groupBy(F.lit(i).alias("r"), place.alias("b"))
+            .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
         )
-    counted = df.agg(*counts).first()
-    for i, r in enumerate(ranks):
-        a, b = brackets[f"g{i}"]
-        n = counted[f"c{i}"]
-        at_b = 0 if a == b else n["at_b"]
-        offset = r.rank - r.below
-        edge = n["before"]
-        if offset < edge:
-            r.high, r.inside = a, edge
-            continue
-        edge += n["at_a"]
-        if offset < edge:
-            r.value = a
-            continue
-        if offset < edge + n["between"]:
-            r.below, r.low, r.high, r.inside = r.below + edge, a, b, n["between"]
-            continue
-        edge += n["between"]
-        if offset < edge + at_b:
-            r.value = b
-            continue
-        edge += at_b
-        r.below, r.low, r.inside = r.below + edge, b, r.inside - edge
+    counted = reduce(DataFrame.unionByName, scans).collect()
+    out: dict[_Range, list[_Range]] = {r: [] for r in ranges}
+    for row in sorted(counted, key=lambda c: (c["r"], c["b"])):
+        whole = ranges[row["r"]]
+        parts = out[whole]
+        below = parts[-1].below + parts[-1].inside if parts else whole.below
+        parts.append(_Range(whole.column, row["low"], row["high"], below, row["n"]))
+    return out
 
 
 def _order_statistics(
-    df: DataFrame, ranks: list[_Rank], gather_rows: int, accuracy: int
-) -> None:
-    while wide := [r for r in ranks if r.value is None and r.inside > gather_rows]:
-        _narrow(df, wide, accuracy)
-    if rest := [r for r in ranks if r.value is None]:
-        picks = []
-        for i, r in enumerate(rest):
-            v = number(df, r.column)
-            held = F.array_sort(F.collect_list(F.when(_inside(v, r), v)))
-            picks.append(held[r.rank - r.below].alias(f"v{i}"))
+    df: DataFrame, start: Mapping[str, _Range], ranks: Sequence[tuple[str, int]], gather_rows: int, bins: int
+) -> dict[tuple[str, int], float]:
+    """The values at 0-based ranks of columns."""
+    where = {(c, k): start[c] for c, k in ranks}
+    while wide := sorted(
+        {r for r in where.values() if r.low < r.high and r.inside > gather_rows},
+        key=lambda r: (r.column, r.low),
+    ):
+        parts = _split(df, wide, bins)
+        for (c, k), r in where.items():
+            if r in parts:
+                where[c, k] = next(p for p in parts[r] if p.below <= k < p.below + p.inside)
+    found = {key: r.low for key, r in where.items() if r.low == r.high}
+    rest = sorted({r for r in where.values() if r.low < r.high}, key=lambda r: (r.column, r.low))
+    if rest:
+        held = [
+            F.array_sort(F.collect_list(F.when(_between(number(df, r.column), r), number(df, r.column))))
+            for r in rest
+        ]
+        picks = [
+            held[rest.index(r)][k - r.below].alias(f"v{i}")
+            for i, ((_, k), r) in enumerate(where.items())
+            if r.low < r.high
+        ]
         row = df.agg(*picks).first()
-        for i, r in enumerate(rest):
-            r.value = row[f"v{i}"]
+        for i, key in enumerate(where):
+            if where[key].low < where[key].high:
+                found[key] = row[f"v{i}"]
+    return found
 
 
 def quantiles(
     df: DataFrame,
     wanted: Mapping[str, Sequence[float]],
     *,
-    counts: Mapping[str, int] | None = None,
     exact_rows: int | None = None,
     gather_rows: int | None = None,
-    accuracy: int = ACCURACY,
+    bins: int = BINS,
 ) -> dict[str, list[float | None]]:
-    """Linear-interpolated exact quantiles of non-null values, per column.
-
-    ``counts`` (non-null values per column) saves one scan when already known.
-    """
+    """Linear-interpolated exact quantiles of non-null values, per column."""
     exact_rows = EXACT_ROWS if exact_rows is None else exact_rows
     gather_rows = GATHER_ROWS if gather_rows is None else gather_rows
     if not wanted:
         return {}
     names = list(wanted)
     df = df.select(*names)
-    if counts is None:
-        row = df.agg(*[F.count(number(df, c)).alias(f"n{i}") for i, c in enumerate(names)]).first()
-        counts = {c: row[f"n{i}"] for i, c in enumerate(names)}
+    row = df.agg(
+        *[
+            F.struct(
+                F.count(number(df, c)).alias("n"), F.min(number(df, c)).alias("low"), F.max(number(df, c)).alias("high")
+            ).alias(f"s{i}")
+            for i, c in enumerate(names)
+        ]
+    ).first()
+    spans = {c: row[f"s{i}"] for i, c in enumerate(names)}
     out: dict[str, list[float | None]] = {c: [None] * len(wanted[c]) for c in names}
-    small = [c for c in names if 0 < counts[c] <= exact_rows]
-    large = [c for c in names if counts[c] > exact_rows]
+    small = [c for c in names if 0 < spans[c]["n"] <= exact_rows]
+    large = {c: _Range(c, s["low"], s["high"], 0, s["n"]) for c, s in spans.items() if s["n"] > exact_rows}
     if small:
         row = df.agg(
             *[
-                F.percentile(number(df, c), F.array(*[F.lit(float(p)) for p in wanted[c]])).alias(
-                    f"q{i}"
-                )
+                F.percentile(number(df, c), F.array(*[F.lit(float(p)) for p in wanted[c]])).alias(f"q{i}")
                 for i, c in enumerate(small)
             ]
         ).first()
         out.update({c: list(row[f"q{i}"]) for i, c in enumerate(small)})
     if large:
-        found: dict[tuple[str, int], _Rank] = {}
-        for c in large:
+        ends = {}
+        for c, r in large.items():
             for p in wanted[c]:
-                position = p * (counts[c] - 1)
-                for rank in (math.floor(position), math.ceil(position)):
-                    found.setdefault((c, rank), _Rank(c, rank, 0, counts[c]))
-        _order_statistics(df, list(found.values()), gather_rows, accuracy)
+                position = p * (r.inside - 1)
+                ends[c, p] = (math.floor(position), math.ceil(position), position % 1)
+        ranks = sorted({(c, k) for (c, _), (a, b, _) in ends.items() for k in (a, b)})
+        values = _order_statistics(df.select(*large), large, ranks, gather_rows, bins)
         for c in large:
             for j, p in enumerate(wanted[c]):
-                position = p * (counts[c] - 1)
-                low = found[c, math.floor(position)].value
-                high = found[c, math.ceil(position)].value
-                out[c][j] = low + (high - low) * (position - math.floor(position))
+                a, b, part = ends[c, p]
+                out[c][j] = values[c, a] + (values[c, b] - values[c, a]) * part
     return out

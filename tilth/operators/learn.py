@@ -12,7 +12,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.feature import (
     IDF,
-    CountVectorizer,
+    CountVectorizerModel,
     ElementwiseProduct,
     IndexToString,
     NGram,
@@ -110,14 +110,32 @@ def fit_text_classifier(
     data = df.filter(F.col(label_col).isNotNull()).select(
         F.coalesce(text_col, F.lit("")).alias("_text"), F.col(label_col).cast("string").alias("_label")
     )
-    counter = Pipeline(
+    words = PipelineModel(
         stages=[
             RegexTokenizer(inputCol="_text", outputCol="_words", pattern=TOKEN, gaps=False),
             NGram(n=2, inputCol="_words", outputCol="_pairs"),
             SQLTransformer(statement="SELECT *, concat(_words, _pairs) AS _terms FROM __THIS__"),
-            CountVectorizer(inputCol="_terms", outputCol="_counts", vocabSize=max_terms),
         ]
-    ).fit(data)
+    )
+    # The most frequent terms by partial counts, ties by term; at most ``max_terms`` reach the driver.
+    frequent = (
+        words.transform(data)
+        .select(F.explode_outer("_terms").alias("term"))
+        .filter("term is not null")
+        .groupBy("term")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .orderBy(F.desc("n"), "term")
+        .limit(max_terms)
+    )
+    vocabulary = [r["term"] for r in frequent.collect()]
+    if not vocabulary:
+        raise ValueError("the training texts hold no words")
+    counter = PipelineModel(
+        stages=[
+            *words.stages,
+            CountVectorizerModel.from_vocabulary(vocabulary, inputCol="_terms", outputCol="_counts"),
+        ]
+    )
     index = StringIndexer(inputCol="_label", outputCol="_y", stringOrderType="alphabetAsc").fit(data)
     if len(index.labels) < 2:
         raise ValueError(f"the training rows hold a single class: {index.labels}")

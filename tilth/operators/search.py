@@ -71,7 +71,8 @@ def bm25(docs: DataFrame, terms: DataFrame, id_col: str = "id", text_col: str =
         .select("term", (F.col("idf") * F.col("repeats")).alias("weight"))
     )
     tf = (
-        tokens.select("id", F.size("tokens").alias("dl"), F.explode("tokens").alias("term"))
+        # The outer form keeps the optimiser from adding a filter that tokenises once more.
+        tokens.select("id", F.size("tokens").alias("dl"), F.explode_outer("tokens").alias("term"))
         .join(weights, "term")
         .groupBy("id", "term")
         .agg(
