@@ -12,8 +12,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tilth.functions.store import cut
+
 # Hash prefix length: 16**3 buckets split every group, however large.
 PREFIX = 3
+# A table of bucket starts up to this many rows (some megabytes) is broadcast.
+START_ROWS = 100_000
 # Above this many rows a global top-n is taken by rank instead of one sorted task.
 TOP_ROWS = 100_000
 
@@ -49,27 +53,31 @@ def hash_ranked(
     sizes give each bucket its starting position, and only rows of one
     (group, bucket) are numbered together.  ``at_most`` drops, before the shuffle,
     buckets that start beyond it; the caller still filters on the exact rank.
+
+    The table of bucket starts is counted first: up to ``START_ROWS`` rows it is
+    sent to all tasks and rows move once; beyond that it is joined by shuffle.
     """
     by = list(by)
     keyed = df.withColumn("_h", stable_hash(seed, id_col)).withColumn(
         "_b", F.substring("_h", 1, PREFIX)
     )
     in_order = W.partitionBy(*by).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
-    starts = (
+    starts = cut(
         keyed.groupBy(*by, "_b")
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_start", F.coalesce(F.sum("_n").over(in_order), F.lit(0)))
         .withColumn(size, F.sum("_n").over(W.partitionBy(*by)))
-        .drop("_n")
+        .select(
+            *[F.col(c).alias(f"_k_{c}") for c in by], F.col("_b").alias("_k_b"), "_start", size
+        )
     )
-    for c in by:
-        starts = starts.withColumnRenamed(c, f"_k_{c}")
-    starts = starts.withColumnRenamed("_b", "_k_b")
     if at_most is not None:
         starts = starts.filter(F.col("_start") < at_most)
-    on = keyed["_b"] == starts["_k_b"]
+    if starts.count() <= START_ROWS:
+        starts = F.broadcast(starts)
+    on = F.col("_b") == F.col("_k_b")
     for c in by:
-        on = on & keyed[c].eqNullSafe(starts[f"_k_{c}"])
+        on = on & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
     w = W.partitionBy(*by, "_b").orderBy("_h", id_col)
     return (
         keyed.join(starts, on)

@@ -84,7 +84,7 @@ def smote(
     """Synthetic rows between same-class neighbours until all classes are equally large.
 
     Only the label and numeric features survive; ``synthetic`` marks new rows.
-    Neighbours are computed only for rows that were drawn.
+    Neighbours are searched for the classes that need new rows, within the class.
     """
     base = df.filter(F.col(label_col).isNotNull()).select(
         label_col, id_col, *[F.col(c).cast("double").alias(c) for c in features]

@@ -466,10 +466,18 @@ def drop_outliers_sequential(
     return df
 
 
+def length_bounds(df: DataFrame, text_col: str = "text", k: float = 1.5) -> Bounds:
+    """Quartile fences of the text length.
+
+    Lengths are written out first, so the text is read once and the passes over
+    its quantiles read numbers only.
+    """
+    return iqr_bounds(cut(df.select(F.length(text_col).alias("n"))), ["n"], k)["n"]
+
+
 def filter_by_length_iqr(df: DataFrame, text_col: str = "text", k: float = 1.5) -> DataFrame:
     """Rows whose text length lies inside the quartile fences, ends included."""
-    lengths = df.select(F.length(text_col).alias("_len"))
-    b = iqr_bounds(lengths, ["_len"], k)["_len"]
+    b = length_bounds(df, text_col, k)
     if b.low is None:
         return df
     return df.filter(F.length(text_col).between(b.low, b.high))

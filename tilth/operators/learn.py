@@ -320,7 +320,10 @@ def compare_strategies(
 
 
 def score_new(model: TextClassifier, df: DataFrame, text_col: str = "text") -> DataFrame:
-    """Label and confidence of new texts under a fitted or loaded model."""
+    """Label and confidence of new texts under a fitted or loaded model; an existing label is kept
+    as ``human_label``."""
+    if "label" in df.columns:
+        df = df.withColumnRenamed("label", "human_label")
     return model.transform(df, text_col).select(
         *df.columns,
         F.col("predicted").alias("label"),

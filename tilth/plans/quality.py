@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tilth.functions.store import cut
 from tilth.operators.balance import oversample
 from tilth.operators.combine import dedupe
+from tilth.operators.detect import iqr_bounds
 from tilth.operators.fix import (
     clip_iqr,
     clip_zscore,
@@ -18,7 +19,6 @@ from tilth.operators.fix import (
     drop_rows,
     ffill,
     fill_constant,
-    filter_by_length_iqr,
     impute,
     impute_mode,
 )
@@ -96,9 +96,14 @@ def clean_aggressive(
     n: int = 1373,
     seed: object = 42,
 ) -> DataFrame:
-    """Drop repeated texts and texts of unusual length, then take at most ``n`` rows per class."""
-    unique = cut(dedupe(df, id_col, [text_col]))
-    return undersample(filter_by_length_iqr(unique, text_col), label_col, id_col, n, seed)
+    """Drop repeated texts and texts of unusual length, then take at most ``n`` rows per class.
+
+    Deduplication is the one shuffle of the text.  Its result is written with the
+    length beside it, so bounds and class quotas are found without reading text.
+    """
+    unique = cut(dedupe(df, id_col, [text_col]).withColumn("_len", F.length(text_col)))
+    kept = unique.filter(~iqr_bounds(unique, ["_len"])["_len"].outside(F.col("_len")))
+    return undersample(kept.filter("_len is not null").drop("_len"), label_col, id_col, n, seed)
 
 
 def clean_preset(df: DataFrame, order: str, preset: str = "balanced") -> DataFrame:

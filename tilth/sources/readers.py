@@ -28,16 +28,19 @@ def read_any(
     sep: str = ",",
     schema: T.StructType | str | None = None,
     suffix: str | None = None,
+    multiline: bool = True,
 ) -> DataFrame:
     """Read a table by suffix: csv, parquet/pq, json (one document), jsonl/ndjson.
 
     Pass ``schema`` for large csv or json input: inferring it costs one more scan.
+    Quoted csv fields may hold line breaks, so a csv file is read by one task;
+    ``multiline=False`` splits files that are known to have none.
     """
     kind = (suffix or PurePosixPath(path).suffix).lower()
     reader = spark.read.schema(schema) if schema is not None else spark.read
     if kind == ".csv":
         infer = schema is None
-        df = reader.csv(path, header=True, sep=sep, inferSchema=infer, multiLine=True, escape='"')
+        df = reader.csv(path, header=True, sep=sep, inferSchema=infer, multiLine=multiline, escape='"')
     elif kind in (".parquet", ".pq"):
         df = reader.parquet(path)
     elif kind == ".json":

@@ -11,9 +11,18 @@ from tilth.operators.combine import catalog_dedupe
 from tilth.operators.combine import exclude_ids as without
 
 
-def read_stream(spark: SparkSession, folder: str, schema: T.StructType, glob: str = "*.parquet") -> DataFrame:
+def read_stream(
+    spark: SparkSession,
+    folder: str,
+    schema: T.StructType,
+    glob: str = "*.parquet",
+    files_per_batch: int | None = None,
+) -> DataFrame:
     """Parquet files of a folder as a stream."""
-    return spark.readStream.schema(schema).option("pathGlobFilter", glob).parquet(folder)
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(folder)
 
 
 def run_available(stream: DataFrame, path: str, mode: str = "append") -> None:

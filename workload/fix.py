@@ -64,7 +64,7 @@ with t as (select *, row_number() over ({by} order by event_id) as p from ({EVEN
    first_value(value ignore nulls) over b as v1, first_value(vp ignore nulls) over b as p1 from n
    window a as ({by} order by event_id rows between unbounded preceding and current row),
      b as ({by} order by event_id rows between current row and unbounded following))
-select {columns}, round(case when value is not null then value when v0 is not null and v1 is not null then v0 + (v1 - v0) * (p - p0) / (p1 - p0) else v0 end, 4) as value
+select {columns}, round(case when value is not null then value when v0 is not null and v1 is not null then v0 + (v1 - v0) / (p1 - p0) * (p - p0) else v0 end, 4) as value
 from w
 """
 
