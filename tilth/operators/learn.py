@@ -39,6 +39,8 @@ MAX_TERMS = 10_000
 TOKEN = r"(?U)\b\w\w+\b"
 # Rows per task while fitting.
 TRAIN_ROWS = 5_000
+# Steps of the linear SVM: the hinge loss has no smooth optimum to converge to.
+SVM_STEPS = 25
 HISTORY = "iteration int, n_labeled long, accuracy double, f1 double, strategy string"
 
 
@@ -182,7 +184,7 @@ def _one_vs_rest(train: DataFrame, classes: int, n: int) -> list:
     stages: list = [
         LinearSVC(
             featuresCol="_features", labelCol="_is", predictionCol=f"_vote_{i}", rawPredictionCol=f"_margin_{i}",
-            regParam=1.0 / n, standardization=False, maxIter=100,
+            regParam=1.0 / n, standardization=False, maxIter=SVM_STEPS, tol=1e-4,
         ).fit(train.withColumn("_is", (F.col("_y") == i).cast("double")))
         for i in wanted
     ]
