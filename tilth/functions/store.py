@@ -43,3 +43,16 @@ def cut(df: DataFrame) -> DataFrame:
     path = new_path(spark, "table")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(scan: DataFrame, *keys: str) -> DataFrame:
+    """Spread a table that was read in few pieces before work that is heavy per row.
+
+    A table with at least two scan tasks per core is returned as it is, so large
+    inputs are never shuffled for this.  ``scan`` should be a plain read: asking a
+    plan with shuffles for its partitions would run them.
+    """
+    wanted = 2 * scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= wanted:
+        return scan
+    return scan.repartition(wanted, *keys)

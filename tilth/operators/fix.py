@@ -52,14 +52,13 @@ def column_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, object]:
 
 
 def _fill(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
-    """Replace nulls by one literal per column, keeping the column type for whole-number fills."""
+    """Replace nulls by one literal per column; means and medians make a whole-number column double."""
     new: dict[str, Column] = {}
     for c, v in values.items():
         if v is None:
             continue
         dtype = df.schema[c].dataType
-        fractional = isinstance(v, float) and not v.is_integer()
-        if isinstance(dtype, T.IntegralType) and fractional:
+        if isinstance(dtype, T.IntegralType) and isinstance(v, float):
             new[c] = F.coalesce(F.col(c).cast("double"), F.lit(v))
         else:
             new[c] = F.coalesce(F.col(c), F.lit(v).cast(dtype))

@@ -6,6 +6,8 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tilth.functions.store import spread
+
 # A fixed stamp, so that results do not depend on when a query runs.
 STAMP = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
 STAMP_SQL = "timestamp '2024-01-01 00:00:00'"
@@ -15,6 +17,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, folder: str, name: str, key: str) -> DataFrame:
+    """A table for work that is heavy per row: small files are spread over all cores."""
+    return spread(table(spark, folder, name), key)
+
+
 # Orders with gaps: the same expressions run in Spark and in the oracle.
 ORDERS_GAPS = [
     "o_orderkey",

@@ -10,7 +10,7 @@ from tilth.sources import readers as R
 from tilth.sources import writers as K
 from tilth.sources.pages import extract_html
 from workload.base import (
-    DOCS_SQL, LABELLED_SQL, STAMP, STAMP_SQL, docs, labelled, table,
+    DOCS_SQL, LABELLED_SQL, STAMP, STAMP_SQL, docs, labelled, spread_table, table,
 )
 
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
@@ -21,7 +21,8 @@ def _round_trip(suffix, schema=None):
     def run(spark, d):
         path = new_path(spark, "orders")
         K.write_any(table(spark, d, "orders").select(*ORDER_COLUMNS), path, suffix=suffix)
-        return R.read_any(spark, path, suffix=suffix, schema=schema).select(*ORDER_COLUMNS)
+        back = R.read_any(spark, path, suffix=suffix, schema=schema).select(*ORDER_COLUMNS)
+        return back.withColumns({c: F.col(c).cast("long") for c in ("o_orderkey", "o_custkey")})
 
     return run
 
@@ -77,13 +78,13 @@ def flatten_api(spark, d):
 
 
 def html_items(spark, d):
-    return extract_html(table(spark, d, "pages"), "li", collected_at=STAMP).select(
+    return extract_html(spread_table(spark, d, "pages", "page_id"), "li", collected_at=STAMP).select(
         "text", "source", F.col("position").cast("long")
     )
 
 
 def html_paragraphs(spark, d):
-    return extract_html(table(spark, d, "pages"), "p", collected_at=STAMP)
+    return extract_html(spread_table(spark, d, "pages", "page_id"), "p", collected_at=STAMP)
 
 
 HTML_ITEMS_SQL = """

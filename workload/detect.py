@@ -8,7 +8,7 @@ from tilth.operators import agree as G
 from tilth.operators import detect as D
 from tilth.operators import forest
 from workload.base import (
-    DOCS_SQL, LABELLED_SQL, ORDERS_GAPS_SQL, docs, labelled, orders_gaps, table,
+    DOCS_SQL, LABELLED_SQL, ORDERS_GAPS_SQL, docs, labelled, orders_gaps, spread_table, table,
 )
 
 GAP_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "note"]
@@ -140,12 +140,12 @@ def outlier_totals(spark, d):
 
 
 def isolation_forest(spark, d):
-    t = table(spark, d, "lineitem").withColumn("id", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
+    t = spread_table(spark, d, "lineitem", "l_orderkey").withColumn("id", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
     return forest.detect_outliers_isolation_forest(t, LINE_COLUMNS, "id")
 
 
 def isolation_report(spark, d):
-    t = table(spark, d, "events")
+    t = spread_table(spark, d, "events", "event_id")
     flagged = forest.detect_outliers_isolation_forest(t, ["value", "user_id"], "event_id")
     return forest.isolation_report(t, flagged)
 

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tilth.functions.store import new_path
+from tilth.functions.store import new_path, spread
 from tilth.operators import label as L
 from tilth.operators import learn as M
 from tilth.operators.agree import evaluate, value_counts
 from tilth.operators.sampling import seed_and_pool, stratified_split
 from tilth.plans import stages
-from workload.base import STAMP, docs, labelled, table
+from workload.base import LABELLED, STAMP, docs, spread_table, table
 from workload.combine import history_rows, history_sql
 
 CLASSES = [str(i) for i in range(10)]
@@ -40,14 +40,20 @@ from b where r = 1
 """
 
 
+def _labelled(spark, d):
+    """Labelled documents, spread before tokenising."""
+    docs = spread_table(spark, d, "documents", "doc_id")
+    return docs.join(table(spark, d, "labels"), "doc_id").selectExpr(*LABELLED)
+
+
 def _model(spark, d, model="logreg", terms=1000):
-    return M.fit_text_classifier(labelled(spark, d), model=model, max_terms=terms)
+    return M.fit_text_classifier(_labelled(spark, d), model=model, max_terms=terms)
 
 
 def _predictions(model):
     def run(spark, d):
         fitted = _model(spark, d, model)
-        return fitted.transform(labelled(spark, d)).select("doc_id", "label", "predicted", F.round(F.array_max("probability"), 4).alias("confidence"))
+        return fitted.transform(_labelled(spark, d)).select("doc_id", "label", "predicted", F.round(F.array_max("probability"), 4).alias("confidence"))
 
     return run
 
@@ -56,7 +62,7 @@ def score_new(spark, d):
     """Train, save, load, and label every document."""
     path = new_path(spark, "model")
     _model(spark, d).save(path)
-    return M.score_new(M.TextClassifier.load(path), docs(spark, d).drop("label")).select("doc_id", "label", "confidence")
+    return M.score_new(M.TextClassifier.load(path), spread(docs(spark, d).drop("label"), "doc_id")).select("doc_id", "label", "confidence")
 
 
 def class_shares(spark, d):
@@ -94,13 +100,13 @@ def _query(strategy):
 
 
 def evaluate_model(spark, d):
-    split = stratified_split(labelled(spark, d), "label", "doc_id")
+    split = stratified_split(_labelled(spark, d), "label", "doc_id")
     fitted = M.fit_text_classifier(split.filter("split = 'train'"), max_terms=1000)
     return evaluate(fitted.transform(split.filter("split = 'test'")), "label", "predicted")
 
 
 def _seeded(spark, d):
-    split = stratified_split(labelled(spark, d).select("doc_id", "text", "label"), "label", "doc_id")
+    split = stratified_split(_labelled(spark, d).select("doc_id", "text", "label"), "label", "doc_id")
     train, test = split.filter("split = 'train'"), split.filter("split = 'test'")
     seed, pool = seed_and_pool(train, "doc_id", 60, 20)
     return seed, pool, test

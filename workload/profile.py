@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tilth.functions.scalars import STOP_WORDS
+from tilth.functions.store import spread
 from tilth.operators import compare as M
 from tilth.operators import media
 from tilth.operators import profile as P
@@ -168,7 +169,7 @@ select event_type, bin, round(any_value(lo + bin * ((hi - lo) / 15)), 4) as left
 
 
 def top_words(spark, d):
-    return P.top_words(docs(spark, d)).withColumn("rank", F.col("rank").cast("long"))
+    return P.top_words(spread(docs(spark, d), "doc_id")).withColumn("rank", F.col("rank").cast("long"))
 
 
 _stops = ", ".join(f"'{w}'" for w in STOP_WORDS)

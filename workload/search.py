@@ -8,7 +8,7 @@ from tilth.operators import neighbors
 from tilth.operators import search as S
 from tilth.plans.wave import wave
 from tilth.sources.collect import catalog_from_listing
-from workload.base import RANKS_SQL, VERDICTS_SQL, ranks, table, verdicts
+from workload.base import RANKS_SQL, VERDICTS_SQL, ranks, spread_table, table, verdicts
 from workload.collect import LISTING_SQL, listing_rows
 
 
@@ -17,7 +17,7 @@ def _terms(spark, d):
 
 
 def _catalog(spark, d):
-    return table(spark, d, "documents").selectExpr(
+    return spread_table(spark, d, "documents", "doc_id").selectExpr(
         "doc_id as id", "text as corpus_text", "case when doc_id % 3 = 0 then null else doc_id % 5 end as query_match_count",
         "n_chars", "lang",
     )
