@@ -19,7 +19,7 @@ PREFIX = 3
 # A table of bucket starts up to this many rows (some megabytes) is broadcast.
 START_ROWS = 100_000
 # Above this many rows a global top-n is taken by rank instead of one sorted task.
-TOP_ROWS = 100_000
+TOP_ROWS = 10_000
 
 
 def stable_hash(seed: object, *ids: Column | str) -> Column:

@@ -13,10 +13,9 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tilth.functions.hashing import stable_hash
+from tilth.functions.hashing import hash_ranked
 from tilth.functions.quantiles import quantiles
 from tilth.functions.store import cut
 from tilth.operators.detect import pct
@@ -80,9 +79,12 @@ def isolation_scores(
     ).dropna(subset=columns)
     # A random permutation is cut into one block per tree, wrapping around on small
     # tables; what is drawn does not grow with the data.
-    pool = data.orderBy(stable_hash(seed, "id"), "id").limit(trees * sample)
+    most = trees * sample
     numbered = cut(
-        pool.withColumn("_p", F.row_number().over(W.orderBy(stable_hash(seed, "id"), "id")) - 1)
+        hash_ranked(data, [], "id", seed, at_most=most)
+        .filter(F.col("_rank") <= most)
+        .withColumn("_p", (F.col("_rank") - 1).cast("int"))
+        .drop("_rank", "_size")
     )
     n = numbered.count()
     used = min(sample, n)
