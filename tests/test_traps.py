@@ -12,7 +12,7 @@ from tilth.functions import scalars as S
 from tilth.operators import agree, combine, compare, detect, fix, label, learn, media, profile, sampling
 from tilth.operators import search
 from tilth.operators.balance import class_weights, oversample
-from tilth.plans import quality
+from tilth.plans import quality, stages
 from tilth.sources import collect, pages, readers, writers
 
 
@@ -454,6 +454,25 @@ def test_classifier_learns_and_reloads(spark, tmp_path):
     assert seed.count() == 6
 
 
+def test_stages(spark):
+    words = {"pos": "great fine", "neg": "awful bad", "neu": "plain table"}
+    data = [(i * 3 + j, f"{w} item {i % 7}{i}", k, f"s{i % 2}") for i in range(20) for j, (k, w) in enumerate(words.items())]
+    t = spark.createDataFrame(data + [(900, "odd", "other", "s0"), (901, None, "pos", "s0")], "id int, text string, label string, source string")
+    collected = stages.collect_stage(t, "id", {}, list(words), cap=24)
+    assert {r["source"]: r["count"] for r in collected.groupBy("source").count().collect()} == {"s0": 24, "s1": 24}
+    cleaned, report, comparison = stages.quality_stage(collected, "id", n=10)
+    assert max(r["count"] for r in cleaned.groupBy("label").count().collect()) <= 10
+    assert comparison.filter("metric = 'rows'").first()["before"] == 48 and report.filter("issue = 'overall'").count() == 1
+    tasks, queue = stages.export_stage(
+        cleaned.withColumns({"confidence": F.lit(0.5), "flagged_for_review": F.col("id") % 2 == 0}), "id"
+    )
+    assert tasks.count() == cleaned.count() and queue.filter("id % 2 = 1").count() == 0
+    learned = stages.learning_stage(t, "id", list(words), n_start=12, n_iterations=1, batch=5)
+    curve = {(r["strategy"], r["iteration"]): r["n_labeled"] for r in learned.curve.collect()}
+    assert curve == {("entropy", 0): 12, ("entropy", 1): 17, ("random", 0): 12, ("random", 1): 17}
+    assert learned.saved.first()["random_final_n_labeled"] == 17
+
+
 def test_empty_input(spark):
     t = spark.createDataFrame([], "id int, x double, text string, label string")
     assert rows(detect.detect_missing(t)) == [] and rows(detect.detect_outliers_iqr(t)) == []

@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Temporary folders of local applications that name no shared folder.
+_local_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared scratch folder of the session.
 
@@ -22,9 +26,10 @@ def shared_dir(spark: SparkSession) -> str:
         return current.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    path = tempfile.mkdtemp(prefix="tilth-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    application = spark.sparkContext.applicationId
+    if application not in _local_dirs:
+        _local_dirs[application] = tempfile.mkdtemp(prefix="tilth-")
+    return _local_dirs[application]
 
 
 def new_path(spark: SparkSession, name: str) -> str:

@@ -10,8 +10,8 @@ from tilth.operators import learn as M
 from tilth.operators.agree import evaluate, value_counts
 from tilth.operators.sampling import seed_and_pool, stratified_split
 from tilth.plans import stages
-from workload.base import LABELLED, STAMP, docs, spread_table, table
-from workload.combine import history_rows, history_sql
+from workload.base import LABELLED, LABELLED_SQL, STAMP, docs, spread_table, table
+from workload.combine import APPLY_CORRECTIONS_SQL, history_rows, history_sql
 
 CLASSES = [str(i) for i in range(10)]
 
@@ -149,7 +149,29 @@ def stage_flow(spark, d):
     return comparison
 
 
+def review_quality(spark, d):
+    """Corrections from the review queue, then agreement of the result with the labels of people."""
+    queue = table(spark, d, "documents").selectExpr(
+        "doc_id as position", "text", "case doc_id % 3 when 0 then '1' when 1 then '0' else 'unsure' end as label"
+    ).filter("position % 4 < 3")
+    return stages.review_stage(_labelled(spark, d), queue, ["0", "1"], position="position")[1]
+
+
+REVIEW_QUALITY_SQL = f"""
+with c as ({APPLY_CORRECTIONS_SQL}),
+ t as (select c.doc_id, c.label, human_label, confidence, c.flagged_for_review from c join ({LABELLED_SQL}) using (doc_id)),
+ p as (select label as a, human_label as b, count(*) as n from t group by 1, 2),
+ m as (select sum(n)::double as n, sum(case when a = b then n else 0 end)::double as agreed from p),
+ e as (select sum(x.n::double * y.n) as c from (select a as l, sum(n) as n from p group by a) x join (select b as l, sum(n) as n from p group by b) y using (l))
+select count(label) as labelled, round(avg(confidence), 4) as confidence_mean, round(stddev_samp(confidence), 4) as confidence_std,
+ round(min(confidence), 4) as confidence_min, round(avg(flagged_for_review::int) * 100, 2) as flagged_pct,
+ count(*) filter (where flagged_for_review) as flagged_count,
+ (select round((agreed / n - c / (n * n)) / (1 - c / (n * n)), 4) from m, e) as kappa from t
+"""
+
+
 CASES = {
+    "review_quality": (review_quality, REVIEW_QUALITY_SQL),
     "auto_label": (auto_label, AUTO_LABEL_SQL),
     "fit_text_classifier": (_predictions("logreg"), None),
     "fit_text_classifier_svm": (_predictions("svm"), None),
