@@ -35,25 +35,25 @@ def _median(c):
 
 def _along(fill):
     def run(spark, d):
-        return fill(events_gaps(spark, d), ["value"], "event_id", "user_id").select("event_id", "user_id", F.round("value", 4).alias("value"))
+        return fill(events_gaps(spark, d), ["value"], "event_id", "user_id").select("event_id", "user_id", F.round("value", 6).alias("value"))
 
     return run
 
 
 def _along_all(fill):
     def run(spark, d):
-        return fill(events_gaps(spark, d), ["value"], "event_id", group_rows=2000).select("event_id", F.round("value", 4).alias("value"))
+        return fill(events_gaps(spark, d), ["value"], "event_id", group_rows=2000).select("event_id", F.round("value", 6).alias("value"))
 
     return run
 
 
 def _ffill_sql(by):
     over = f"over ({by} order by event_id rows between unbounded preceding and current row)"
-    return f"round(last_value(value ignore nulls) {over}, 4)"
+    return f"round(last_value(value ignore nulls) {over}, 6)"
 
 
 def _bfill_sql(by):
-    return f"round(first_value(value ignore nulls) over ({by} order by event_id rows between current row and unbounded following), 4)"
+    return f"round(first_value(value ignore nulls) over ({by} order by event_id rows between current row and unbounded following), 6)"
 
 
 def _interpolate_sql(by, columns):
@@ -64,7 +64,7 @@ with t as (select *, row_number() over ({by} order by event_id) as p from ({EVEN
    first_value(value ignore nulls) over b as v1, first_value(vp ignore nulls) over b as p1 from n
    window a as ({by} order by event_id rows between unbounded preceding and current row),
      b as ({by} order by event_id rows between current row and unbounded following))
-select {columns}, round(case when value is not null then value when v0 is not null and v1 is not null then v0 + (v1 - v0) / (p1 - p0) * (p - p0) else v0 end, 4) as value
+select {columns}, round(case when value is not null then value when v0 is not null and v1 is not null then v0 + (v1 - v0) / (p1 - p0) * (p - p0) else v0 end, 6) as value
 from w
 """
 
