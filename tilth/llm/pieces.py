@@ -26,7 +26,7 @@ from tilth.llm.text import slices, tokenizer_path
 MARK = "▁"
 MODEL = "piece_bpe_32k.model"
 #: The table is emptied after the piece of input that takes it over so many chunks.
-TABLE_SIZE = 400_000
+TABLE_SIZE = 250_000
 
 
 class ChunkTable:
@@ -118,7 +118,7 @@ def encode(docs: DataFrame, text: str = "text", model_path: str | None = None) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = chunk_table(path)
-        for batch in slices(batches, text):
+        for batch in slices(batches, text, 4 << 20):
             flat, offsets, decoded = table.encode([x or "" for x in batch.column(text).to_pylist()])
             ids = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat))
             yield pa.RecordBatch.from_arrays([*batch.columns, ids, pa.array(decoded, pa.string())], names=schema.names)
