@@ -47,10 +47,11 @@ def splitters(slim: DataFrame, targets: list[float], tolerances: list[float]) ->
     # Target -> prefix of its interval in h and g, bits fixed in each, bytes below it.
     open_: dict[int, tuple[int, int, int, int, float]] = {i: (0, 0, 0, 0, 0.0) for i in range(len(targets))}
     while open_:
-        by_depth: dict[tuple[int, int], set[tuple[int, int]]] = {}
-        for h, g, hb, gb, _ in open_.values():
-            by_depth.setdefault((hb, gb), set()).add((h, g))
-        for (hb, gb), prefixes in by_depth.items():
+        by_depth: dict[tuple[int, int], dict[int, tuple[int, int]]] = {}
+        for i, (h, g, hb, gb, _) in open_.items():
+            by_depth.setdefault((hb, gb), {})[i] = (h, g)
+        for (hb, gb), members in by_depth.items():
+            prefixes = set(members.values())
             bits = min(PROBE_BITS, 64 - (gb if hb == 64 else hb))
             inside = _top(F.col("h"), hb).isin([h if h < 1 << 63 else h - (1 << 64) for h, _ in prefixes]) if hb else F.lit(True)
             if hb == 64 and gb:
@@ -61,9 +62,8 @@ def splitters(slim: DataFrame, targets: list[float], tolerances: list[float]) ->
             held: dict[tuple[int, int], list[tuple[int, int, int, int | None]]] = {}
             for r in counted.collect():
                 held.setdefault((r["h"] % (1 << 64), r["g"] % (1 << 64)), []).append((r["bin"], r["bytes"], r["rows"], r["low"] % (1 << 64) if r["low"] == r["high"] else None))
-            for i, (h, g, ohb, ogb, below) in list(open_.items()):
-                if (ohb, ogb) != (hb, gb):
-                    continue
+            for i, (h, g) in members.items():
+                below = open_[i][4]
                 bins = sorted(held.get((h, g), []))
                 numbers, ends, at = [b[0] for b in bins], [], below
                 for b in bins:
