@@ -124,7 +124,6 @@ class WordTable:
         from tokenizers import Tokenizer
 
         self.model, self.end_id, self.size = Tokenizer.from_file(path), end_id, size
-        self.table = str.maketrans(dict.fromkeys(self.SPLIT, " "))
         self.closes = np.zeros(1 + max(self.model.get_vocab().values()), bool)
         self.closes[[i for token, i in self.model.get_vocab().items() if token.endswith("</w>")]] = True
         self._empty()
@@ -151,7 +150,7 @@ class WordTable:
         return [np.array(x.ids, np.uint32).tobytes() for x in self.model.encode_batch(words, add_special_tokens=False)]
 
     def _learn(self, words: list[str]) -> None:
-        fresh = [w for w in dict.fromkeys(words) if w not in self.number]
+        fresh = list(set(words) - self.number.keys())
         if not fresh:
             return
         stems = [w.rstrip(SIGNS) for w in fresh]
@@ -169,7 +168,9 @@ class WordTable:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, the end id behind each text's, and the offsets of texts."""
-        words = [x.translate(self.table).split(" ") if any(c in x for c in self.SPLIT[2:]) else x.replace("\n", " ").replace("\t", " ").split(" ") for x in texts]
+        for sign in self.SPLIT[1:]:
+            texts = [x.replace(sign, " ") for x in texts]
+        words = [x.split(" ") for x in texts]
         flat = list(chain.from_iterable(words))
         self._learn(flat)
         numbers = np.fromiter(map(self.number.__getitem__, flat), np.int64, len(flat))

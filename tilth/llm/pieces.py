@@ -56,7 +56,7 @@ class ChunkTable:
         return re.findall("▁*[^▁\n]+|▁+|\n", (" " + text).replace(" ", MARK)) if text else []
 
     def _learn(self, chunks: list[str]) -> None:
-        fresh = [c for c in dict.fromkeys(chunks) if c not in self.number]
+        fresh = list(set(chunks) - self.number.keys())
         if not fresh:
             return
         found = self.model.encode(["\n" + c for c in fresh], num_threads=1)
