@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tilth.llm import pfor, pieces, quality, shards
+from tilth.llm import pfor, pieces, quality, shards, simhash, winnow
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -12,7 +12,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 CASES = {
+    "op1_simhash": (lambda s, d: simhash.digests(table(s, d, "documents")), None),
     "op4_histogram_shards": (lambda s, d: shards.shard(table(s, d, "documents")), None),
+    "op5_winnowing": (lambda s, d: winnow.digests(table(s, d, "documents"), table(s, d, "benchmark")), None),
     "op6_token_blocks": (lambda s, d: pfor.digests(table(s, d, "documents")), None),
     "op7_sentencepiece": (lambda s, d: pieces.digests(table(s, d, "documents")), None),
     "op8_weak_supervision": (lambda s, d: quality.verdicts(table(s, d, "documents")), None),
