@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tilth.llm import pfor, pieces, quality, shards, simhash, suffixes, winnow
+from tilth.llm import context_tree, pfor, pieces, quality, shards, simhash, suffixes, winnow
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,5 +18,6 @@ CASES = {
     "op6_token_blocks": (lambda s, d: pfor.digests(table(s, d, "documents")), None),
     "op7_sentencepiece": (lambda s, d: pieces.digests(table(s, d, "documents")), None),
     "op8_weak_supervision": (lambda s, d: quality.verdicts(table(s, d, "documents")), None),
+    "op9_context_tree": (lambda s, d: context_tree.digests(table(s, d, "documents")), None),
     "op10_suffix_array": (lambda s, d: suffixes.digests(table(s, d, "documents")), None),
 }
