@@ -2,14 +2,47 @@
 
 Each stage takes what its predecessor kept and returns it with its own decisions
 applied; between stages the documents are written as Parquet in the shared folder.
+Extra columns pass through unchanged.  Null texts are empty texts, which the first
+stage rejects; an empty table passes all stages.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tilth.functions.store import cut
-from tilth.llm import pieces
+from tilth.llm import pieces, quality, simhash, suffixes, winnow
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules and the estimated quality both keep."""
+    return quality.judge(docs).filter("kept").select(docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each near-duplicate component the document with the smallest id."""
+    return simhash.representatives(docs)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that a document with a smaller id has; those left without text go.
+
+    Where a cut splits a character of several bytes, what is left of it goes too.
+    """
+    cut_ = suffixes.cut_repeats(docs).filter("n_removed > 0")
+    # The remaining bytes are read as UTF-8, and what is no character is left out.
+    left = F.replace(F.decode(F.col("kept"), "utf-8"), F.lit("�"), F.lit(""))
+    changed = cut_.select(F.col("doc_id").alias("__id"), left.alias("__left"))
+    joined = docs.join(changed, docs["doc_id"].eqNullSafe(changed["__id"]), "left")
+    text = F.coalesce("__left", "text")
+    new = joined.withColumn("text", text).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return new.filter(F.length(F.btrim("text", F.lit(quality.SPACE))) > 0).select(docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of a benchmark item."""
+    return winnow.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,9 +50,15 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return pieces.encode(docs)
 
 
-STAGES = [("sentencepiece", encode_pieces)]
+STAGES = [
+    ("quality_rules", keep_quality),
+    ("simhash_near_dedup", drop_near_copies),
+    ("suffix_array_dedup", cut_repeats),
+    ("benchmark_decontamination", drop_contaminated),
+    ("sentencepiece", encode_pieces),
+]
 
-#: No stage from the near-duplicate groups on can be said in SQL; tests compare with brute force.
+#: Posteriors, components and merges cannot be said in SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tilth.llm import context_tree, pfor, pieces, quality, shards, simhash, suffixes, urls, winnow
+from tilth.llm import context_tree, html_text, pfor, pieces, quality, shards, simhash, suffixes, urls, winnow
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -14,6 +14,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 CASES = {
     "op1_simhash": (lambda s, d: simhash.digests(table(s, d, "documents")), None),
     "op2_boosted_urls": (lambda s, d: urls.verdicts(table(s, d, "pages")), None),
+    "op3_html_templates": (lambda s, d: html_text.texts(table(s, d, "pages")), None),
     "op4_histogram_shards": (lambda s, d: shards.shard(table(s, d, "documents")), None),
     "op5_winnowing": (lambda s, d: winnow.digests(table(s, d, "documents"), table(s, d, "benchmark")), None),
     "op6_token_blocks": (lambda s, d: pfor.digests(table(s, d, "documents")), None),
