@@ -32,7 +32,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     cut_ = suffixes.cut_repeats(docs).filter("n_removed > 0")
     # The remaining bytes are read as UTF-8, and what is no character is left out.
-    left = F.replace(F.decode(F.col("kept"), "utf-8"), F.lit("�"), F.lit(""))
+    left = F.replace(F.make_valid_utf8(F.col("kept").cast("string")), F.lit("\ufffd"), F.lit(""))
     changed = cut_.select(F.col("doc_id").alias("__id"), left.alias("__left"))
     joined = docs.join(changed, docs["doc_id"].eqNullSafe(changed["__id"]), "left")
     text = F.coalesce("__left", "text")

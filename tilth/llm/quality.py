@@ -16,6 +16,8 @@ from itertools import chain
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tilth.functions.store import cut
+
 SPACE = " \t\n\x0b\x0c\r"
 SPLIT = r"[\x20\x09-\x0D]+"
 #: Rule: measure, votes poor from (above or below) this value, votes good up to (or from) that one.
@@ -131,8 +133,8 @@ def fit(counts: dict[int, int], n_rules: int, rounds: int = ROUNDS) -> dict[int,
     return posterior
 
 
-def judge(docs: DataFrame, text: str = "text", rules: dict = RULES) -> DataFrame:
-    """``docs`` with ``measures``, ``base_failed``, ``good`` (posterior) and ``kept``.
+def judge(docs: DataFrame, text: str = "text", rules: dict = RULES, keep_text: bool = True) -> DataFrame:
+    """``docs`` (its text only if kept) with ``measures``, ``base_failed``, ``good`` (posterior) and ``kept``.
 
     ``base_failed``: fewer than 50 words, or more than half of the words in three-word
     windows that the text has twice.  Those are never kept.  Null and empty texts have
@@ -140,6 +142,8 @@ def judge(docs: DataFrame, text: str = "text", rules: dict = RULES) -> DataFrame
     Columns of these names in ``docs`` are replaced.
     """
     measured = measures(docs.drop("measures", "base_failed", "good", "kept", "votes"), text).withColumn("votes", votes(rules))
+    # Written once: a filter on the verdict must not drag the measures through every row again.
+    measured = cut(measured if keep_text else measured.drop(text))
     # As many rows as there are vectors of votes, whatever the table's size.
     counts = {r["votes"]: r["count"] for r in measured.groupBy("votes").count().collect()}
     posterior = fit(counts, len(rules))
@@ -153,4 +157,4 @@ def judge(docs: DataFrame, text: str = "text", rules: dict = RULES) -> DataFrame
 def verdicts(docs: DataFrame) -> DataFrame:
     """Per document: base measures, whether the base rules reject it, and the verdict."""
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    return judge(docs.select("doc_id", "text")).select("doc_id", *(f"measures.{n}" for n in names), "base_failed", "kept", "good")
+    return judge(docs.select("doc_id", "text"), keep_text=False).select("doc_id", *(f"measures.{n}" for n in names), "base_failed", "kept", "good")
