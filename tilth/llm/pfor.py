@@ -14,7 +14,7 @@ from __future__ import annotations
 import functools
 import struct
 from collections.abc import Callable, Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -150,9 +150,7 @@ class WordTable:
         return [np.array(x.ids, np.uint32).tobytes() for x in self.model.encode_batch(words, add_special_tokens=False)]
 
     def _learn(self, words: list[str]) -> None:
-        fresh = list(set(words) - self.number.keys())
-        if not fresh:
-            return
+        fresh = list(dict.fromkeys(words))
         stems = [w.rstrip(SIGNS) for w in fresh]
         plain = [s.isalpha() or not s for s in stems]
         tails = [w[len(s) :] for w, s in zip(fresh, stems, strict=True)]
@@ -172,8 +170,12 @@ class WordTable:
             texts = [x.replace(sign, " ") for x in texts]
         words = [x.split(" ") for x in texts]
         flat = list(chain.from_iterable(words))
-        self._learn(flat)
-        numbers = np.fromiter(map(self.number.__getitem__, flat), np.int64, len(flat))
+        numbers = np.fromiter(map(self.number.get, flat, repeat(-1)), np.int64, len(flat))
+        missed = np.flatnonzero(numbers < 0).tolist()
+        if missed:
+            new = [flat[i] for i in missed]
+            self._learn(new)
+            numbers[missed] = [self.number[w] for w in new]
         sizes = self.starts[numbers + 1] - self.starts[numbers]
         ends, bounds = np.zeros(len(flat) + 1, np.int64), np.zeros(len(texts) + 1, np.int64)
         np.cumsum(sizes, out=ends[1:])

@@ -12,7 +12,7 @@ from __future__ import annotations
 import functools
 import re
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -56,9 +56,7 @@ class ChunkTable:
         return re.findall("▁*[^▁\n]+|▁+|\n", (" " + text).replace(" ", MARK)) if text else []
 
     def _learn(self, chunks: list[str]) -> None:
-        fresh = list(set(chunks) - self.number.keys())
-        if not fresh:
-            return
+        fresh = list(dict.fromkeys(chunks))
         found = self.model.encode(["\n" + c for c in fresh], num_threads=1)
         self.texts += [x[1:] for x in self.model.decode(found, num_threads=1)]
         self.number.update(zip(fresh, range(len(self.number), len(self.texts)), strict=True))
@@ -78,8 +76,12 @@ class ChunkTable:
             return np.fromiter(chain.from_iterable(ids), np.int32), offsets, self.model.decode(ids, num_threads=1) if ids else []
         parts = [self.chunks(x) for x in texts]
         flat = list(chain.from_iterable(parts))
-        self._learn(flat)
-        numbers = np.fromiter(map(self.number.__getitem__, flat), np.int64, len(flat))
+        numbers = np.fromiter(map(self.number.get, flat, repeat(-1)), np.int64, len(flat))
+        missed = np.flatnonzero(numbers < 0).tolist()
+        if missed:
+            new = [flat[i] for i in missed]
+            self._learn(new)
+            numbers[missed] = [self.number[c] for c in new]
         sizes = self.starts[numbers + 1] - self.starts[numbers]
         ends = np.zeros(len(flat) + 1, np.int64)
         np.cumsum(sizes, out=ends[1:])
