@@ -53,10 +53,10 @@ def pack_texts(docs: DataFrame, doc_id: str, text: str, block_bytes: int = BLOCK
     return cut(packed)
 
 
-def ranges_for(blocks: DataFrame) -> int:
+def ranges_for(blocks: DataFrame, range_bytes: int = RANGE_BYTES) -> int:
     """Number of key ranges for the bytes of text in the blocks."""
     size = blocks.agg(F.sum("size")).first()[0] or 0
-    return max(FEWEST_RANGES, -(-size // RANGE_BYTES))
+    return max(FEWEST_RANGES, -(-size // range_bytes))
 
 
 def range_of(keys: np.ndarray, ranges: int) -> np.ndarray:

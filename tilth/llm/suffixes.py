@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from tilth.llm.blocks import grow, pack_texts, range_of, ranges_for, shrink
 
 LENGTH, GRAM = 50, 20
+#: Bytes of text in a block, and served by a key range: a task holds one of either and some arrays over it.
+BLOCK_BYTES, RANGE_BYTES = 3 << 20, 2 << 20
 #: Closes each segment in a suffix array's text; no UTF-8 byte.
 SEPARATOR = 255
 STEP = 1 << 17
@@ -121,11 +123,12 @@ def suffix_array(text: np.ndarray, needed: np.ndarray, depth: int = LENGTH) -> n
     n = len(text)
     rise = np.sign(text[1:].astype(np.int16) - text[:-1].astype(np.int16))
     # Equal signs take the direction of the next pair that differs; the end is a fall.
-    turn = np.where(rise != 0, np.arange(n - 1), n - 1)
+    turn = np.where(rise != 0, np.arange(n - 1, dtype=np.int32), np.int32(n - 1))
     turn = np.minimum.accumulate(turn[::-1])[::-1]
     small = np.zeros(n, bool)
-    small[:-1] = np.concatenate([rise, [-1]])[turn] > 0
-    direct = _prefix_order(words_at(text), np.flatnonzero(small & needed), depth)
+    small[:-1] = np.concatenate([rise > 0, [False]])[turn]
+    del rise, turn
+    direct = _prefix_order(words_at(text), np.flatnonzero(small & needed).astype(np.int32), depth)
     split = np.searchsorted(text[direct], np.arange(257))
     induced = needed & ~small
     queue: list[list[np.ndarray]] = [[] for _ in range(257)]
@@ -343,8 +346,8 @@ def cut_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     with the same id do not compare with each other; a document without id neither
     loses nor takes; an empty table gives an empty result.
     """
-    blocks = pack_texts(docs, doc_id, text)
-    ranges = ranges_for(blocks)
+    blocks = pack_texts(docs, doc_id, text, BLOCK_BYTES)
+    ranges = ranges_for(blocks, RANGE_BYTES)
     reported = _repeats(_segments(blocks, _shared(blocks, ranges), ranges)).groupBy("block").agg(F.collect_list("data").alias("cuts"))
     kind = docs.schema[doc_id].dataType.simpleString()
 
