@@ -36,6 +36,26 @@ def grow(data: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(data)
 
 
+def shrink_array(values: np.ndarray) -> bytes:
+    """Equal bytes of all values side by side, compressed; numbers of one size have many zeros there."""
+    values = np.ascontiguousarray(values)
+    return shrink(values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes())
+
+
+def grow_array(data: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(grow(data), np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def shrink_sorted(keys: np.ndarray) -> bytes:
+    """Ascending keys as their differences."""
+    return shrink_array(np.diff(keys, prepend=keys[:1] * 0))
+
+
+def grow_sorted(data: bytes) -> np.ndarray:
+    return np.cumsum(grow_array(data, np.uint64), dtype=np.uint64)
+
+
 def pack_texts(docs: DataFrame, doc_id: str, text: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """A written table of blocks: ``block``, ``doc_ids``, ``lengths`` (bytes), ``size`` and ``texts`` (compressed, UTF-8)."""
 

@@ -17,8 +17,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from itertools import chain
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -26,12 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tilth.functions.store import cut
-from tilth.llm.blocks import grow, pack_texts, range_of, ranges_for, shrink
+from tilth.llm.blocks import grow, grow_array, grow_sorted, pack_texts, range_of, ranges_for, shrink_array, shrink_sorted
 from tilth.llm.text import LOWER
 from tilth.llm.winnow import HASHES, MULTIPLIER
 
 #: Bytes of context, and the depth from which on trees lie within one key range.
 DEPTH, SPLIT = 5, 3
+BLOCK_BYTES = 6 << 20
 #: Stands before a text and ends it; no UTF-8 byte.
 EDGE = b"\xff"
 SMOOTHING = 0.1
@@ -135,21 +134,29 @@ class Block:
     def __init__(self, doc_ids: list, lengths: list[int], texts: bytes, depth: int) -> None:
         whole = grow(texts).translate(LOWER)
         bounds = np.concatenate([[0], np.cumsum(np.array(lengths, np.int64))]).astype(np.int64)
-        self.texts = [whole[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+        spans = list(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True))
         self.train = np.array([not held_out(x) for x in doc_ids], bool)
-        data = np.frombuffer(EDGE * depth + b"".join(t + EDGE * depth for t in self.texts), np.uint8)
         self.sizes = np.array(lengths, np.int64) + 1  # with the end
         self.starts = np.concatenate([[0], np.cumsum(self.sizes)])[:-1].astype(np.int64)
-        at = np.arange(self.sizes.sum()) + np.repeat(depth + bounds[:-1] + depth * np.arange(len(lengths)) - self.starts, self.sizes)
-        self.grams = data[at].astype(np.uint64)
+        data = np.frombuffer(EDGE * depth + b"".join(whole[a:b] + EDGE * depth for a, b in spans), np.uint8)
+        grams = data[depth:].astype(np.uint64)
         for k in range(1, depth + 1):
-            self.grams |= data[at - k].astype(np.uint64) << np.uint64(8 * (depth + 1 - k))
-        self.words = [[*t.split(), END_WORD] for t in self.texts]
-        flat = list(chain.from_iterable(self.words))
-        self.word_keys = np.fromiter(map(HASHES.__getitem__, flat), np.uint64, len(flat))
-        if len(HASHES) > 600_000:
+            grams |= data[depth - k : len(data) - k].astype(np.uint64) << np.uint64(8 * (depth + 1 - k))
+        # Of the edges behind a text only the first is its end.
+        real = np.ones(len(grams), bool)
+        for b in (bounds[1:] + depth * np.arange(len(spans))).tolist():
+            real[b + 1 : b + depth] = False
+        self.grams = grams[real]
+        del grams, data
+        keys, counts = [], []
+        for a, b in spans:
+            words = [*whole[a:b].split(), END_WORD]
+            keys.append(np.fromiter(map(HASHES.__getitem__, words), np.uint64, len(words)))
+            counts.append(len(words))
+        self.word_keys = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
+        self.word_counts = np.array(counts, np.int64)
+        if len(HASHES) > 400_000:
             HASHES.clear()
-        self.word_counts = np.array([len(x) for x in self.words], np.int64)
 
     def distinct(self, depth: int, ranges: int) -> tuple[list, list]:
         """For grams and words: distinct keys in order of range, their training counts, and the bounds of ranges."""
@@ -177,7 +184,7 @@ def _send(blocks: DataFrame, ranges: int, depth: int) -> DataFrame:
                 for kind, (keys, counts, edges) in enumerate(Block(ids, lengths, texts, depth).distinct(depth, ranges)):
                     for r, a, b in zip(range(ranges), edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                         if a < b:
-                            rows.append((kind * ranges + r, shrink(keys[a:b].tobytes()), shrink(counts[a:b].astype(np.uint32).tobytes())))
+                            rows.append((kind * ranges + r, shrink_sorted(keys[a:b]), shrink_array(counts[a:b].astype(np.uint32))))
                 yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in rows], pa.int64()), pa.array([number] * len(rows), pa.int64()), pa.array([x[1] for x in rows], pa.binary()), pa.array([x[2] for x in rows], pa.binary())], names=["range", "block", "keys", "counts"])
 
     return cut(blocks.select("block", "doc_ids", "lengths", "texts").mapInArrow(send, "range long, block long, keys binary, counts binary"))
@@ -185,8 +192,8 @@ def _send(blocks: DataFrame, ranges: int, depth: int) -> DataFrame:
 
 def _merged(table: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     """Of one range: the keys of each block, and all distinct keys with the sum of their counts."""
-    keys = [np.frombuffer(grow(x), np.uint64) for x in table["keys"].to_pylist()]
-    counts = [np.frombuffer(grow(x), np.uint32).astype(np.float64) for x in table["counts"].to_pylist()]
+    keys = [grow_sorted(x) for x in table["keys"].to_pylist()]
+    counts = [grow_array(x, np.uint32).astype(np.float64) for x in table["counts"].to_pylist()]
     return keys, *_sum_by(np.concatenate(keys), np.concatenate(counts))
 
 
@@ -197,7 +204,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: in
     of the bytes under the context trees; both count an end, which is all that a null or
     empty text has.  Without training documents every binary decision is even.
     """
-    blocks = pack_texts(docs, doc_id, text)
+    blocks = pack_texts(docs, doc_id, text, BLOCK_BYTES)
     ranges = ranges_for(blocks)
     sent = _send(blocks, ranges, depth)
 
@@ -231,7 +238,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: in
             seen = counts > 0
             own = [(depth - i, x.key, x.one, x.stop) for i, x in enumerate(levels(keys[seen], counts[seen], depth, SPLIT))]
             values = log_probabilities(keys, depth, own + shared.value).astype(np.float32)
-        found = [shrink(values[np.searchsorted(keys, x)].tobytes()) for x in asked]
+        found = [shrink_array(values[np.searchsorted(keys, x)]) for x in asked]
         return pa.table({"block": table["block"], "range": table["range"], "values": pa.chunked_array([pa.array(found, pa.binary())])})
 
     answers = sent.groupBy("range").applyInArrow(answer, "block long, range long, values binary").groupBy("block").agg(F.collect_list(F.struct("range", "values")).alias("answers"))
@@ -243,7 +250,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: in
                 block = Block(ids, lengths, texts, depth)
                 parts = {x["range"]: x["values"] for x in given}
                 (grams, _, _), (tokens, _, _) = block.distinct(depth, ranges)
-                logs, counts = (np.concatenate([np.frombuffer(grow(parts[r]), kind).astype(np.float64) for r in sorted(parts) if r // ranges == k] or [np.zeros(0)]) for k, kind in enumerate((np.float32, np.float64)))
+                logs, counts = (np.concatenate([grow_array(parts[r], kind).astype(np.float64) for r in sorted(parts) if r // ranges == k] or [np.zeros(0)]) for k, kind in enumerate((np.float32, np.float64)))
                 by_gram = _lookup(grams, logs, block.grams)
                 scores = np.add.reduceat(by_gram, block.starts) if len(ids) else by_gram
                 count = _lookup(tokens, counts, block.word_keys)
@@ -273,12 +280,16 @@ def _lookup(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndar
     slot = lambda x: (x * MULTIPLIER >> np.uint64(64 - bits)).astype(np.int64)
     table = np.zeros(1 << bits, np.int32)
     table[slot(keys)] = np.arange(len(keys))
-    at = table[slot(wanted)]
-    missed = np.flatnonzero(keys[at] != wanted)
-    if len(missed):
-        order = np.argsort(keys)
-        at[missed] = order[np.searchsorted(keys[order], wanted[missed])]
-    return values[at]
+    order = np.argsort(keys)
+    ordered = keys[order]
+    out = np.empty(len(wanted), values.dtype)
+    for start in range(0, len(wanted), 1 << 19):
+        part = wanted[start : start + (1 << 19)]
+        at = table[slot(part)]
+        missed = np.flatnonzero(keys[at] != part)
+        at[missed] = order[np.searchsorted(ordered, part[missed])]
+        out[start : start + len(part)] = values[at]
+    return out
 
 
 def digests(docs: DataFrame) -> DataFrame:
