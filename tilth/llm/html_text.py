@@ -2,10 +2,11 @@
 
 A page is a sequence of tokens: tags and texts, each with the path of elements that it
 stands in.  Tokens of one host with the same vector of occurrences over its pages form an
-equivalence class.  A class is valid if it is on enough pages, holds a tag, and its tokens
-keep their order and nesting; valid classes nested into each other are the template.  Texts
-of the template are the site's own; what remains are the slots, of which those in the
-article's part of the page are its text.
+equivalence class.  A class is valid if it is on enough pages and holds a tag; as each token
+carries its path of elements, valid classes nest into each other as their paths do and form
+the template.  (The order of tokens inside a class is not compared.)  Texts of the template
+are the site's own; what remains are the slots, of which those in the article's part of the
+page are its text.
 
 A vector is represented by an exclusive-or of hashes of (page, count), so classes of a
 host with any number of pages come from counts that combine before they are exchanged.
@@ -25,11 +26,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tilth.functions.store import cut
 from tilth.llm.text import slices
 from tilth.llm.urls import host_of
 
 #: A class is on so many pages of its host at least, and on this share of them.
 SUPPORT, SHARE = 5, 0.5
+#: Stands for a page in the counts of a host.
+PAGE = 0
 TOKENS = re.compile(r"""<!--.*?(?:-->|$)|<!\[CDATA\[.*?\]\]>|<(script|style|noscript|template|textarea|select|svg)\b[^>]*>.*?(?:</\1\s*>|$)|<[/!?]?[a-zA-Z](?:"[^"<]*"|'[^'<]*'|[^'">])*(?:>|$)|<[/!?]?[a-zA-Z][^>]*(?:>|$)|<!?[^>]{0,1}>?|[^<]+""", re.S | re.I)
 NAME = re.compile(r"<(/?)([a-zA-Z][\w:-]*)")
 NAMED = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
@@ -120,19 +124,12 @@ def block_text(parts: list[str]) -> str:
     return " ".join(html.unescape("".join(parts)).split())
 
 
-def page_tokens(source: str | None) -> dict[int, tuple[int, bool, int]]:
-    """Token hash -> how often, whether a tag, where first."""
+def page_tokens(source: str | None) -> dict[int, tuple[int, bool]]:
+    """Token hash -> how often, whether a tag; with one token that every page has."""
     pieces, tags = read_page(source)
-    out: dict[int, tuple[int, bool, int]] = {}
     counts = Counter(_hash("tag", t) for t in tags)
-    for i, t in enumerate(tags):
-        key = _hash("tag", t)
-        out.setdefault(key, (counts[key], True, i))
-    texts = [_hash("text", p.path, block_text(p.text)) for p in pieces]
-    counts = Counter(texts)
-    for i, key in enumerate(texts):
-        out.setdefault(key, (counts[key], False, i))
-    return out
+    texts = Counter(_hash("text", p.path, block_text(p.text)) for p in pieces)
+    return {PAGE: (1, False)} | {k: (n, False) for k, n in texts.items()} | {k: (n, True) for k, n in counts.items()}
 
 
 def templates(pages: DataFrame, html_column: str = "html", host: str = "host") -> DataFrame:
@@ -142,19 +139,21 @@ def templates(pages: DataFrame, html_column: str = "html", host: str = "host") -
         for batch in slices(batches, "html"):
             rows = []
             for site, page, source in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                rows += [(site, page, key, n, tag, at) for key, (n, tag, at) in page_tokens(source).items()]
-            kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["host", "page", "token", "n", "tag", "at"])
+                rows += [(site, page, key, n, tag) for key, (n, tag) in page_tokens(source).items()]
+            kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["host", "page", "token", "n", "tag"])
 
     # Equal pages are one witness: they say nothing about what varies.
     distinct = pages.select(F.col(host).alias("host"), F.xxhash64(F.coalesce(F.col(html_column), F.lit(""))).alias("page"), F.col(html_column).alias("html"))
-    tokens = distinct.mapInArrow(run, "host string, page long, token long, n long, tag boolean, at long").dropDuplicates(["host", "page", "token"])
-    sizes = tokens.groupBy("host").agg(F.approx_count_distinct("page", 0.02).alias("pages")).select(F.col("host").alias("h"), "pages")
+    tokens = distinct.mapInArrow(run, "host string, page long, token long, n long, tag boolean").dropDuplicates(["host", "page", "token"])
     vectors = tokens.groupBy("host", "token").agg(
-        F.expr("bit_xor(xxhash64(page, n))").alias("vector"), F.count("*").alias("on"), F.max("tag").alias("tag"), F.min("n").alias("least"), F.max("n").alias("most"), F.avg("at").alias("at")
+        F.expr("bit_xor(xxhash64(page, n))").alias("vector"), F.count("*").alias("on"), F.max("tag").alias("tag")
     )
+    # What is on few pages is most of all tokens and no template's; the rest is small.
+    often = cut(vectors.filter(F.col("on") >= SUPPORT))
+    sizes = often.filter(F.col("token") == PAGE).select(F.col("host").alias("h"), F.col("on").alias("pages"))
     # Few tokens are on half of a host's pages, so classes are small.
-    common = vectors.filter(F.col("on") >= SUPPORT).join(sizes, F.col("host") == F.col("h")).filter(F.col("on") >= SHARE * F.col("pages"))
+    common = often.join(sizes, F.col("host") == F.col("h")).filter(F.col("token") != PAGE).filter(F.col("on") >= SHARE * F.col("pages"))
     classes = common.groupBy("host", "vector", "on").agg(F.max("tag").alias("tagged"), F.collect_list(F.when(~F.col("tag"), F.col("token"))).alias("texts"))
     return classes.filter("tagged and size(texts) > 0").groupBy("host").agg(F.flatten(F.collect_list("texts")).alias("texts"))
 
@@ -180,7 +179,8 @@ def main_text(pages: DataFrame, html_column: str = "html", url: str = "url", out
     slots stay.  Repeated pages count once for the template and are rows of the result.
     """
     sited = pages.drop(out, "__host", "__texts").withColumn("__host", host_of(url))
-    known = templates(sited, html_column, "__host").select(F.col("host").alias("__site"), F.col("texts").alias("__texts"))
+    # Written, so that its size is known: small ones are broadcast and others joined by host.
+    known = cut(templates(sited, html_column, "__host")).select(F.col("host").alias("__site"), F.col("texts").alias("__texts"))
     joined = sited.join(known, F.col("__host") == F.col("__site"), "left").drop("__site", "__host")
     fields = [f for f in joined.schema.fields if f.name not in (html_column, "__texts")]
     schema = T.StructType([*fields, T.StructField(out, T.StringType())])
