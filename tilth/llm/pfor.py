@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import functools
 import struct
+import unicodedata
 from collections.abc import Callable, Iterator
 from itertools import chain, repeat
 
@@ -152,7 +153,8 @@ class WordTable:
     def _learn(self, words: list[str]) -> None:
         fresh = list(dict.fromkeys(words))
         stems = [w.rstrip(SIGNS) for w in fresh]
-        plain = [s.isalpha() or not s for s in stems]
+        # Letters only, and still so when normalised and lower-cased.
+        plain = [not s or s.isalpha() and (s.isascii() or unicodedata.normalize("NFC", s).lower().isalpha()) for s in stems]
         tails = [w[len(s) :] for w, s in zip(fresh, stems, strict=True)]
         stems = [s.lower() if s.isascii() else s for s in stems]
         new = dict.fromkeys(x for s, t, p in zip(stems, tails, plain, strict=True) if p for x in (s, t))
