@@ -17,6 +17,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tilth.functions.store import cut
 from tilth.llm.text import slices
@@ -56,8 +57,11 @@ def grow_sorted(data: bytes) -> np.ndarray:
     return np.cumsum(grow_array(data, np.uint64), dtype=np.uint64)
 
 
-def pack_texts(docs: DataFrame, doc_id: str, text: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """A written table of blocks: ``block``, ``doc_ids``, ``lengths`` (bytes), ``size`` and ``texts`` (compressed, UTF-8)."""
+def pack_texts(docs: DataFrame, doc_id: str, text: str, block_bytes: int = BLOCK_BYTES, carry: list[str] | None = None) -> DataFrame:
+    """A written table of blocks: ``block``, ``doc_ids``, ``lengths`` (bytes), ``size`` and ``texts`` (compressed, UTF-8).
+
+    ``carry`` names columns that travel along, as a struct for each document in ``rows``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
@@ -65,11 +69,16 @@ def pack_texts(docs: DataFrame, doc_id: str, text: str, block_bytes: int = BLOCK
             texts = [(x or "").encode() for x in batch.column("text").to_pylist()]
             lengths = pa.array([len(x) for x in texts], pa.int64())
             row = [pa.array([number]), pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), batch.column("doc_id")), pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), lengths), pa.array([sum(map(len, texts))]), pa.array([shrink(b"".join(texts))], pa.binary())]
-            yield pa.RecordBatch.from_arrays(row, names=["block", "doc_ids", "lengths", "size", "texts"])
+            if carry:
+                row.append(pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), batch.column("rows")))
+            yield pa.RecordBatch.from_arrays(row, names=["block", "doc_ids", "lengths", "size", "texts", "rows"][: len(row)])
             number += 1
 
-    kind = docs.schema[doc_id].dataType.simpleString()
-    packed = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, f"block long, doc_ids array<{kind}>, lengths array<bigint>, size long, texts binary")
+    taken = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), *([F.struct(*carry).alias("rows")] if carry else []))
+    fields = [T.StructField("block", T.LongType()), T.StructField("doc_ids", T.ArrayType(docs.schema[doc_id].dataType)), T.StructField("lengths", T.ArrayType(T.LongType())), T.StructField("size", T.LongType()), T.StructField("texts", T.BinaryType())]
+    if carry:
+        fields.append(T.StructField("rows", T.ArrayType(taken.schema["rows"].dataType)))
+    packed = taken.mapInArrow(run, T.StructType(fields))
     return cut(packed)
 
 

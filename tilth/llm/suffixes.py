@@ -21,6 +21,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tilth.llm.blocks import grow, pack_texts, range_of, ranges_for, shrink
 
@@ -338,22 +339,23 @@ def _repeats(segments: DataFrame) -> DataFrame:
     return segments.groupBy("range").applyInArrow(sort, "block long, data binary")
 
 
-def cut_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def cut_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carry: list[str] | None = None) -> DataFrame:
     """A row per document: ``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept`` (the remaining bytes).
 
+    The columns in ``carry`` stay with their rows, as a struct ``rows``.
+
     A byte goes if a string of ``LENGTH`` bytes over it also starts in a document with a
     smaller id, as the texts were given.  Null and short texts lose nothing.  Documents
     with the same id do not compare with each other; a document without id neither
     loses nor takes; an empty table gives an empty result.
     """
-    blocks = pack_texts(docs, doc_id, text, BLOCK_BYTES)
+    blocks = pack_texts(docs, doc_id, text, BLOCK_BYTES, carry)
     ranges = ranges_for(blocks, RANGE_BYTES)
     reported = _repeats(_segments(blocks, _shared(blocks, ranges), ranges)).groupBy("block").agg(F.collect_list("data").alias("cuts"))
-    kind = docs.schema[doc_id].dataType.simpleString()
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, lengths, texts, cuts in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            for at, (ids, lengths, texts, cuts) in enumerate(zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True)):
                 block = Block(ids, lengths, texts)
                 depth = np.zeros(len(block.text) + 1, np.int32)
                 for data in cuts or []:
@@ -369,10 +371,16 @@ def cut_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
                 left = block.text[~gone].tobytes()
                 kept = (block.bounds - removed).tolist()
                 rest = [left[a:b] for a, b in zip(kept[:-1], kept[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(ids, batch.schema.field(0).type.value_type), pa.array(lengths, pa.int64()), pa.array(np.diff(removed).astype(np.int64)), pa.array(np.diff(spans).astype(np.int64)), pa.array(rest, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
-
-    joined = blocks.join(reported, "block", "left").select("doc_ids", "lengths", "texts", "cuts")
-    return joined.mapInArrow(apply, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
+                columns = [pa.array(ids, batch.schema.field(0).type.value_type), pa.array(lengths, pa.int64()), pa.array(np.diff(removed).astype(np.int64)), pa.array(np.diff(spans).astype(np.int64)), pa.array(rest, pa.binary())]
+                if carry:
+                    columns.append(batch.column(4)[at].values)
+                yield pa.RecordBatch.from_arrays(columns, names=out.names)
+
+    out = T.StructType([T.StructField("doc_id", docs.schema[doc_id].dataType), *(T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")), T.StructField("kept", T.BinaryType())])
+    if carry:
+        out.add("rows", blocks.schema["rows"].dataType.elementType)
+    joined = blocks.join(reported, "block", "left").select("doc_ids", "lengths", "texts", "cuts", *(["rows"] if carry else []))
+    return joined.mapInArrow(apply, out)
 
 
 def digests(docs: DataFrame) -> DataFrame:
