@@ -29,7 +29,7 @@ def test_quantiles_by_ranges_equal_pandas(spark, shape):
     }[shape]
     t = spark.createDataFrame(pd.DataFrame({"x": x})).repartition(5)
     probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.95, 1.0]
-    got = quantiles(t, {"x": probs}, exact_rows=10, gather_rows=20, bins=16)["x"]
+    got = quantiles(t, {"x": probs}, gather_rows=20, bins=16)["x"]
     want = pd.Series(x).quantile(probs).tolist()
     assert got == pytest.approx(want, rel=1e-12, abs=0)
 
@@ -158,3 +158,30 @@ def test_wave_stream_in_batches_equals_batch(spark, tmp_path):
     streams.wave_stream(stream(), out, "pos", rejected=rejected)
     assert spark.read.parquet(f"{out}/waves").filter("id = '77'").count() == 1
     assert spark.read.parquet(f"{out}/waves").count() == 9
+
+
+def test_quantiles_end_on_infinities(spark):
+    x = [float("-inf")] * 3 + list(np.linspace(-5, 5, 3000)) + [float("inf")] * 7 + [1.5] * 500
+    t = spark.createDataFrame([(v,) for v in x], "x double").repartition(4)
+    for gather in (20, 20_000):
+        got = quantiles(t, {"x": [0.0, 0.1, 0.5, 0.9, 1.0]}, gather_rows=gather, bins=16)["x"]
+        want = pd.Series(x).quantile([0.0, 0.1, 0.5, 0.9, 1.0]).tolist()
+        assert got == pytest.approx(want)
+    only = spark.createDataFrame([(float("inf"),), (float("-inf"),), (None,)], "x double")
+    assert quantiles(only, {"x": [0.0, 1.0]})["x"] == [float("-inf"), float("inf")]
+
+
+def test_fills_are_linear_in_a_large_group(spark):
+    t = spark.range(200_000).selectExpr("id as i", "case when id % 1000 = 999 then id end as x", "1 as g")
+    for by in ("g", None):
+        filled = fix.bfill(t, ["x"], "i", by)
+        assert filled.filter("x is null or x <> i - i % 1000 + 999").count() == 0
+        assert fix.interpolate(t, ["x"], "i", by).filter("i >= 999 and x <> i").count() == 0
+
+
+def test_row_drops_change_later_statistics(spark):
+    t = spark.createDataFrame([(1, None, 1.0), (2, 5.0, 3.0), (3, 6.0, None), (4, 7.0, 11.0)], "i int, a double, b double")
+    rows = fix.impute_by_column(t, "a=drop_rows,b=mean", "median").orderBy("i").collect()
+    assert [(r["i"], r["b"]) for r in rows] == [(2, 3.0), (3, 7.0), (4, 11.0)]
+    with pytest.raises(ValueError):
+        fix.impute_by_column(t, "a=drop_rows,c=mean")

@@ -1,9 +1,9 @@
 """Exact quantiles that never gather a column in one task.
 
-``percentile`` keeps one map entry per distinct value, which is fine for small
-columns.  Above ``EXACT_ROWS`` values the column is counted into equal-width bins
-between its smallest and largest value; the bin that holds a wanted rank is then
-binned again, between its own smallest and largest value.  Every round is one
+A column is counted into equal-width bins between its smallest and largest finite
+value; the bin that holds a wanted rank is then binned again, between its own smallest
+and largest value, until so few values are left that they are sorted as they are.
+Infinities are counted apart.  Every round is one
 pruned scan with map-side aggregation into at most ``BINS`` rows per range, and a
 value that fills a bin alone is found at once, however often it occurs.
 """
@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from tilth.schema import number
 
-EXACT_ROWS = 20_000
 GATHER_ROWS = 20_000
 BINS = 1024
 
@@ -95,51 +94,52 @@ def _order_statistics(
     return found
 
 
+def _lerp(a: float, b: float, part: float) -> float:
+    return a if a == b or part == 0 else a + (b - a) * part
+
+
 def quantiles(
     df: DataFrame,
     wanted: Mapping[str, Sequence[float]],
     *,
-    exact_rows: int | None = None,
     gather_rows: int | None = None,
     bins: int = BINS,
 ) -> dict[str, list[float | None]]:
     """Linear-interpolated exact quantiles of non-null values, per column."""
-    exact_rows = EXACT_ROWS if exact_rows is None else exact_rows
     gather_rows = GATHER_ROWS if gather_rows is None else gather_rows
     if not wanted:
         return {}
     names = list(wanted)
     df = df.select(*names)
+    finite = {c: F.when(F.abs(number(df, c)) < F.lit(math.inf), number(df, c)) for c in names}
     row = df.agg(
         *[
             F.struct(
-                F.count(number(df, c)).alias("n"), F.min(number(df, c)).alias("low"), F.max(number(df, c)).alias("high")
+                F.count(number(df, c)).alias("n"),
+                F.count(finite[c]).alias("inside"),
+                F.count_if(number(df, c) == F.lit(-math.inf)).alias("below"),
+                F.min(finite[c]).alias("low"),
+                F.max(finite[c]).alias("high"),
             ).alias(f"s{i}")
             for i, c in enumerate(names)
         ]
     ).first()
     spans = {c: row[f"s{i}"] for i, c in enumerate(names)}
-    out: dict[str, list[float | None]] = {c: [None] * len(wanted[c]) for c in names}
-    small = [c for c in names if 0 < spans[c]["n"] <= exact_rows]
-    large = {c: _Range(c, s["low"], s["high"], 0, s["n"]) for c, s in spans.items() if s["n"] > exact_rows}
-    if small:
-        row = df.agg(
-            *[
-                F.percentile(number(df, c), F.array(*[F.lit(float(p)) for p in wanted[c]])).alias(f"q{i}")
-                for i, c in enumerate(small)
-            ]
-        ).first()
-        out.update({c: list(row[f"q{i}"]) for i, c in enumerate(small)})
-    if large:
-        ends = {}
-        for c, r in large.items():
-            for p in wanted[c]:
-                position = p * (r.inside - 1)
-                ends[c, p] = (math.floor(position), math.ceil(position), position % 1)
-        ranks = sorted({(c, k) for (c, _), (a, b, _) in ends.items() for k in (a, b)})
-        values = _order_statistics(df.select(*large), large, ranks, gather_rows, bins)
-        for c in large:
-            for j, p in enumerate(wanted[c]):
-                a, b, part = ends[c, p]
-                out[c][j] = values[c, a] + (values[c, b] - values[c, a]) * part
-    return out
+    ends = {}
+    for c in names:
+        for p in wanted[c] if spans[c]["n"] else []:
+            position = p * (spans[c]["n"] - 1)
+            ends[c, p] = (math.floor(position), math.ceil(position), position % 1)
+    start = {c: _Range(c, s["low"], s["high"], s["below"], s["inside"]) for c, s in spans.items() if s["inside"]}
+    ranks = sorted({(c, k) for (c, _), (a, b, _) in ends.items() for k in (a, b)})
+    values, inner = {}, []
+    for c, k in ranks:
+        if k < spans[c]["below"]:
+            values[c, k] = -math.inf
+        elif k >= spans[c]["below"] + spans[c]["inside"]:
+            values[c, k] = math.inf
+        else:
+            inner.append((c, k))
+    if inner:
+        values.update(_order_statistics(df, start, inner, gather_rows, bins))
+    return {c: [_lerp(values[c, ends[c, p][0]], values[c, ends[c, p][1]], ends[c, p][2]) if spans[c]["n"] else None for p in wanted[c]] for c in names}

@@ -20,6 +20,9 @@ def shared_dir(spark: SparkSession) -> str:
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
+        # A relative path means another folder on each machine.
+        if not spark.sparkContext.master.startswith("local") and ":" not in configured and not configured.startswith("/"):
+            raise RuntimeError("spark.checkpoint.dir must be an absolute path or a URI")
         return configured.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
     if current:
@@ -47,9 +50,17 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, "table")
     df.write.parquet(path)
+    _remove_at_end(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _remove_at_end(spark: SparkSession, path: str) -> None:
+    """Let the driver remove a written table when the application ends."""
+    jvm, context = spark._jvm, spark.sparkContext
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(target)
+
+
 def spread(scan: DataFrame, *keys: str) -> DataFrame:
     """Spread a table that was read in few pieces before work that is heavy per row.
 

@@ -334,15 +334,16 @@ def detect_imbalance(df: DataFrame, label_col: str) -> DataFrame:
     )
 
 
-def class_distribution(df: DataFrame, label_col: str, top: int = 50) -> DataFrame:
-    """The ``top`` largest classes with their share of all rows, null labels included in the total."""
+def class_distribution(df: DataFrame, label_col: str, top: int | None = None) -> DataFrame:
+    """Classes, largest first, with their share of all rows, null labels included in the total.
+
+    With ``top`` only the largest.
+    """
     total = df.agg(F.count(F.lit(1))).scalar()
-    return (
-        class_counts(df, label_col)
-        .orderBy(F.desc("count"), "label")
-        .limit(top)
-        .select("label", "count", pct(F.col("count"), total).alias("pct"))
-    )
+    counts = class_counts(df, label_col).orderBy(F.desc("count"), "label")
+    if top is not None:
+        counts = counts.limit(top)
+    return counts.select("label", "count", pct(F.col("count"), total).alias("pct"))
 
 
 def imbalance(df: DataFrame, label_col: str | None) -> DataFrame:

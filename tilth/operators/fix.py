@@ -180,35 +180,39 @@ def _neighbours(
 ) -> DataFrame:
     """Add ``_pos`` and, per column, the previous and next present value with its position.
 
-    Groups of moderate size are one window each.  When a group is larger than
-    ``group_rows`` the table is range-partitioned on (group, order), written once
+    Groups of moderate size are one window each.  Without groups, or when one is larger
+    than ``group_rows``, the table is range-partitioned on (group, order), written once
     to the shared folder, and each block fills itself; what flows between blocks
     is one row per (group, block).
     """
     by = list(by)
     present = {c: ~missing(df, c) for c in columns}
     if by:
-        largest = df.groupBy(*by).agg(F.count(F.lit(1)).alias("c")).agg(F.max("c")).first()[0] or 0
+        sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("c")).agg(F.max("c"), F.sum("c")).first()
+        largest, rows = sizes[0] or 0, sizes[1] or 0
     else:
-        largest = df.count()
+        largest = rows = df.count()
 
     def point(c: str) -> Column:
         return F.when(present[c], F.struct(F.col(c).alias("v"), F.col("_pos").alias("p")))
 
-    def around(w, c: str) -> dict[str, Column]:
-        before = w.rowsBetween(W.unboundedPreceding, -1)
-        after = w.rowsBetween(1, W.unboundedFollowing)
+    def around(w: list[str], c: str) -> dict[str, Column]:
+        # Both frames grow from the start of their order: a frame that shrinks towards
+        # the end of the group would be evaluated anew for every row.
+        before = W.partitionBy(*w).orderBy("_pos").rowsBetween(W.unboundedPreceding, -1)
+        behind = W.partitionBy(*w).orderBy(F.desc("_pos")).rowsBetween(W.unboundedPreceding, -1)
         return {
             f"_prev_{c}": F.last(point(c), ignorenulls=True).over(before),
-            f"_next_{c}": F.first(point(c), ignorenulls=True).over(after),
+            f"_next_{c}": F.last(point(c), ignorenulls=True).over(behind),
         }
 
-    if largest <= group_rows:
+    if by and largest <= group_rows:
         w = W.partitionBy(*by).orderBy(order)
         out = df.withColumn("_pos", F.row_number().over(w).cast("long"))
-        return out.withColumns({k: v for c in columns for k, v in around(w, c).items()})
+        return out.withColumns({k: v for c in columns for k, v in around(by, c).items()})
 
-    blocks = -(-df.count() // group_rows) * 2
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = max(parts, -(-rows // group_rows) * 2)
     cut_df = cut(
         df.repartitionByRange(blocks, *by, order).withColumn("_block", F.spark_partition_id())
     )
@@ -242,7 +246,7 @@ def _neighbours(
     )
     keys = [*by, "_block"]
     joined = local.join(carry, _match(local, carry, keys))
-    joined = joined.withColumns({k: v for c in columns for k, v in around(inside, c).items()})
+    joined = joined.withColumns({k: v for c in columns for k, v in around(keys, c).items()})
     joined = joined.withColumns(
         {
             **{f"_prev_{c}": F.coalesce(moved(f"_prev_{c}"), F.col(f"_in_{c}")) for c in columns},
@@ -305,6 +309,54 @@ def interpolate(
     return _fill_along(df, columns, order, partition_by, value, group_rows)
 
 
+STRATEGIES = ("mean", "median", "mode", "ffill", "bfill", "interpolate", "knn", "drop_rows", "drop_col", "constant")
+
+
+def read_strategies(text: str, columns: Sequence[str]) -> dict[str, str]:
+    """``column=strategy`` entries between commas; unknown columns or strategies raise.
+
+    A constant may hold an equals sign, and a column's name may too: the longest known
+    name in front of a sign is the column.
+    """
+    out: dict[str, str] = {}
+    for entry in filter(None, (e.strip() for e in text.split(","))):
+        known = [c for c in columns if entry.startswith(c) and entry[len(c) :].lstrip().startswith("=")]
+        if not known:
+            raise ValueError(f"no known column in {entry!r}")
+        column = max(known, key=len)
+        strategy = entry[len(column) :].lstrip()[1:].strip()
+        if strategy.partition(":")[0] not in STRATEGIES:
+            raise ValueError(f"unknown strategy in {entry!r}")
+        if column in out:
+            raise ValueError(f"two strategies for {column}")
+        out[column] = strategy
+    return out
+
+
+def _impute_in_order(df: DataFrame, spec: Mapping[str, str], default: str, *, only_numeric: bool, **options) -> DataFrame:
+    """One column after the other, runs of columns between two row drops together."""
+    numeric, gaps = set(numeric_columns(df)), set(_incomplete(df, df.columns))
+    todo: dict[str, str] = {}
+    for c in df.columns:
+        if c not in gaps or (c not in spec and only_numeric and c not in numeric):
+            continue
+        strategy = spec.get(c, default)
+        if strategy != "drop_rows":
+            todo[c] = strategy
+            continue
+        if todo:
+            df = _impute_only(df, todo, **options)
+            todo = {}
+        df = df.dropna(subset=[c])
+    return _impute_only(df, todo, **options) if todo else df
+
+
+def _impute_only(df: DataFrame, spec: Mapping[str, str], **options) -> DataFrame:
+    """The columns of ``spec`` alone; the others keep their gaps."""
+    others = {c: "leave" for c in df.columns if c not in spec}
+    return impute_by_column(df, {**others, **spec}, "leave", **options)
+
+
 def impute_by_column(
     df: DataFrame,
     spec: Mapping[str, str] | str = "",
@@ -322,10 +374,13 @@ def impute_by_column(
     strategy share their statistics pass and all literal fills are one projection.
     Text columns with a numeric default take their mode.
     """
-    if isinstance(spec, str):
-        pairs = [p.split("=", 1) for p in spec.split(",") if "=" in p]
-        spec = {k.strip(): v.strip() for k, v in pairs}
+    spec = read_strategies(spec, df.columns) if isinstance(spec, str) else dict(spec)
     df = drop_sparse_columns(nan_to_null(df), drop_threshold)
+    dropping = [c for c in df.columns if spec.get(c, default) == "drop_rows"]
+    if dropping:
+        # Strategies apply in the order of columns: a column's statistics are those of the
+        # rows that earlier columns have left.
+        return _impute_in_order(df, spec, default, order=order, partition_by=partition_by, only_numeric=only_numeric, id_col=id_col)
     numeric = set(numeric_columns(df))
     gaps = _incomplete(df, df.columns)
     plan: dict[str, list[str]] = {}
@@ -335,6 +390,8 @@ def impute_by_column(
             if only_numeric and c not in numeric:
                 continue
             strategy = default
+        if strategy == "leave":
+            continue
         if c not in numeric and strategy in ("mean", "median", "interpolate", "knn"):
             strategy = "mode"
         plan.setdefault(strategy, []).append(c)

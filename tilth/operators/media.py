@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 
 from tilth.sources.readers import AUDIO_SUFFIXES, IMAGE_SUFFIXES, stored_files
 
-SAMPLE_FILES = 200
 SIZE = T.StructType([T.StructField("width", T.IntegerType()), T.StructField("height", T.IntegerType())])
 
 
@@ -90,12 +89,14 @@ def _seconds(content: pd.Series) -> pd.Series:
     return content.map(wav_seconds).astype("float64")
 
 
-def _chosen(files: DataFrame, sample: int) -> DataFrame:
-    """Content of the first ``sample`` files by path.
+def _chosen(files: DataFrame, sample: int | None) -> DataFrame:
+    """Content of all files, or of the first ``sample`` by path.
 
     The names are picked without reading content; as literals they are pushed
     to the scan, so only those files are opened.
     """
+    if sample is None:
+        return files
     names = [r["path"] for r in files.select("path").orderBy("path").limit(sample).collect()]
     return files.filter(F.col("path").isin(names))
 
@@ -140,9 +141,9 @@ def _min_max_mean(name: str, digits: int) -> list[Column]:
 
 
 def profile_images(
-    files: DataFrame, extensions: list[str] = IMAGE_SUFFIXES, sample: int = SAMPLE_FILES
+    files: DataFrame, extensions: list[str] = IMAGE_SUFFIXES, sample: int | None = None
 ) -> DataFrame:
-    """One row over (path, length, content): sizes, classes, dimensions of the first files by path."""
+    """One row over (path, length, content): sizes, classes, dimensions of all files (or of the first ``sample`` by path)."""
     listing = stored_files(files, extensions)
     dims = (
         _chosen(listing, sample)
@@ -161,9 +162,9 @@ def profile_images(
 
 
 def profile_audio(
-    files: DataFrame, extensions: list[str] = AUDIO_SUFFIXES, sample: int = SAMPLE_FILES
+    files: DataFrame, extensions: list[str] = AUDIO_SUFFIXES, sample: int | None = None
 ) -> DataFrame:
-    """One row over (path, length, content): sizes, classes, durations of the first files by path."""
+    """One row over (path, length, content): sizes, classes, durations of all files (or of the first ``sample`` by path)."""
     listing = stored_files(files, extensions)
     spans = (
         _chosen(listing, sample)

@@ -86,9 +86,10 @@ def profile_text(df: DataFrame, text_col: str = "text") -> DataFrame:
     )
 
 
-def profile_text_dir(files: DataFrame, sampled: int = 500) -> DataFrame:
-    """One row over (path, bytes, words): sizes of all files, word counts of the first ``sampled`` by path."""
-    first = files.orderBy("path").limit(sampled).agg(
+def profile_text_dir(files: DataFrame, sampled: int | None = None) -> DataFrame:
+    """One row over (path, bytes, words): sizes and word counts; with ``sampled`` words of the first files by path."""
+    chosen = files if sampled is None else files.orderBy("path").limit(sampled)
+    first = chosen.agg(
         F.count(F.lit(1)).alias("n"),
         F.coalesce(F.round(F.avg("words"), 1), F.lit(0.0)).alias("mean"),
         F.coalesce(F.min("words"), F.lit(0)).alias("min"),

@@ -43,7 +43,7 @@ def undersample(
 
 
 def stratified_cap(
-    df: DataFrame, source_col: str, label_col: str, id_col: str, n: int = 5000, seed: object = 42
+    df: DataFrame, source_col: str, label_col: str, id_col: str, n: int, seed: object = 42
 ) -> DataFrame:
     """At most ``n`` rows per source with its label shares kept.
 

@@ -93,10 +93,11 @@ def clean_aggressive(
     *,
     text_col: str = "text",
     label_col: str = "label",
-    n: int = 1373,
+    n: int | None = None,
     seed: object = 42,
 ) -> DataFrame:
-    """Drop repeated texts and texts of unusual length, then take at most ``n`` rows per class.
+    """Drop repeated texts and texts of unusual length, then take ``n`` rows per class,
+    by default as many as the smallest class has.
 
     Deduplication is the one shuffle of the text.  Its result is written with the
     length beside it, so bounds and class quotas are found without reading text.

@@ -25,7 +25,7 @@ def collect_stage(
     codes: Mapping[str, str],
     labels: Sequence[str],
     *,
-    cap: int = 5000,
+    cap: int,
     by_source: Mapping[str, Mapping[str, str]] | None = None,
 ) -> DataFrame:
     """Decode labels, drop incomplete rows, cap every source with label shares kept."""
@@ -34,7 +34,7 @@ def collect_stage(
 
 
 def quality_stage(
-    collected: DataFrame, id_col: str, n: int = 1373
+    collected: DataFrame, id_col: str, n: int | None = None
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(cleaned rows, quality report before, before/after comparison)."""
     before = cut(collected)

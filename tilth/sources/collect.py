@@ -25,6 +25,12 @@ def stamp(at: datetime | Column | None) -> Column:
     return (F.current_timestamp() if at is None else F.lit(at)).cast("timestamp")
 
 
+def resolve_column(df: DataFrame, role: str) -> str | None:
+    """The column whose name holds ``role``, by rank: position in the table decides among equals."""
+    ranked = {position: f.name for position, f in enumerate(df.schema.fields) if role in f.name.casefold()}
+    return ranked[min(ranked)] if ranked else None
+
+
 def load_dataset(
     df: DataFrame,
     name: str,
@@ -36,13 +42,11 @@ def load_dataset(
 ) -> DataFrame:
     """Project a table to text, label, source, collected_at.
 
-    Without explicit columns the text column is the first whose name contains
-    "text" (else the first column) and the label column the first whose name
-    contains "label" (else null).  Nulls stay null.
+    Without explicit columns they are resolved by :func:`resolve_column`; the text
+    falls back on the first column and the label on null.  Nulls stay null.
     """
-    names = df.columns
-    text = text_col or next((c for c in names if "text" in c.lower()), names[0])
-    label = label_col or next((c for c in names if "label" in c.lower()), None)
+    text = text_col or resolve_column(df, "text") or df.columns[0]
+    label = label_col or resolve_column(df, "label")
     return df.select(
         F.col(text).cast("string").alias("text"),
         (F.col(label) if label else F.lit(None)).cast("string").alias("label"),
@@ -223,8 +227,16 @@ def _text(c: str) -> Column:
     return F.coalesce(F.col(c).cast("string"), F.lit(""))
 
 
-def catalog_from_hub(raw: DataFrame, query_col: str = "query") -> DataFrame:
-    """Stored hub records to catalog rows.
+#: Where a dataset's page is, by platform (fixed values).
+HUB_URL, LISTING_URL = "https://huggingface.co/datasets/", "https://www.kaggle.com/datasets/"
+
+
+def _shortened(c: Column, length: int | None) -> Column:
+    return c if length is None else F.substring(c, 1, length)
+
+
+def catalog_from_hub(raw: DataFrame, query_col: str = "query", description_chars: int | None = None) -> DataFrame:
+    """Stored hub records to catalog rows; ``description_chars`` shortens descriptions.
 
     ``raw`` columns: id, description, tags array, license array or string,
     task_categories, task_ids, size_categories and language arrays, pretty_name,
@@ -246,7 +258,7 @@ def catalog_from_hub(raw: DataFrame, query_col: str = "query") -> DataFrame:
     return raw.filter(_text("id") != "").select(
         F.col("id").cast("string").alias("id"),
         F.element_at(F.split(F.col("id").cast("string"), "/"), -1).alias("name"),
-        F.substring(_text("description"), 1, 1000).alias("description"),
+        _shortened(_text("description"), description_chars).alias("description"),
         F.lit("").alias("card_text"),
         F.concat_ws(
             " ",
@@ -270,6 +282,7 @@ def catalog_from_hub(raw: DataFrame, query_col: str = "query") -> DataFrame:
             F.nullif(F.substring(_text("last_modified"), 1, 10), F.lit("")), F.lit("unknown")
         ).alias("last_updated"),
         F.lit("huggingface").alias("platform"),
+        F.concat(F.lit(HUB_URL), F.col("id").cast("string")).alias("url"),
         F.array(F.col(query_col)).alias("matched_queries"),
     )
 
@@ -279,15 +292,15 @@ def parse_int(c: Column) -> Column:
     return F.coalesce(F.regexp_replace(F.trim(c), ",", "").try_cast("long"), F.lit(0))
 
 
-def catalog_from_listing(raw: DataFrame, query_col: str = "query") -> DataFrame:
-    """Stored csv listing rows to catalog rows.
+def catalog_from_listing(raw: DataFrame, query_col: str = "query", description_chars: int | None = None) -> DataFrame:
+    """Stored csv listing rows to catalog rows; ``description_chars`` shortens subtitles.
 
     ``raw`` string columns: ref, title, subtitle, tags, size, downloadCount,
     totalBytes, voteCount, licenseName, lastUpdated, creationDate.
     """
     ref = F.trim(_text("ref"))
     title = F.trim(F.coalesce(F.col("title"), ref))
-    subtitle = F.substring(F.trim(_text("subtitle")), 1, 500)
+    subtitle = _shortened(F.trim(_text("subtitle")), description_chars)
     tags = F.filter(F.transform(F.split(_text("tags"), ","), lambda t: F.trim(t)), lambda t: t != "")
     licence = F.trim(F.coalesce(F.col("licenseName"), F.lit("unknown")))
     size = F.trim(_text("size"))
@@ -309,6 +322,7 @@ def catalog_from_listing(raw: DataFrame, query_col: str = "query") -> DataFrame:
         none.alias("language"),
         F.substring(updated, 1, 10).alias("last_updated"),
         F.lit("kaggle").alias("platform"),
+        F.concat(F.lit(LISTING_URL), ref).alias("url"),
         F.array(F.col(query_col)).alias("matched_queries"),
     )
 

@@ -127,13 +127,13 @@ def catalog_from_hub(spark, d):
     return C.catalog_from_hub(_hub_rows(spark, d)).select(
         "id", "name", "description", F.length("corpus_text").cast("long").alias("corpus_chars"),
         "downloads", "likes", F.array_join("tags", ",").alias("tags"), "license", "size_kb", "last_updated",
-        "platform",
+        "platform", "url",
     )
 
 
 CATALOG_FROM_HUB_SQL = """
 select source || '/d' || doc_id as id, 'd' || doc_id as name,
-  substr(case when doc_id % 9 > 0 then text else '' end, 1, 1000) as description,
+  case when doc_id % 9 > 0 then text else '' end as description,
   cast(length(source || '/d' || doc_id) + length(case when doc_id % 9 > 0 then text else '' end)
     + length(lang || ' source:' || source) + case when doc_id % 4 > 0 then 5 else 0 end
     + 19 + 0 + length(source) + 6 as bigint) as corpus_chars,
@@ -141,7 +141,7 @@ select source || '/d' || doc_id as id, 'd' || doc_id as name,
   case when doc_id % 4 > 0 then 'cc by' else 'unknown' end as license,
   round(nullif(case when doc_id % 3 > 0 then n_chars else n_chars * 2 end, 0) / 1024.0::double, 1) as size_kb,
   case when doc_id % 5 > 0 then '2024-03-04' else 'unknown' end as last_updated,
-  'huggingface' as platform
+  'huggingface' as platform, 'https://huggingface.co/datasets/' || source || '/d' || doc_id as url
 from documents where doc_id % 50 > 0
 """
 
@@ -169,7 +169,7 @@ def catalog_from_listing(spark, d):
     return C.catalog_from_listing(listing_rows(spark, d)).select(
         "id", "name", "description", "corpus_text", "downloads", "likes",
         F.array_join("tags", ",").alias("tags"), F.array_join("size_categories", ",").alias("sizes"),
-        "license", "last_updated", "platform",
+        "license", "last_updated", "platform", "url",
     )
 
 
@@ -179,17 +179,35 @@ select 'kaggle:owner/p' || p_partkey as id, p_name as name, p_type || ' part' as
   cast(case when p_partkey % 7 = 0 then p_partkey when p_partkey % 7 = 1 then 0 else p_partkey * 37 end as bigint) as downloads,
   cast(p_size as bigint) as likes, p_brand || ',' || p_type as tags,
   case when p_partkey % 3 > 0 then p_size || 'KB' else '' end as sizes, 'CC0' as license,
-  case when p_partkey % 2 = 0 then '2023-01-02' else '2024-05-06' end as last_updated, 'kaggle' as platform
+  case when p_partkey % 2 = 0 then '2023-01-02' else '2024-05-06' end as last_updated, 'kaggle' as platform,
+  'https://www.kaggle.com/datasets/owner/p' || p_partkey as url
 from part where p_partkey % 40 > 0
 """
 
 
+def _stored_listing(spark, d):
+    """The documents as a stored listing of files: path and length."""
+    suffix = F.element_at(F.array(*[F.lit(s) for s in (".csv", ".PNG", ".wav", ".md")]), (F.col("doc_id") % 4 + 1).cast("int"))
+    path = F.concat(F.lit("/data/"), "source", F.lit("/"), "doc_id", suffix)
+    return table(spark, d, "documents").select(path.alias("path"), F.col("n_chars").alias("length"))
+
+
 def files_inventory(spark, d):
-    return R.files_inventory(spark, d, [".parquet"])
+    return R.stored_files(_stored_listing(spark, d), [".png", ".CSV"])
+
+
+FILES_INVENTORY_SQL = """
+select '/data/' || source || '/' || doc_id || case doc_id % 4 when 0 then '.csv' else '.PNG' end as path, n_chars as length,
+  case doc_id % 4 when 0 then '.csv' else '.png' end as extension, source as class
+from documents where doc_id % 4 < 2
+"""
 
 
 def detect_modality(spark, d):
-    return R.detect_modality(R.files_inventory(spark, d))
+    return R.detect_modality(R.stored_files(_stored_listing(spark, d)))
+
+
+DETECT_MODALITY_SQL = "select case when count(*) filter (where doc_id % 4 = 1) > 0 then 'image' when count(*) filter (where doc_id % 4 = 2) > 0 then 'audio' else 'text' end as modality from documents"
 
 
 def file_modality(spark, d):
@@ -372,8 +390,8 @@ CASES = {
     "extract_html_paragraphs": (html_paragraphs, None),
     "catalog_from_hub": (catalog_from_hub, CATALOG_FROM_HUB_SQL),
     "catalog_from_listing": (catalog_from_listing, LISTING_SQL),
-    "files_inventory": (files_inventory, None),
-    "detect_modality": (detect_modality, None),
+    "files_inventory": (files_inventory, FILES_INVENTORY_SQL),
+    "detect_modality": (detect_modality, DETECT_MODALITY_SQL),
     "file_modality": (
         file_modality,
         """select doc_id, case doc_id % 4 when 0 then 'tabular' when 1 then 'image' when 2 then 'audio' else 'text' end as modality

@@ -73,13 +73,13 @@ def catalog_merge(spark, d):
         F.when(F.col("id") != "7", F.col("id")).otherwise("").alias("id"),
         (F.col("pos") % 3).alias("file"), "pos", "score",
         F.array("query").alias("matched_queries"), F.lit(1).alias("query_match_count"),
-    ).filter("pos % 7 < 2 or id in ('1', '2', '')")
+    )
     out = C.catalog_merge(rows, ["file", "pos"])
     return out.select("id", "score", F.array_join("matched_queries", ",").alias("queries"), "query_match_count")
 
 
 CATALOG_MERGE_SQL = f"""
-with h as (select *, pos % 3 as file from ({HITS_SQL}) where id <> '7' and (pos % 7 < 2 or id in ('1', '2'))),
+with h as (select *, pos % 3 as file from ({HITS_SQL}) where id <> '7'),
  f as (select id, arg_min(score, file * 1000000000 + pos) as score, count(*) as n from h group by id),
  q as (select distinct id, query from h)
 select f.id, any_value(f.score) as score, string_agg(query, ',' order by query) as queries,
@@ -105,18 +105,18 @@ where r = 1
 def union_ids(spark, d):
     docs = table(spark, d, "documents")
     labels = table(spark, d, "labels")
-    return C.union_ids_counts(labels.select("doc_id"), docs.filter("doc_id % 2 = 0").select("doc_id"))
+    return C.union_ids_counts(labels.select("doc_id"), docs.select("doc_id"))
 
 
 UNION_IDS_SQL = """
-with e as (select distinct doc_id from labels), n as (select distinct doc_id from documents where doc_id % 2 = 0)
+with e as (select distinct doc_id from labels), n as (select distinct doc_id from documents)
 select (select count(*) from e) as existing, (select count(*) from n where doc_id not in (select doc_id from e)) as added,
   (select count(*) from (select * from e union select * from n)) as total
 """
 
 
 def union_id_set(spark, d):
-    docs = table(spark, d, "documents").filter("doc_id % 2 = 0").select("doc_id")
+    docs = table(spark, d, "documents").select("doc_id")
     return C.union_ids(table(spark, d, "labels").select("doc_id"), docs)
 
 
@@ -275,7 +275,7 @@ CASES = {
     "merge_final": (merge_final, MERGE_FINAL_SQL),
     "union_ids_counts": (union_ids, UNION_IDS_SQL),
     "union_ids": (
-        union_id_set, "select doc_id from labels union select doc_id from documents where doc_id % 2 = 0",
+        union_id_set, "select doc_id from labels union select doc_id from documents",
     ),
     "apply_corrections": (apply_corrections, APPLY_CORRECTIONS_SQL),
     "history_compare": (history_compare, HISTORY_COMPARE_SQL),

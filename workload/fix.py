@@ -42,7 +42,7 @@ def _along(fill):
 
 def _along_all(fill):
     def run(spark, d):
-        return fill(events_gaps(spark, d), ["value"], "event_id", group_rows=2000).select("event_id", F.round("value", 6).alias("value"))
+        return fill(events_gaps(spark, d), ["value"], "event_id").select("event_id", F.round("value", 6).alias("value"))
 
     return run
 
@@ -200,7 +200,7 @@ k as (select {t}.* from {t}, q where length(text) between q1 - 1.5 * (q3 - q1) a
 
 def _clean(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text", F.col("lang").alias("label"), "source", "n_chars")
-    return docs, Q.clean_aggressive(docs, "doc_id", n=1373)
+    return docs, Q.clean_aggressive(docs, "doc_id", n=50)
 
 
 def clean_aggressive(spark, d):
@@ -211,7 +211,7 @@ CLEAN_CTE = f"""
 with docs as (select doc_id, text, lang as label, source, n_chars from documents),
 u as (select doc_id, text, label, source, n_chars from (select *, row_number() over (partition by text order by doc_id) as r from docs) where r = 1),
 {LENGTH_CTE.format(t="u")},
-c as (select doc_id, text, label, source, n_chars from (select *, row_number() over (partition by label order by {md5_sql(42, "doc_id")}, doc_id) as r from k) where r <= 1373)
+c as (select doc_id, text, label, source, n_chars from (select *, row_number() over (partition by label order by {md5_sql(42, "doc_id")}, doc_id) as r from k) where r <= 50)
 """
 
 

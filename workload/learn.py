@@ -144,7 +144,7 @@ def learning_curve(spark, d):
 def stage_flow(spark, d):
     """Collect, clean, export: rows and classes after each stage."""
     unified = table(spark, d, "documents").selectExpr("doc_id", "text", "lang as label", "source")
-    collected = stages.collect_stage(unified, "doc_id", {}, ["en", "fr", "de", "es"], cap=5000)
+    collected = stages.collect_stage(unified, "doc_id", {}, ["en", "fr", "de", "es"], cap=40)
     cleaned, _, comparison = stages.quality_stage(collected, "doc_id")
     return comparison
 

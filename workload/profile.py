@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tilth.functions.scalars import STOP_WORDS
 from tilth.functions.store import spread
+from tilth.functions.scalars import word_count
 from tilth.operators import compare as M
 from tilth.operators import media
 from tilth.operators import profile as P
@@ -70,7 +71,19 @@ from t
 
 
 def profile_text_dir(spark, d):
-    return P.profile_text_dir(_text_files(spark, d))
+    """The documents as stored text files: path, bytes and words of each."""
+    files = table(spark, d, "documents").select(
+        F.concat(F.lit("/data/"), "source", F.lit("/"), "doc_id", F.lit(".txt")).alias("path"),
+        F.octet_length("text").cast("long").alias("bytes"), word_count("text").cast("long").alias("words"),
+    )
+    return P.profile_text_dir(files)
+
+
+PROFILE_TEXT_DIR_SQL = """
+with f as (select strlen(text) as bytes, len(regexp_extract_all(text, '\\S+')) as words from documents)
+select count(*) as total_files, sum(bytes)::bigint as bytes_total, round(avg(bytes), 0) as bytes_mean, count(*) as count_sampled,
+ round(avg(words), 1) as words_mean, min(words) as words_min, max(words) as words_max from f
+"""
 
 
 def _hex(value, width, little):
@@ -114,7 +127,7 @@ def profile_images(spark, d):
 
 PROFILE_IMAGES_SQL = """
 with f as (select '/data/' || lang || '/' || lpad(cast(doc_id as string), 7, '0') as path, lang, n_chars, doc_id % 7 + 1 as h from documents),
- s as (select * from f order by path limit 200)
+ s as (select * from f)
 select count(*) as total_files, sum(n_chars)::bigint as bytes_total, round(avg(n_chars), 0) as bytes_mean, min(n_chars) as bytes_min, max(n_chars) as bytes_max,
  count(distinct lang) as num_classes, any_value(c) as count_sampled, any_value(w0) as width_min, any_value(w1) as width_max, any_value(wm) as width_mean,
  any_value(h0) as height_min, any_value(h1) as height_max, any_value(hm) as height_mean, any_value(u) as unique_sizes
@@ -129,7 +142,7 @@ def profile_audio(spark, d):
 
 PROFILE_AUDIO_SQL = """
 with f as (select '/data/' || event_type || '/' || lpad(cast(event_id as string), 8, '0') as path, event_type, cast(trunc(value * 1000) as bigint) as n from events),
- s as (select n / 8000.0::double as x from f order by path limit 200)
+ s as (select n / 8000.0::double as x from f)
 select count(*) as total_files, sum(n + 44)::bigint as bytes_total, round(avg(n + 44), 0) as bytes_mean, min(n + 44) as bytes_min, max(n + 44) as bytes_max,
  count(distinct event_type) as num_classes, any_value(c) as count_sampled, any_value(a) as seconds_min, any_value(b) as seconds_max, any_value(m) as seconds_mean
 from f, (select count(*) as c, round(min(x), 2) as a, round(max(x), 2) as b, round(avg(x), 2) as m from s)
@@ -311,7 +324,7 @@ CASES = {
         profile_head, "select l_orderkey, l_linenumber, l_quantity from lineitem order by l_orderkey, l_linenumber limit 3",
     ),
     "profile_text": (profile_text, PROFILE_TEXT_SQL),
-    "profile_text_dir": (profile_text_dir, None),
+    "profile_text_dir": (profile_text_dir, PROFILE_TEXT_DIR_SQL),
     "profile_images": (profile_images, PROFILE_IMAGES_SQL),
     "profile_audio": (profile_audio, PROFILE_AUDIO_SQL),
     "image_classes": (
