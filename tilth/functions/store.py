@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 # Temporary folders of local applications that name no shared folder.
 _local_dirs: dict[str, str] = {}
 
@@ -49,7 +51,13 @@ def cut(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_path(spark, "table")
-    df.write.parquet(path)
+    # The written table replaces the shuffles behind it, so their files can go at once.
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     _remove_at_end(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
