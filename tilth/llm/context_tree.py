@@ -30,7 +30,7 @@ from tilth.llm.winnow import HASHES, MULTIPLIER
 
 #: Bytes of context, and the depth from which on trees lie within one key range.
 DEPTH, SPLIT = 5, 3
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 5 << 20
 #: Stands before a text and ends it; no UTF-8 byte.
 EDGE = b"\xff"
 SMOOTHING = 0.1
@@ -241,7 +241,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: in
         found = [shrink_array(values[np.searchsorted(keys, x)]) for x in asked]
         return pa.table({"block": table["block"], "range": table["range"], "values": pa.chunked_array([pa.array(found, pa.binary())])})
 
-    answers = sent.groupBy("range").applyInArrow(answer, "block long, range long, values binary").groupBy("block").agg(F.collect_list(F.struct("range", "values")).alias("answers"))
+    answers = cut(sent.groupBy("range").applyInArrow(answer, "block long, range long, values binary")).groupBy("block").agg(F.collect_list(F.struct("range", "values")).alias("answers"))
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

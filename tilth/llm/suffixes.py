@@ -23,11 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tilth.functions.store import cut
 from tilth.llm.blocks import grow, pack_texts, range_of, ranges_for, shrink
 
 LENGTH, GRAM = 50, 20
 #: Bytes of text in a block, and served by a key range: a task holds one of either and some arrays over it.
-BLOCK_BYTES, RANGE_BYTES = 3 << 20, 2 << 20
+BLOCK_BYTES, RANGE_BYTES = 2 << 20, 1 << 20
 #: Closes each segment in a suffix array's text; no UTF-8 byte.
 SEPARATOR = 255
 STEP = 1 << 17
@@ -351,7 +352,9 @@ def cut_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", car
     """
     blocks = pack_texts(docs, doc_id, text, BLOCK_BYTES, carry)
     ranges = ranges_for(blocks, RANGE_BYTES)
-    reported = _repeats(_segments(blocks, _shared(blocks, ranges), ranges)).groupBy("block").agg(F.collect_list("data").alias("cuts"))
+    # Each round's answers are written, so that its exchanges can be dropped before the next.
+    shared = cut(_shared(blocks, ranges))
+    reported = cut(_repeats(_segments(blocks, shared, ranges))).groupBy("block").agg(F.collect_list("data").alias("cuts"))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
