@@ -162,7 +162,7 @@ def test_wave_stream_in_batches_equals_batch(spark, tmp_path):
 
 def test_quantiles_end_on_infinities(spark):
     x = [float("-inf")] * 3 + list(np.linspace(-5, 5, 3000)) + [float("inf")] * 7 + [1.5] * 500
-    t = spark.createDataFrame([(v,) for v in x], "x double").repartition(4)
+    t = spark.createDataFrame([(float(v),) for v in x], "x double").repartition(4)
     for gather in (20, 20_000):
         got = quantiles(t, {"x": [0.0, 0.1, 0.5, 0.9, 1.0]}, gather_rows=gather, bins=16)["x"]
         want = pd.Series(x).quantile([0.0, 0.1, 0.5, 0.9, 1.0]).tolist()

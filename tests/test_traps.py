@@ -486,3 +486,17 @@ def test_empty_input(spark):
     assert oversample(t, "label", "id").count() == 0
     assert one(agree.cohen_kappa(t, "label", "text"))["kappa"] is None
     assert rows(profile.histogram(t, "x")) == []
+
+
+def test_selectors_combine_or_raise():
+    from tilth.sources.pages import select_text
+
+    page = "<article id=m><p>a</p><div class='x y'><p>b</p><a href='/q'>c</a></div></article><p>d</p><ul><li lang=en-GB>e</li></ul>"
+    assert select_text(page, "article p") == ["a", "b"]
+    assert select_text(page, "#m > p") == ["a"]
+    assert select_text(page, "p, li") == ["a", "b", "d", "e"]
+    assert select_text(page, "div.x.y > a[href^='/']") == ["c"]
+    assert select_text(page, "li[lang|=en]") == ["e"] and select_text(page, "*[href]") == ["c"]
+    for wrong in ("p:first-child", "p + p", "p >", "", "p,,a"):
+        with pytest.raises(ValueError):
+            select_text(page, wrong)

@@ -16,6 +16,8 @@ B = 0.75
 EPSILON = 0.25
 # Fixed value: bonus per query that found a candidate.
 MATCH_BONUS = 0.05
+# Beyond so many query terms the tokens are joined with them instead of filtered.
+LITERAL_TERMS = 5_000
 
 
 def query_terms(texts: DataFrame, text_col: str) -> DataFrame:
@@ -70,9 +72,13 @@ def bm25(docs: DataFrame, terms: DataFrame, id_col: str = "id", text_col: str =
         )
         .select("term", (F.col("idf") * F.col("repeats")).alias("weight"))
     )
+    # Query terms are words of the queries; up to this many they go along as literals, so
+    # that only their occurrences leave a document.
+    names = [r["term"] for r in weights.select("term").limit(LITERAL_TERMS + 1).collect()]
+    wanted = F.filter("tokens", lambda t: t.isin(names)) if len(names) <= LITERAL_TERMS else F.col("tokens")
     tf = (
         # The outer form keeps the optimiser from adding a filter that tokenises once more.
-        tokens.select("id", F.size("tokens").alias("dl"), F.explode_outer("tokens").alias("term"))
+        tokens.select("id", F.size("tokens").alias("dl"), F.explode_outer(wanted).alias("term"))
         .join(weights, "term")
         .groupBy("id", "term")
         .agg(

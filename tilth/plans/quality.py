@@ -29,8 +29,8 @@ from tilth.schema import numeric_columns
 DEFAULT = {"missing": "median", "duplicates": "drop", "outliers": "clip_iqr", "imbalance": "skip"}
 TASK_STRATEGIES = {
     "classification": {"missing": "median", "duplicates": "drop", "outliers": "clip_iqr"},
-    "regression": {"missing": "median", "duplicates": "drop", "outliers": "clip_iqr"},
-    "clustering": {"missing": "median", "duplicates": "drop", "outliers": "clip_iqr"},
+    "regression": {"missing": "median", "duplicates": "drop", "outliers": "drop"},
+    "clustering": {"missing": "drop_rows", "duplicates": "drop", "outliers": "clip_iqr"},
 }
 KEEP = {"drop": "first", "keep_last": "last", "keep_none": "none"}
 
