@@ -39,8 +39,8 @@ MAX_TERMS = 10_000
 TOKEN = r"(?U)\b\w\w+\b"
 # Rows per task while fitting.
 TRAIN_ROWS = 5_000
-# Steps of the linear SVM: the hinge loss has no smooth optimum to converge to.
-SVM_STEPS = 25
+# The linear SVM stops where a step changes its loss by no more than this share.
+SVM_TOLERANCE = 1e-4
 HISTORY = "iteration int, n_labeled long, accuracy double, f1 double, strategy string"
 
 
@@ -106,6 +106,7 @@ def fit_text_classifier(
     Features follow sublinear tf, smoothed idf plus one, unit length.  ``logreg`` is
     L2-regularised with weight 1/n on the mean loss; ``svm`` is a linear SVM per
     class whose margins are calibrated by logistic regression (MLlib has no kernel SVM).
+    Both stop by tolerance; ``max_iter`` only bounds the steps of a fit that never gets there.
     """
     if model not in ("logreg", "svm"):
         raise ValueError("model must be logreg or svm")
@@ -169,7 +170,7 @@ def fit_text_classifier(
         if model == "logreg":
             stages = [logreg.fit(train)]
         else:
-            stages = _one_vs_rest(train, len(index.labels), n)
+            stages = _one_vs_rest(train, len(index.labels), n, max_iter)
             margins = PipelineModel(stages=stages).transform(train)
             stages.append(logreg.copy({logreg.featuresCol: "_margins"}).fit(margins))
         classifier = PipelineModel(stages=[*stages, decode])
@@ -178,13 +179,13 @@ def fit_text_classifier(
     return TextClassifier(counter, weights, classifier, list(index.labels))
 
 
-def _one_vs_rest(train: DataFrame, classes: int, n: int) -> list:
+def _one_vs_rest(train: DataFrame, classes: int, n: int, max_iter: int) -> list:
     """One linear SVM per class (one in all for two classes) and their margins as a vector."""
     wanted = range(classes) if classes > 2 else [1]
     stages: list = [
         LinearSVC(
             featuresCol="_features", labelCol="_is", predictionCol=f"_vote_{i}", rawPredictionCol=f"_margin_{i}",
-            regParam=1.0 / n, standardization=False, maxIter=SVM_STEPS, tol=1e-4,
+            regParam=1.0 / n, standardization=False, maxIter=max_iter, tol=SVM_TOLERANCE,
         ).fit(train.withColumn("_is", (F.col("_y") == i).cast("double")))
         for i in wanted
     ]

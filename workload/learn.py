@@ -46,8 +46,8 @@ def _labelled(spark, d):
     return docs.join(table(spark, d, "labels"), "doc_id").selectExpr(*LABELLED)
 
 
-def _model(spark, d, model="logreg", terms=1000):
-    return M.fit_text_classifier(_labelled(spark, d), model=model, max_terms=terms)
+def _model(spark, d, model="logreg"):
+    return M.fit_text_classifier(_labelled(spark, d), model=model)
 
 
 def _predictions(model):
@@ -101,7 +101,7 @@ def _query(strategy):
 
 def evaluate_model(spark, d):
     split = stratified_split(_labelled(spark, d), "label", "doc_id")
-    fitted = M.fit_text_classifier(split.filter("split = 'train'"), max_terms=1000)
+    fitted = M.fit_text_classifier(split.filter("split = 'train'"))
     return evaluate(fitted.transform(split.filter("split = 'test'")), "label", "predicted")
 
 
@@ -114,13 +114,13 @@ def _seeded(spark, d):
 
 def run_cycle(spark, d):
     seed, pool, test = _seeded(spark, d)
-    history, _ = M.run_cycle(seed, pool, "doc_id", strategy="margin", n_iterations=1, test=test, max_terms=1000)
+    history, _ = M.run_cycle(seed, pool, "doc_id", strategy="margin", test=test)
     return history
 
 
 def compare_strategies(spark, d):
     seed, pool, test = _seeded(spark, d)
-    side_by_side, _ = M.compare_strategies(seed, pool, "doc_id", n_iterations=1, test=test, max_terms=1000)
+    side_by_side, _ = M.compare_strategies(seed, pool, "doc_id", test=test)
     return side_by_side
 
 
