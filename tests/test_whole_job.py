@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tilth.llm import html_text
 from tilth.operators import learn as M
 from workload import learn as L
 
@@ -25,3 +26,30 @@ def test_learning_queries_keep_the_whole_vocabulary_and_all_rounds(spark, monkey
     L.run_cycle(spark, FOLDER)
     L.compare_strategies(spark, FOLDER)
     assert len(given) == 2 and not any({"max_terms", "n_iterations"} & set(k) for k in given)
+
+
+def test_signs_above_an_article_do_not_discard_it():
+    text = "<p>The story of the day is long enough.</p>"
+    around = "<div class='sidebar'><p>Aside</p></div>"
+    pages = [
+        f"<body class='single no-sidebar'><article>{text}</article>{around}",
+        f"<body class='sidebar'><article>{text}</article>{around}",
+        f"<div class='has-sidebar'>{text}</div>{around}",
+        f"<div class='page-with-sidebar'><article>{text}</article>{around}</div>",
+        f"<article class='post comments-open'>{text}</article>{around}",
+        f"<article class='post share'>{text}</article>{around}",
+        f"<form><main><article>{text}</article></main>{around}</form>",
+        f"<main><h1>Title</h1><form><article>{text}</article></form></main>",
+        f"<form action=x><div>{text}</div>{around}</form>",
+        f"<div id='widget'><article>{text}<section class='comments'><article><p>me too</p></article></section></article></div>",
+        f"<article data-class='comments' data-id='menu' title='x class=nav'>{text}</article>",
+    ]
+    story = "The story of the day is long enough."
+    assert [html_text.extract(p, set()).removeprefix("Title\n\n") for p in pages] == [story] * len(pages)
+    # What is not the article stays out.
+    others = [
+        f"<div>{text}</div><section class='comments'><article class='comment'><p>me too</p></article></section>",
+        f"<article>{text}</article><div class='comments'><article><p>{'a longer answer ' * 9}</p></article></div>",
+        f"<div>{text}</div><form><p>Your address</p></form><nav class=x><p>{'Home ' * 40}</p></nav>",
+    ]
+    assert [html_text.extract(p, set()) for p in others] == [story] * len(others)

@@ -36,7 +36,8 @@ SUPPORT, SHARE = 5, 0.5
 PAGE = 0
 TOKENS = re.compile(r"""<!--.*?(?:-->|$)|<!\[CDATA\[.*?\]\]>|<(script|style|noscript|template|textarea|select|svg)\b[^>]*>.*?(?:</\1\s*>|$)|<[/!?]?[a-zA-Z](?:"[^"<]*"|'[^'<]*'|[^'">])*(?:>|$)|<[/!?]?[a-zA-Z][^>]*(?:>|$)|<!?[^>]{0,1}>?|[^<]+""", re.S | re.I)
 NAME = re.compile(r"<(/?)([a-zA-Z][\w:-]*)")
-NAMED = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
+#: Attributes in order, so that neither data-class nor the text of another value counts as a class.
+NAMED = re.compile(r"""([^\s"'<>/=]+)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset("address article aside blockquote body caption center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 #: Start tags that end an open element of the second set.
@@ -49,24 +50,39 @@ SIGNS = frozenset(
 )
 #: These only outside an article, where they head the page.
 HEADERS = frozenset(["header", "topbar", "top"])
+#: Names with these words say what a page has, or how it is set, and not what the element is.
+BEFORE, AFTER = frozenset("has no is with without not".split()), frozenset("open closed enabled disabled layout".split())
+#: These are the page or the article, whatever their names say.
+FRAMES = frozenset(["html", "body", "main"])
+#: Why a text is outside the article: a form around it, a name, an element or role.
+FORM, NAME_SIGN, FIRM = 1, 2, 4
 
 
 def _hash(*parts: str) -> int:
     return xxhash.xxh64_intdigest("\x00".join(parts)) - (1 << 63)
 
 
+def _words(names: str) -> set[str]:
+    """The words of class names and ids, without names such as has-sidebar or comments-open."""
+    parts = [re.findall(r"[a-z]+", x) for x in names.split()]
+    return {w for x in parts if x and not BEFORE & set(x[:-1]) and x[-1] not in AFTER for w in x}
+
+
 class Piece:
-    """A run of text in one block: path of elements, text, whether it is inside or outside the article."""
+    """A run of text in one block: path of elements, text, whether it is inside or outside the article.
+
+    ``lifted``: in an article below which no sign stands, though signs may stand above it.
+    """
 
-    __slots__ = ("path", "text", "inside", "outside", "linked")
+    __slots__ = ("path", "text", "inside", "outside", "lifted", "linked")
 
-    def __init__(self, path: str, inside: bool, outside: bool) -> None:
-        self.path, self.inside, self.outside, self.text, self.linked = path, inside, outside, [], 0
+    def __init__(self, path: str, inside: bool, outside: int, lifted: bool) -> None:
+        self.path, self.inside, self.outside, self.lifted, self.text, self.linked = path, inside, outside, lifted, [], 0
 
 
 def read_page(source: str | None) -> tuple[list[Piece], list[str]]:
     """The text blocks of a page in order, and the paths of its tags in order."""
-    stack: list[tuple[str, str, bool, bool]] = []  # element, label, in article, outside it
+    stack: list[tuple[str, str, bool, int, bool, bool]] = []  # element, label, in article, why outside it, lifted, below an article element
     pieces: list[Piece] = []
     tags: list[str] = []
     piece: Piece | None = None
@@ -76,8 +92,7 @@ def read_page(source: str | None) -> tuple[list[Piece], list[str]]:
             if token[0] == "<" and len(token) > 1 and token[1] in "!?/":
                 continue
             if piece is None:
-                inside, outside = (stack[-1][2], stack[-1][3]) if stack else (False, False)
-                piece = Piece("/".join(x[1] for x in stack if x[0] in BLOCKS), inside, outside)
+                piece = Piece("/".join(x[1] for x in stack if x[0] in BLOCKS), *(stack[-1][2:5] if stack else (False, 0, False)))
                 pieces.append(piece)
             piece.text.append(token)
             if any(x[0] == "a" for x in stack[-3:]):
@@ -107,14 +122,26 @@ def read_page(source: str | None) -> tuple[list[Piece], list[str]]:
         elif name in BLOCKS and stack and any(x[0] == "p" for x in stack):
             while stack.pop()[0] != "p":  # a block ends an open paragraph
                 pass
-        marks = {k.lower(): v.strip("\"'").lower() for k, v in NAMED.findall(token)}
-        words = set(re.findall(r"[a-z]+", marks.get("class", "") + " " + marks.get("id", "")))
-        inside, outside = (stack[-1][2], stack[-1][3]) if stack else (False, False)
-        out = name in OUTSIDE or marks.get("role") in ROLES or bool(words & SIGNS) or (not inside and (name == "header" or bool(words & HEADERS)))
+        marks = {k.lower(): v.strip("\"'").lower() for k, v in NAMED.findall(token, head.end()) if k.lower() in ("class", "id", "role")}
+        words = set() if name in FRAMES else _words(marks.get("class", "") + " " + marks.get("id", ""))
+        inside, outside, lifted, below = stack[-1][2:] if stack else (False, 0, False, False)
+        why = FIRM if (name in OUTSIDE and name != "form") or marks.get("role") in ROLES or (not inside and name == "header") else 0
+        why |= NAME_SIGN if words & SIGNS or (not inside and words & HEADERS) else 0
+        why |= FORM if name == "form" else 0
+        if name == "article" and why == NAME_SIGN and not words & SIGNS:
+            why = 0
+        article = name == "article" or name == "main" or marks.get("role") == "main"
+        if article:  # a form around an article is the page's
+            outside &= ~FORM
+        if article and not below and not (outside | why) & FIRM:
+            lifted = True
+        elif why:
+            lifted = False
+        below = below or name == "article"
         label = name + "." + marks.get("class", "") + "#" + re.sub(r"\d+", "", marks.get("id", ""))
-        inside = inside or ((name in ("article", "main") or marks.get("role") == "main") and not out)
+        inside = inside or (article and not why)
         if name not in VOID:
-            stack.append((name, label, inside, outside or out))
+            stack.append((name, label, inside, outside | why, lifted, below))
         tags.append("/".join(x[1] for x in stack[-8:]) if name not in VOID else label)
     return pieces, tags
 
@@ -162,11 +189,21 @@ def extract(source: str | None, template: set[int]) -> str:
     """The article's blocks, without the template's texts, in page order."""
     pieces, _ = read_page(source)
     found = [(p, block_text(p.text)) for p in pieces]
-    found = [(p, t) for p, t in found if t and not p.outside]
-    if any(p.inside for p, _ in found):
-        found = [(p, t) for p, t in found if p.inside]
-    else:  # no element marks the article: leave out what is links only
-        found = [(p, t) for p, t in found if 2 * p.linked < len(t)]
+    found = [(p, t) for p, t in found if t]
+    clean = [(p, t) for p, t in found if not p.outside]
+    if any(p.inside for p, _ in clean):
+        found = [(p, t) for p, t in clean if p.inside]
+    else:
+        # No element marks the article: leave out what is links only.  Where an article stands
+        # below signs, or all stands in a form, and is longer than the rest, it is the page's text.
+        clean = [(p, t) for p, t in clean if 2 * p.linked < len(t)]
+        below = [(p, t) for p, t in found if p.lifted]
+        formed = [(p, t) for p, t in found if p.outside in (0, FORM) and 2 * p.linked < len(t)]
+        size = sum(len(t) for _, t in clean)
+        if sum(len(t) for _, t in below) > size:
+            found = below
+        else:
+            found = formed if sum(len(t) for _, t in formed) > 2 * size else clean
     slots = [t for p, t in found if _hash("text", p.path, t) not in template]
     return "\n\n".join(slots)
 
