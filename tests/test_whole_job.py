@@ -53,3 +53,11 @@ def test_signs_above_an_article_do_not_discard_it():
         f"<div>{text}</div><form><p>Your address</p></form><nav class=x><p>{'Home ' * 40}</p></nav>",
     ]
     assert [html_text.extract(p, set()) for p in others] == [story] * len(others)
+
+
+def test_three_layouts_of_one_host_have_templates_each(spark):
+    page = "<div class='{0}-page'><p class='{0}-note'>Notice of the {0}</p><div class='{0}-body'><p>Story {1} of today</p></div></div>"
+    rows = [(i, "http://h.org/", page.format(("news", "blog", "shop")[i % 3], i)) for i in range(30)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_text.main_text(df).collect()}
+    assert got == {i: f"Story {i} of today" for i in range(30)}

@@ -2,10 +2,10 @@
 
 A page is a sequence of tokens: tags and texts, each with the path of elements that it
 stands in.  Tokens of one host with the same vector of occurrences over its pages form an
-equivalence class.  A class is valid if it is on enough pages and holds a tag; as each token
-carries its path of elements, valid classes nest into each other as their paths do and form
-the template.  (The order of tokens inside a class is not compared.)  Texts of the template
-are the site's own; what remains are the slots, of which those in the article's part of the
+equivalence class.  A class is valid if it is on enough pages and holds a tag; the valid
+classes of all layouts of a host form its template.  (Neither the order of tokens inside a
+class nor the nesting of classes is computed; tokens only carry their path of elements.)
+Texts of the template are the site's own; what remains are the slots, of which those in the article's part of the
 page are its text.
 
 A vector is represented by an exclusive-or of hashes of (page, count), so classes of a
@@ -30,10 +30,8 @@ from tilth.functions.store import cut
 from tilth.llm.text import slices
 from tilth.llm.urls import host_of
 
-#: A class is on so many pages of its host at least, and on this share of them.
-SUPPORT, SHARE = 5, 0.5
-#: Stands for a page in the counts of a host.
-PAGE = 0
+#: A class is on so many pages of its host at least, however many others the host has.
+SUPPORT = 5
 TOKENS = re.compile(r"""<!--.*?(?:-->|$)|<!\[CDATA\[.*?\]\]>|<(script|style|noscript|template|textarea|select|svg)\b[^>]*>.*?(?:</\1\s*>|$)|<[/!?]?[a-zA-Z](?:"[^"<]*"|'[^'<]*'|[^'">])*(?:>|$)|<[/!?]?[a-zA-Z][^>]*(?:>|$)|<!?[^>]{0,1}>?|[^<]+""", re.S | re.I)
 NAME = re.compile(r"<(/?)([a-zA-Z][\w:-]*)")
 #: Attributes in order, so that neither data-class nor the text of another value counts as a class.
@@ -152,15 +150,19 @@ def block_text(parts: list[str]) -> str:
 
 
 def page_tokens(source: str | None) -> dict[int, tuple[int, bool]]:
-    """Token hash -> how often, whether a tag; with one token that every page has."""
+    """Token hash -> how often, whether a tag."""
     pieces, tags = read_page(source)
     counts = Counter(_hash("tag", t) for t in tags)
     texts = Counter(_hash("text", p.path, block_text(p.text)) for p in pieces)
-    return {PAGE: (1, False)} | {k: (n, False) for k, n in texts.items()} | {k: (n, True) for k, n in counts.items()}
+    return {k: (n, False) for k, n in texts.items()} | {k: (n, True) for k, n in counts.items()}
 
 
 def templates(pages: DataFrame, html_column: str = "html", host: str = "host") -> DataFrame:
-    """``host`` and the hashes of the texts of its template: at most twice the tokens of its average page."""
+    """``host`` and the hashes of the texts of its template.
+
+    All pages of a class hold all of its tokens, so a class has at most the texts of one
+    page, and a host at most as many classes as it has distinct paths of tags.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "html"):
@@ -177,11 +179,8 @@ def templates(pages: DataFrame, html_column: str = "html", host: str = "host") -
         F.expr("bit_xor(xxhash64(page, n))").alias("vector"), F.count("*").alias("on"), F.max("tag").alias("tag")
     )
     # What is on few pages is most of all tokens and no template's; the rest is small.
-    often = cut(vectors.filter(F.col("on") >= SUPPORT))
-    sizes = often.filter(F.col("token") == PAGE).select(F.col("host").alias("h"), F.col("on").alias("pages"))
-    # Few tokens are on half of a host's pages, so classes are small.
-    common = often.join(sizes, F.col("host") == F.col("h")).filter(F.col("token") != PAGE).filter(F.col("on") >= SHARE * F.col("pages"))
-    classes = common.groupBy("host", "vector", "on").agg(F.max("tag").alias("tagged"), F.collect_list(F.when(~F.col("tag"), F.col("token"))).alias("texts"))
+    often = vectors.filter(F.col("on") >= SUPPORT)
+    classes = often.groupBy("host", "vector", "on").agg(F.max("tag").alias("tagged"), F.collect_list(F.when(~F.col("tag"), F.col("token"))).alias("texts"))
     return classes.filter("tagged and size(texts) > 0").groupBy("host").agg(F.flatten(F.collect_list("texts")).alias("texts"))
 
 
