@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from tilth.llm import html_text
+import random
+
+import numpy as np
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from tilth.llm import html_text, shards, urls
 from tilth.operators import learn as M
 from workload import learn as L
 
@@ -61,3 +67,14 @@ def test_three_layouts_of_one_host_have_templates_each(spark):
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = {r["page_id"]: r["text"] for r in html_text.main_text(df).collect()}
     assert got == {i: f"Story {i} of today" for i in range(30)}
+
+
+def test_copies_of_one_url_do_not_fill_the_training_sample(spark):
+    # A URL whose hash comes before those of all others, with more rows than the sample takes.
+    hot = spark.range(20_000).select(F.concat(F.lit("http://x.org/"), "id").alias("u")).orderBy(F.xxhash64("u", F.lit(11))).first()["u"]
+    rows = [(i, hot) for i in range(400)]
+    rows += [(1000 + i, f"http://{'spam-spam-spam' if i % 2 else 'news'}{i}.example.{'com/de/' if i % 2 else 'org/x/'}{i}") for i in range(400)]
+    rows += [(9000 + i, f"http://{'spam-spam-spam' if i % 2 else 'news'}{i}.example.{'com/x/' if i % 2 else 'org2/x/'}{i}") for i in range(40)]
+    found = urls.judge(spark.createDataFrame(rows, "page_id long, url string"), training_rows=300).filter("rule is null").collect()
+    assert len({r["score"] for r in found}) > 1
+    assert np.mean([(r["verdict"] == "block") == bool(r["page_id"] % 2) for r in found]) >= 0.9

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 #: Host and path of each rule, and its verdict.
 RULES = {"org/": "allow", "example.org/es/": "block", "example.org/en/1": "block", "com/fr/": "allow", "com/de/": "block"}
-#: At most so many labelled URLs train the trees: those whose hash comes first.
+#: At most so many distinct labelled URLs train the trees: of each class those whose hash comes first.
 TRAINING_ROWS = 100_000
 TREES, TREE_DEPTH = 10, 4
 FEATURES = ["url_length", "host_length", "path_length", "depth", "digit_ratio", "entropy", "parameters", "labels", "hyphens", "suffix_rate", "suffix_allowed"]
@@ -84,23 +84,36 @@ def judge(pages: DataFrame, url: str = "url", rules: dict[str, str] = RULES, tra
     lexical = _lexical(base, url)
     # A row for each last label of a host: how frequent it is, and how often the rules allow it.
     total = F.sum("n").over(_all())
-    suffixes = lexical.groupBy("suffix").agg(F.count("*").alias("n"), F.sum("__label").alias("good"), F.count("__label").alias("labelled"))
-    suffixes = suffixes.select(F.col("suffix").alias("__suffix"), (F.col("n") / total).alias("suffix_rate"), ((F.coalesce("good", F.lit(0.0)) + 1) / (F.col("labelled") + 2)).alias("suffix_allowed"))
+    suffixes_of = lexical.groupBy("suffix").agg(F.count("*").alias("n"), F.sum("__label").alias("good"), F.count("__label").alias("labelled"))
+    suffixes = suffixes_of.select(F.col("suffix").alias("__suffix"), (F.col("n") / total).alias("suffix_rate"), ((F.coalesce("good", F.lit(0.0)) + 1) / (F.col("labelled") + 2)).alias("suffix_allowed"))
     joined = lexical.join(suffixes, F.col("suffix") == F.col("__suffix"), "left").drop("__suffix")
-    assembled = VectorAssembler(inputCols=FEATURES, outputCol="__features", handleInvalid="keep").transform(joined)
-    labelled = assembled.filter("__label is not null").select(F.col("__label").alias("label"), F.col("__features").alias("features"), F.xxhash64(url, F.lit(11)).alias("h"))
-    training = labelled.orderBy("h").limit(training_rows).select("label", "features")
-    training = training.persist()
+    assembler = VectorAssembler(inputCols=FEATURES, outputCol="__features", handleInvalid="keep")
+    assembled = assembler.transform(joined)
+    # Copies of a URL are one row of the sample and count by their weight.
+    copies = base.filter("__label is not null").groupBy(F.col(url).alias("__url")).agg(F.max("__label").alias("label"), F.count("*").alias("n"))
+    first = lambda df, label, n: df.filter(F.col("label") == label).orderBy(F.xxhash64("__url", F.lit(11)), "__url").limit(n)
+    sample = first(copies, 0.0, training_rows).unionAll(first(copies, 1.0, training_rows)).persist()
     try:
-        classes = {r["label"] for r in training.select("label").distinct().collect()}
+        found = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
+        classes = set(found)
         if len(classes) == 2:
-            model = GBTClassifier(maxIter=TREES, maxDepth=TREE_DEPTH, seed=1, checkpointInterval=-1, cacheNodeIds=False).fit(training)
+            half = training_rows // 2
+            taken = [first(sample, c, max(half, training_rows - found[1.0 - c])) for c in (0.0, 1.0)]
+            taken = taken[0].unionAll(taken[1])
+            # Each class weighs as much as all its rows, also where only a part of its URLs was taken.
+            rows = suffixes_of.agg(F.sum(F.col("labelled") - F.col("good")).alias("b"), F.sum("good").alias("a")).first()
+            held = {r["label"]: r["n"] for r in taken.groupBy("label").agg(F.sum("n").alias("n")).collect()}
+            weight = F.col("n") * F.when(F.col("label") == 1.0, rows["a"] / held[1.0]).otherwise(rows["b"] / held[0.0])
+            named = taken.select("label", F.col("__url").alias(url), weight.alias("weight")).withColumns({"host": host_of(url), "path": path_of(url)})
+            rated = _lexical(named, url).join(suffixes, F.col("suffix") == F.col("__suffix"), "left")
+            training = assembler.transform(rated).select("label", "weight", F.col("__features").alias("features"))
+            model = GBTClassifier(weightCol="weight", maxIter=TREES, maxDepth=TREE_DEPTH, seed=1, checkpointInterval=-1, cacheNodeIds=False).fit(training)
             model.setFeaturesCol("__features").setProbabilityCol("__probability").setPredictionCol("__prediction").setRawPredictionCol("__raw")
             scored = model.transform(assembled).withColumn("score", vector_to_array("__probability")[1])
         else:
             scored = assembled.withColumn("score", F.lit(classes.pop() if classes else 1.0))
     finally:
-        training.unpersist()
+        sample.unpersist()
     verdict = F.when(F.coalesce(F.col("__label"), F.col("score")) >= 0.5, "allow").otherwise("block")
     return scored.withColumn("verdict", verdict).drop("__label", "__features", "__probability", "__prediction", "__raw", "suffix", *FEATURES)
 
