@@ -78,3 +78,15 @@ def test_copies_of_one_url_do_not_fill_the_training_sample(spark):
     found = urls.judge(spark.createDataFrame(rows, "page_id long, url string"), training_rows=300).filter("rule is null").collect()
     assert len({r["score"] for r in found}) > 1
     assert np.mean([(r["verdict"] == "block") == bool(r["page_id"] % 2) for r in found]) >= 0.9
+
+
+def test_a_crowd_of_short_texts_is_numbered_in_several_parts(spark, monkeypatch):
+    rows = [(i, "" if i % 3 else "long text " * 50 + str(i)) for i in range(6000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    slim = df.select("doc_id", (F.length("text") + 1).cast("long").alias("size"), F.xxhash64("text", F.lit(1)).alias("h"), F.xxhash64("doc_id", F.lit(2)).alias("g"))
+    edges, of = shards.parts_of(slim, 4)
+    counts = [r["count"] for r in slim.groupBy(shards._part(edges)).count().collect()]
+    assert max(counts) < 6000 / 4 / shards.FEWEST_PARTS * 2 and sorted(of) == of and set(of) == {0, 1, 2, 3}
+    got = shards.shard(df, 4).select("shard", "slot").collect()
+    for k in range(4):
+        assert sorted(r["slot"] for r in got if r["shard"] == k) == list(range(sum(r["shard"] == k for r in got)))

@@ -130,6 +130,28 @@ def _part(edges: list[tuple[int, int]]) -> Column:
     return F.get(base, top) + inner
 
 
+def parts_of(slim: DataFrame, n_shards: int, tolerance: float = TOLERANCE) -> tuple[list[tuple[int, int]], list[int]]:
+    """Keys that cut the rows into parts, and the shard of each part.
+
+    Shards end by bytes.  Inside them keys cut by bytes and keys cut by rows, so neither
+    long texts nor a crowd of short ones makes a large part.
+    """
+    total = slim.agg(F.sum("size").alias("bytes"), F.count("*").alias("rows")).first()
+    if not total["rows"]:
+        return [], [0]
+    size, rows = total["bytes"], total["rows"]
+    parts = max(FEWEST_PARTS, -(-rows // n_shards // PART_ROWS))
+    n = n_shards * parts
+    # The ends of shards are held to the tolerance, those of parts inside them only roughly.
+    near, rough = tolerance * size / n_shards / 2, size / n / 4
+    by_bytes = splitters(slim, [size * i / n for i in range(1, n)], [near if i % parts == 0 else rough for i in range(1, n)])
+    by_rows = splitters(slim.withColumn("size", F.lit(1)), [rows * i / n for i in range(1, n)], [rows / n / 4] * (n - 1))
+    ends = by_bytes[parts - 1 :: parts]
+    inner = set(by_bytes + by_rows) - set(ends)
+    edges = sorted([*ends, *inner])
+    return edges, [bisect_right(ends, e) for e in [(-1, 0), *edges]]
+
+
 def shard(docs: DataFrame, n_shards: int = 8, doc_id: str = "doc_id", text: str = "text", tolerance: float = TOLERANCE) -> DataFrame:
     """A row per document: id, ``size``, ``text_crc32``, ``law``, ``shard``, ``slot``, ``grown_shard``.
 
@@ -150,16 +172,11 @@ def shard(docs: DataFrame, n_shards: int = 8, doc_id: str = "doc_id", text: str
             F.xxhash64(F.col(doc_id), F.lit(2)).alias("g"),
         )
     )
-    total = slim.agg(F.sum("size").alias("bytes"), F.count("*").alias("rows")).first()
-    parts = max(FEWEST_PARTS, -(-total["rows"] // n_shards // PART_ROWS))
-    n, size = n_shards * parts, total["bytes"] or 0
-    # The ends of shards are held to the tolerance, those of parts inside them only roughly.
-    near, rough = tolerance * size / n_shards / 2, size / n / 4
-    edges = splitters(slim, [size * i / n for i in range(1, n)], [near if i % parts == 0 else rough for i in range(1, n)]) if size else []
+    edges, of = parts_of(slim, n_shards, tolerance)
     placed = slim.withColumn("part", _part(edges))
-    # A row for each part: the rows of its shard before it.
-    counts = placed.groupBy("part").agg(F.count("*").alias("rows")).withColumn("of", F.floor(F.col("part") / parts))
-    starts = counts.selectExpr("part as p", "sum(rows) over (partition by of order by part) - rows as base")
+    # A row for each part: its shard, and the rows of the shard before it.
+    counts = placed.groupBy("part").agg(F.count("*").alias("rows")).withColumn("of", F.get(F.lit(of), F.col("part").cast("int")))
+    starts = counts.selectExpr("part as p", "of", "sum(rows) over (partition by of order by part) - rows as base")
     ranked = placed.withColumn("rank", F.expr(f"row_number() over (partition by part order by h ^ ({-(1 << 63) + 1}L - 1L), g ^ ({-(1 << 63) + 1}L - 1L), doc_id)"))
     joined = ranked.join(F.broadcast(starts), F.col("part") == F.col("p"))
     return joined.select(
@@ -167,7 +184,7 @@ def shard(docs: DataFrame, n_shards: int = 8, doc_id: str = "doc_id", text: str
         "size",
         "text_crc32",
         F.lit("bytes").alias("law"),
-        F.floor(F.col("part") / parts).cast("int").alias("shard"),
+        F.col("of").cast("int").alias("shard"),
         (F.col("base") + F.col("rank") - 1).cast("long").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
     )
