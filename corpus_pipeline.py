@@ -30,11 +30,8 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Where a cut splits a character of several bytes, what is left of it goes too.
     """
-    cut_ = suffixes.cut_repeats(docs, carry=[c for c in docs.columns if c != "text"])
-    # What is left of a changed text is read as UTF-8, and what is no character is left out.
-    left = F.col("kept").cast("string")
-    text = F.when(F.col("n_removed") > 0, F.replace(F.make_valid_utf8(left), F.lit("\ufffd"), F.lit(""))).otherwise(left)
-    new = cut_.select("rows.*", text.alias("text")).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    cut_ = suffixes.cut_repeats(docs, carry=[c for c in docs.columns if c != "text"], characters=True)
+    new = cut_.select("rows.*", F.col("kept").cast("string").alias("text")).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return new.filter(F.length(F.btrim("text", F.lit(quality.SPACE))) > 0).select(docs.columns)
 
 

@@ -90,3 +90,17 @@ def test_a_crowd_of_short_texts_is_numbered_in_several_parts(spark, monkeypatch)
     got = shards.shard(df, 4).select("shard", "slot").collect()
     for k in range(4):
         assert sorted(r["slot"] for r in got if r["shard"] == k) == list(range(sum(r["shard"] == k for r in got)))
+
+
+def test_replacement_characters_of_a_text_stay(spark):
+    import string
+
+    rng = random.Random(5)
+    shared = "é" + "".join(rng.choice(string.ascii_letters) for _ in range(400)) + "é"
+    own = [f"� first {i} " + "".join(rng.choice(string.ascii_letters) for _ in range(90)) for i in range(2)]
+    # The second text has the shared passage between characters that share a byte with é.
+    rows = [(0, own[0] + shared + " a"), (1, own[1] + "è" + shared[1:-1] + "ë �")]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.cut_repeats(spark, df, FOLDER).collect()}
+    assert got[0] == rows[0][1]
+    assert len(got[1]) < len(rows[1][1]) - 300 and got[1].startswith("� first 1") and got[1].endswith(" �")

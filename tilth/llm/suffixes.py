@@ -340,10 +340,11 @@ def _repeats(segments: DataFrame) -> DataFrame:
     return segments.groupBy("range").applyInArrow(sort, "block long, data binary")
 
 
-def cut_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carry: list[str] | None = None) -> DataFrame:
+def cut_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carry: list[str] | None = None, characters: bool = False) -> DataFrame:
     """A row per document: ``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept`` (the remaining bytes).
 
-    The columns in ``carry`` stay with their rows, as a struct ``rows``.
+    The columns in ``carry`` stay with their rows, as a struct ``rows``.  With ``characters`` a
+    UTF-8 character that loses a byte goes as a whole.
 
     A byte goes if a string of ``LENGTH`` bytes over it also starts in a document with a
     smaller id, as the texts were given.  Null and short texts lose nothing.  Documents
@@ -366,6 +367,11 @@ def cut_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", car
                     np.add.at(depth, pairs[0], 1)
                     np.add.at(depth, pairs[1], -1)
                 gone = np.cumsum(depth)[:-1] > 0
+                if characters and gone.any():
+                    starts = (block.text & 0xC0) != 0x80
+                    starts[block.bounds[:-1][np.diff(block.bounds) > 0]] = True
+                    of = np.cumsum(starts) - 1
+                    gone = (np.bincount(of, gone) > 0)[of]
                 begins = gone & ~np.concatenate([[False], gone[:-1]])
                 edges = block.bounds[:-1][np.diff(block.bounds) > 0]
                 begins[edges] = gone[edges]
