@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tilth.llm import context_tree, html_text, pfor, pieces, quality, shards, simhash, suffixes, urls, winnow
+from tilth.llm import context_tree, html_text, pfor, pieces, quality, shards, simhash, suffixes, trie, urls, winnow
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -22,4 +22,5 @@ CASES = {
     "op8_weak_supervision": (lambda s, d: quality.verdicts(table(s, d, "documents")), None),
     "op9_context_tree": (lambda s, d: context_tree.digests(table(s, d, "documents")), None),
     "op10_suffix_array": (lambda s, d: suffixes.digests(table(s, d, "documents")), None),
+    "op11_prefix_trie": (lambda s, d: trie.digests(table(s, d, "conversations")), trie.SQL),
 }
