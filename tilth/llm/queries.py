@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tilth.llm import context_tree, html_text, hyperminhash, pfor, pieces, quality, shards, simhash, suffixes, trie, urls, winnow
+from tilth.llm import context_tree, html_text, hyperminhash, pfor, phrases, pieces, quality, shards, simhash, suffixes, trie, urls, winnow
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -24,4 +24,5 @@ CASES = {
     "op10_suffix_array": (lambda s, d: suffixes.digests(table(s, d, "documents")), None),
     "op11_prefix_trie": (lambda s, d: trie.digests(table(s, d, "conversations")), trie.SQL),
     "op12_hyperminhash": (lambda s, d: hyperminhash.digests(table(s, d, "documents")), hyperminhash.SQL),
+    "op13_collocations": (lambda s, d: phrases.collocations(table(s, d, "documents")), phrases.SQL),
 }

@@ -57,17 +57,19 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class Words:
-    """The words of a column of texts (null: empty) with A-Z lower-cased, as arrays and not as objects.
+    """The words of a column of texts (null: empty) as arrays and not as objects, A-Z lower-cased unless told not to.
 
     ``data`` holds the bytes of all texts, ``starts`` and ``ends`` the words' places in
     it, and ``bounds`` the first word of each text, with the count of all behind.
     """
 
-    def __init__(self, texts: pa.Array, inside: np.ndarray = SOLID) -> None:
+    def __init__(self, texts: pa.Array, inside: np.ndarray = SOLID, lower: bool = True) -> None:
         column = texts.fill_null("").cast(pa.large_binary())
         offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int64)
         content = column.buffers()[2]
-        self.data = _LOWER[np.frombuffer(content, np.uint8)[offsets[0] : offsets[-1]]] if content is not None and offsets[-1] > offsets[0] else np.zeros(0, np.uint8)
+        self.data = np.frombuffer(content, np.uint8)[offsets[0] : offsets[-1]] if content is not None and offsets[-1] > offsets[0] else np.zeros(0, np.uint8)
+        if lower:
+            self.data = _LOWER[self.data]
         self.offsets = offsets - offsets[0]
         self.solid = inside[self.data]
         first, last = self.solid.copy(), self.solid.copy()
