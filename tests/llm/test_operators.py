@@ -7,6 +7,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -160,9 +161,10 @@ def test_token_ids(spark, odd, tmp_path):
 
     model = Tokenizer.from_file(tokenizer_path(pfor.WORDS))
     rng = random.Random(2)
-    signs = [*" \t\n\r\x0b\x0c\x1c\x85\xa0AbÉé\u0301日😀1’Σςİ\u200btheing", "<|endoftext|>", "'ll", "***", "I'S", "x<|startoftext|>y"]
+    signs = [*" \t\n\r\x0b\x0c\x1c\x85\xa0AbÉé\u0301日😀1’Σςİ\u200btheing", "<|endoftext|>", "'ll", "***", "I'S", "x<|startoftext|>y", "<|EndOfText|>"]
     texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(40))) for _ in range(3000)]
-    flat, offsets = pfor.WordTable(tokenizer_path(pfor.WORDS), 1, size=500).encode(texts)
+    flat, offsets = pfor.WordTable(tokenizer_path(pfor.WORDS), 1, size=500).encode(pa.array([*texts, None]))
+    texts.append("")
     assert [flat[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:], strict=True)] == [[*x.ids, 1] for x in model.encode_batch(texts, add_special_tokens=False)]
     df, rows = odd
     pfor.write_ids(df, f"{tmp_path}/ids", page=50)

@@ -7,6 +7,8 @@ starts, so any range of ids is read by unpacking its blocks alone.
 
 ``write_ids`` sorts documents by id, encodes them and writes a table of pages, each
 holding the ids of consecutive whole documents in such blocks; ``read_ids`` reads it.
+The table is Parquet: a page is a row, and the packed runs are its binary columns, so
+that a written shard appears whole or not at all when executors are lost.
 """
 
 from __future__ import annotations
@@ -15,7 +17,6 @@ import functools
 import struct
 import unicodedata
 from collections.abc import Callable, Iterator
-from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tilth.functions.store import new_path
-from tilth.llm.text import slices, tokenizer_path
+from tilth.llm.text import Words, slices, tokenizer_path
 
 WORDS = "word_bpe_49k.json"
 #: Ids in a block, and the share of a block's differences that the packed width fits.
@@ -41,6 +42,41 @@ def _widths(values: np.ndarray) -> np.ndarray:
     return np.ceil(np.log2(values.astype(np.float64) + 1)).astype(np.uint8)
 
 
+def _squeeze(table: np.ndarray, width: int) -> np.ndarray:
+    """Rows of values as rows of bytes, ``width`` bits a value from the lowest bit on.
+
+    64 values fill ``width`` words, so each of the 64 places shifts as a whole column.
+    """
+    rows, n = table.shape
+    places = np.zeros((-(-n // 64) * 64, rows), np.uint64)
+    places[:n] = table.T
+    places = places.reshape(-1, 64, rows)
+    words = np.zeros((len(places), width, rows), np.uint64)
+    for j in range(64):
+        word, shift = divmod(j * width, 64)
+        words[:, word] |= places[:, j] << np.uint64(shift)
+        if shift + width > 64:
+            words[:, word + 1] |= places[:, j] >> np.uint64(64 - shift)
+    flat = np.ascontiguousarray(words.reshape(-1, rows).T).astype("<u8").view(np.uint8)
+    return flat[:, : (n * width + 7) // 8]
+
+
+def _stretch(packed: np.ndarray, n: int, width: int) -> np.ndarray:
+    """The ``n`` values in each row of bytes."""
+    rows, runs = len(packed), -(-n // 64)
+    padded = np.zeros((rows, runs * width * 8), np.uint8)
+    padded[:, : packed.shape[1]] = packed
+    words = np.ascontiguousarray(padded.view("<u8").T).reshape(runs, width, rows)
+    out, low = np.empty((runs, 64, rows), np.uint32), np.uint64((1 << width) - 1)
+    for j in range(64):
+        word, shift = divmod(j * width, 64)
+        value = words[:, word] >> np.uint64(shift)
+        if shift + width > 64:
+            value |= words[:, word + 1] << np.uint64(64 - shift)
+        out[:, j] = value & low
+    return out.reshape(runs * 64, rows)[:n].T
+
+
 def pack(values: np.ndarray, block: int = BLOCK, percentile: float = PERCENTILE) -> bytes:
     """Blocks of unsigned 32-bit values.  Header, block index, then the blocks one after another."""
     values = np.asarray(values, np.uint32)
@@ -62,8 +98,7 @@ def pack(values: np.ndarray, block: int = BLOCK, percentile: float = PERCENTILE)
     for w in np.unique(width):
         rows = np.flatnonzero(width == w)
         if w:
-            bits = (diff[rows][:, :, None] >> np.arange(w, dtype=np.uint32)).astype(np.uint8) & 1
-            packed = np.packbits(bits.reshape(len(rows), -1), axis=1, bitorder="little")
+            packed = _squeeze(diff[rows] & np.uint32((1 << int(w)) - 1), int(w))
             body[(starts[rows].astype(np.int64)[:, None] + np.arange(packed.shape[1])).ravel()] = packed.ravel()
     for b in np.flatnonzero(counts):
         where = np.flatnonzero(over[b]).astype("<u2")
@@ -92,12 +127,7 @@ def unpack(data: bytes, start: int = 0, stop: int | None = None) -> np.ndarray:
         rows = np.flatnonzero(width == w)
         if w:
             size = (block * int(w) + 7) // 8
-            bits = np.unpackbits(body[starts[rows][:, None] + np.arange(size)], axis=1, count=block * int(w), bitorder="little")
-            bits = bits.reshape(len(rows), block, int(w))
-            values = np.zeros((len(rows), block), np.uint32)
-            for k in range(int(w)):
-                values |= bits[:, :, k].astype(np.uint32) << np.uint32(k)
-            out[rows] = values
+            out[rows] = _stretch(body[starts[rows][:, None] + np.arange(size)], block, int(w))
     for b in np.flatnonzero(counts):
         tail = body[starts[b + 1] - 6 * int(counts[b]) : starts[b + 1]].tobytes()
         where = np.frombuffer(tail, "<u2", int(counts[b]))
@@ -119,8 +149,6 @@ class WordTable:
     others stay inside a word, where the library sees them.
     """
 
-    SPLIT = " \t\n\x0b\x0c\r"
-
     def __init__(self, path: str, end_id: int, size: int = 1_000_000) -> None:
         from tokenizers import Tokenizer
 
@@ -166,26 +194,24 @@ class WordTable:
         self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(found), np.uint32)])
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum([len(x) // 4 for x in found])])
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, the end id behind each text's, and the offsets of texts."""
-        for sign in self.SPLIT[1:]:
-            texts = [x.replace(sign, " ") for x in texts]
-        words = [x.split(" ") for x in texts]
-        flat = list(chain.from_iterable(words))
-        numbers = np.fromiter(map(self.number.get, flat, repeat(-1)), np.int64, len(flat))
-        missed = np.flatnonzero(numbers < 0).tolist()
-        if missed:
-            new = [flat[i] for i in missed]
-            self._learn(new)
-            numbers[missed] = [self.number[w] for w in new]
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, the end id behind each text's (null: empty), and the offsets of texts.
+
+        Words are cut and numbered as arrays; only distinct ones become strings.
+        """
+        words = Words(texts, lower=False)
+        at, distinct = words.numbered()
+        named = [w.decode() for w in distinct]
+        self._learn([w for w in named if w not in self.number])
+        numbers = np.fromiter(map(self.number.__getitem__, named), np.int64, len(named))[at]
         sizes = self.starts[numbers + 1] - self.starts[numbers]
-        ends, bounds = np.zeros(len(flat) + 1, np.int64), np.zeros(len(texts) + 1, np.int64)
+        ends = np.zeros(len(numbers) + 1, np.int64)
         np.cumsum(sizes, out=ends[1:])
-        np.cumsum([len(x) for x in words], out=bounds[1:])
         ids = self.flat[np.arange(ends[-1]) + np.repeat(self.starts[numbers] - ends[:-1], sizes)]
-        offsets = ends[bounds] + np.arange(len(texts) + 1)
+        bounds = ends[words.bounds]
+        offsets = bounds + np.arange(len(texts) + 1)
         out = np.full(offsets[-1], self.end_id, np.uint32)
-        out[np.arange(len(ids)) + np.repeat(np.arange(len(texts)), np.diff(ends[bounds]))] = ids
+        out[np.arange(len(ids)) + np.repeat(np.arange(len(texts)), np.diff(bounds))] = ids
         if len(self.number) > self.size:
             self._empty()
         return out, offsets
@@ -230,7 +256,7 @@ def write_ids(docs: DataFrame, path: str, encoder: Callable[[], object] | None =
 
         size = 0
         for batch in slices(batches, "text"):
-            flat, offsets = table.encode([x or "" for x in batch.column("text").to_pylist()])
+            flat, offsets = table.encode(batch.column("text"))
             docs_here, at = batch.column("id").to_pylist(), 0
             while at < len(docs_here):
                 # As many whole documents as bring the page to its size.
