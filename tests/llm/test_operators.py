@@ -43,9 +43,10 @@ def same(got, want):
 def test_query_gives_rows_and_survives_empty_tables(spark, tmp_path, name):
     query, _ = queries.CASES[name]
     rows = query(spark, FOLDER).count()
-    table = "pages" if name.startswith(("op2_", "op3_")) else "documents"
-    assert rows == spark.read.parquet(f"{FOLDER}/{table}.parquet").count()
-    for t in ("documents", "pages", "benchmark"):
+    # The trie has a row per node and collocations one per phrase; all others one per row of their table.
+    table = {"op2_boosted_urls": "pages", "op3_html_templates": "pages", "op11_prefix_trie": None, "op13_collocations": None}.get(name, "documents")
+    assert rows == spark.read.parquet(f"{FOLDER}/{table}.parquet").count() if table else rows > 0
+    for t in ("documents", "pages", "benchmark", "conversations"):
         spark.read.parquet(f"{FOLDER}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
     assert query(spark, str(tmp_path)).count() == 0
 
