@@ -106,6 +106,61 @@ def test_knn_with_few_donors(spark):
     assert neighbors.knn_join(q, d.limit(0), 3, "id", "did", "v").count() == 0
 
 
+def test_knn_keeps_null_groups_apart_and_leaves_odd_vectors_out(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, None, [0.0, 0.0]), (2, "", [0.1, 0.0]), (3, None, [3.0, 0.0]), (4, "", [4.0, 0.0]), (5, "a", None), (6, "a", [1.0]), (7, "a", [nan, 0.0]), (8, "a", [inf, 0.0]), (9, "a", [None, 0.0]), (10, "a", [1.0, 2.0]), (11, "a", [1.0, 3.0]), (12, "=", [0.1, 0.1]), (None, "b", [0.0, 0.0]), (13, "b", [0.0, 1.0])]
+    t = spark.createDataFrame(rows, "id int, g string, v array<double>")
+    near = {(r["query_id"], r["donor_id"]) for r in neighbors.knn_join(t, t, 1, "id", "id", "v", by="g", exclude_self=True).collect()}
+    assert {(1, 3), (3, 1), (2, 4), (4, 2), (10, 11), (11, 10)} <= near and not {5, 6, 7, 8, 9, 12} & {x for p in near for x in p}
+    assert neighbors.knn_join(t.filter("v is null"), t, 1, "id", "id", "v").count() == 0
+    assert neighbors.knn_join(t, t.filter("v is null"), 1, "id", "id", "v").count() == 0
+
+
+def _counted_pairs(monkeypatch):
+    """Rows of both sides in every pair of blocks that meets, as the plan of the joins has them."""
+    pairs, compare = [], neighbors._compare
+
+    def counted(visits, placed, keep, width, block_rows):
+        v = neighbors.cut(visits.select("_g", "_leaf", "_key", "_v"))
+        sizes = placed.groupBy("_g", "_leaf").count()
+        pairs.append(v.join(sizes, ["_g", "_leaf"]).agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0])
+        return compare(v, placed, keep, width, block_rows)
+
+    monkeypatch.setattr(neighbors, "_compare", counted)
+    return pairs
+
+
+def test_knn_looks_at_few_leaves_of_clustered_rows(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    seen = []
+    for n in (2000, 8000):
+        pairs = _counted_pairs(monkeypatch)
+        centres = rng.normal(size=(n // 50, 3)) * 50
+        x = centres[rng.integers(0, len(centres), n)] + rng.normal(size=(n, 3))
+        t = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id int, v array<double>").repartition(6)
+        near = neighbors.knn_join(t, t, 3, "id", "id", "v", exclude_self=True, block_rows=100).collect()
+        part = rng.integers(0, n, 40)
+        d = np.linalg.norm(x[part][:, None] - x, axis=2)
+        d[np.arange(40), part] = np.inf
+        got = {(r["query_id"], r["rank"]): r["distance"] for r in near}
+        for row, i in zip(d, part.tolist()):
+            assert [got[i, k] for k in (1, 2, 3)] == pytest.approx(np.sort(row)[:3].tolist())
+        seen.append(sum(pairs) / n)
+        monkeypatch.undo()
+    # Four times the rows, and not twice as many of them for each query.
+    assert seen[1] < 2 * seen[0] and seen[1] < 8000 / 10
+
+
+def test_smallest_by_products_and_by_differences_agree():
+    rng = np.random.default_rng(1)
+    for width in (2, 8, 64):
+        b = np.concatenate([rng.normal(size=(300, width)), np.ones((60, width)), np.ones((1, width)) * 1e8])
+        a = np.concatenate([b[::9], np.ones((3, width)), np.zeros((1, width))])
+        want = ((a[:, None] - b) ** 2).sum(axis=2)
+        at, squares = neighbors._smallest(a, b, 7)
+        assert (at == np.argsort(want, axis=1, kind="stable")[:, :7]).all() and np.allclose(squares, np.sort(want, axis=1)[:, :7], rtol=0, atol=0)
+
+
 def test_knn_impute_in_blocks(spark):
     rng = np.random.default_rng(2)
     data = [(i, None if i % 7 == 0 else float(rng.integers(0, 9)), None if i % 5 == 0 else float(rng.integers(0, 9)), float(i % 4)) for i in range(120)]
@@ -117,6 +172,31 @@ def test_knn_impute_in_blocks(spark):
     assert [v for x in whole for v in x] == pytest.approx([v for x in blocks for v in x])
 
 
+def test_knn_impute_meets_few_blocks_and_equals_brute_force(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    n = 1500
+    x = np.round(rng.normal(size=(n, 1)) * 40 + rng.normal(size=(n, 3)), 1)
+    x[rng.random((n, 3)) < 0.08] = np.nan
+    t = spark.createDataFrame([(i, *[None if np.isnan(v) else float(v) for v in r]) for i, r in enumerate(x)], "id int, a double, b double, c double").repartition(5)
+    pairs = _counted_pairs(monkeypatch)
+    got = {r["id"]: (r["a"], r["b"], r["c"]) for r in neighbors.impute_knn(t, "id", ["a", "b", "c"], 3, block_rows=40).collect()}
+    shared = (~np.isnan(x[:, None] - x)).sum(axis=2)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        d = np.sqrt(np.nansum((x[:, None] - x) ** 2, axis=2) * 3 / shared)
+    d[shared == 0] = np.inf
+    gaps = np.isnan(x).any(axis=1).sum()
+    for i in range(n):
+        for f in range(3):
+            want = x[i, f]
+            if np.isnan(want):
+                having = np.flatnonzero(~np.isnan(x[:, f]) & np.isfinite(d[i]))
+                best = having[np.argsort(d[i, having], kind="stable")[:3]]
+                want = x[best, f].mean() if len(best) else np.nanmean(x[:, f])
+            assert got[i][f] == pytest.approx(want), (i, f)
+    assert sum(pairs) < gaps * n / 3
+
+
+
 def test_oversample_in_chunks(spark, monkeypatch):
     t = spark.createDataFrame([(i, "a") for i in range(50)] + [(i, "b") for i in range(50, 57)], "id long, label string")
     pick = lambda: sorted(tuple(r) for r in balance.oversample(t, "label", "id").collect())
@@ -160,6 +240,22 @@ def test_wave_stream_in_batches_equals_batch(spark, tmp_path):
     assert spark.read.parquet(f"{out}/waves").count() == 9
 
 
+def test_a_wave_costs_its_own_rows(spark, tmp_path):
+    schema = "id string, pos int, matched_queries array<string>"
+    for f in range(20):
+        rows = [(str((f * 30 + i) // 2), f * 30 + i, [f"q{i}"]) for i in range(30)] + [("hot", 5000 + f * 9 + i, [f"h{f}"]) for i in range(9)] + [(None, 9000 + f, ["n"])]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = streams.read_stream(spark, str(tmp_path / "in"), spark.read.parquet(str(tmp_path / "in")).schema, files_per_batch=1)
+    query = streams.wave_stream(stream, str(tmp_path / "out"), "pos")
+    waves = [p for p in query.recentProgress if p["numInputRows"]]
+    assert len(waves) == 20
+    # Each wave reads its 40 rows, and marks its 15 new ids (the first one two more), however many came before.
+    assert {p["numInputRows"] for p in waves} == {40}
+    assert [p["stateOperators"][0]["numRowsUpdated"] for p in waves] == [17] + [15] * 19
+    got = spark.read.parquet(f"{tmp_path}/out/waves")
+    assert got.count() == 302 and got.filter("id = 'hot'").first()["batch"] == 0
+
+
 def test_quantiles_end_on_infinities(spark):
     x = [float("-inf")] * 3 + list(np.linspace(-5, 5, 3000)) + [float("inf")] * 7 + [1.5] * 500
     t = spark.createDataFrame([(float(v),) for v in x], "x double").repartition(4)

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from tilth.operators.combine import catalog_dedupe
 from tilth.operators.combine import exclude_ids as without
@@ -38,12 +38,36 @@ def run_available(stream: DataFrame, path: str, mode: str = "append") -> None:
     )
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A table that may not exist before the first batch."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
+class _Fresh(StatefulProcessor):
+    """Rows of keys that no earlier micro-batch had; the state is one mark a key."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._seen = handle.getValueState("seen", "seen boolean")
+
+    def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803 - names of the interface
+        fresh = not self._seen.exists()
+        if fresh:
+            self._seen.update((True,))
+        for part in rows:
+            if fresh:
+                yield part
+
+    def close(self) -> None:
+        pass
+
+
+#: State on disk and by key, as the keyed state of a stream needs it.
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def fresh_rows(stream: DataFrame, key: str) -> DataFrame:
+    """Rows of a stream whose ``key`` no earlier micro-batch had; needs the state store of ``STATE_STORE``.
+
+    A micro-batch looks up and marks its own keys alone, so its cost does not grow with
+    the keys seen so far.  Rows pass through; those of one key are never held together.
+    """
+    return stream.groupBy(key).transformWithStateInPandas(_Fresh(), stream.schema, "Append", "None")
 
 
 def wave_stream(
@@ -53,31 +77,38 @@ def wave_stream(
     *,
     rejected: DataFrame | None = None,
     id_col: str = "id",
-) -> None:
+) -> StreamingQuery:
     """Each micro-batch of hits becomes a wave: ids seen in earlier batches and rejected ids are
-    left out, the rest is one catalog row per id.
+    left out, the rest is one catalog row per id.  Gives the finished query.
 
-    The rows of a batch are its record of seen ids.  They are written under the
-    batch number, and only lower numbers count as seen, so a repeated batch
-    overwrites itself and yields the same rows.
+    Seen ids are keyed state of the stream, so no wave reads what earlier ones wrote.  Waves are
+    written under the number of their batch: a repeated batch starts from the same state and
+    overwrites itself with the same rows.  Hits without an id are one candidate.
     """
     out = f"{path}/waves"
+    spark = hits.sparkSession
+    wanted = hits if rejected is None else without(hits, rejected, id_col=id_col)
 
     def one_wave(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        ids = T.StructType([batch.schema[id_col], T.StructField("batch", T.LongType())])
-        seen = _read(spark, out, ids).filter(F.col("batch") < number).select(id_col)
-        known = [seen] if rejected is None else [seen, rejected]
-        fresh = without(batch, *known, id_col=id_col)
-        catalog_dedupe(fresh, order, id_col).write.mode("overwrite").parquet(f"{out}/batch={number}")
+        catalog_dedupe(batch, order, id_col).write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-    (
-        hits.writeStream.foreachBatch(one_wave)
-        .option("checkpointLocation", f"{path}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        # Columns keep their order, whatever the join did to it.
+        query = (
+            fresh_rows(wanted.select(hits.columns), id_col).writeStream.foreachBatch(one_wave)
+            .option("checkpointLocation", f"{path}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+    finally:
+        if before is None:
+            spark.conf.unset(STATE_STORE)
+        else:
+            spark.conf.set(STATE_STORE, before)
+    return query
 
 
 def with_time(df: DataFrame, time_col: str) -> DataFrame:
