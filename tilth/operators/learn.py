@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass, field
-from functools import reduce
+import math
+from collections import Counter
+from collections.abc import Iterator
+from dataclasses import asdict, dataclass, field
+from functools import lru_cache, reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.feature import (
@@ -27,6 +31,7 @@ from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tilth.functions.hashing import stable_hash
 from tilth.functions.store import cut
@@ -39,8 +44,11 @@ MAX_TERMS = 10_000
 TOKEN = r"(?U)\b\w\w+\b"
 # Rows per task while fitting.
 TRAIN_ROWS = 5_000
-# The linear SVM stops where a step changes its loss by no more than this share.
+# An SVM stops where a step changes its loss by no more than this share.
 SVM_TOLERANCE = 1e-4
+# Random features that stand for the kernel of the SVM, and folds whose margins it is calibrated on.
+KERNEL_FEATURES = 512
+CALIBRATION_FOLDS = 3
 HISTORY = "iteration int, n_labeled long, accuracy double, f1 double, strategy string"
 
 
@@ -50,6 +58,92 @@ def _sublinear(counts: pd.DataFrame) -> pd.DataFrame:
     return counts.assign(values=[1.0 + np.log(v) for v in counts["values"]])
 
 
+def _with_terms(df: DataFrame, text_col: str) -> DataFrame:
+    """Add ``_terms``: words and pairs of neighbouring words, with repeats."""
+    return _words().transform(df.withColumn("_text", F.coalesce(text_col, F.lit("")))).drop("_text", "_words", "_pairs")
+
+
+def _words() -> PipelineModel:
+    """Text to terms, without state."""
+    return PipelineModel(
+        stages=[
+            RegexTokenizer(inputCol="_text", outputCol="_words", pattern=TOKEN, gaps=False),
+            NGram(n=2, inputCol="_words", outputCol="_pairs"),
+            SQLTransformer(statement="SELECT *, concat(_words, _pairs) AS _terms FROM __THIS__"),
+        ]
+    )
+
+
+def count_terms(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """``df`` without its text but with ``_counts``: its distinct terms and how often each occurs.
+
+    Written once, this serves vocabularies, fits and scores of any rows without the text.
+    """
+    fields = [f for f in df.schema.fields if f.name != text_col]
+    tokens = _with_terms(df, text_col).select(*[f.name for f in fields], "_terms")
+    names = [f.name for f in fields]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [Counter(x) for x in batch.column("_terms").to_pylist()]
+            offsets = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
+            terms, counts = (pa.array([y for x in found for y in getattr(x, part)()], kind) for part, kind in (("keys", pa.string()), ("values", pa.int32())))
+            pairs = pa.StructArray.from_arrays([terms, counts], names=["term", "n"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.ListArray.from_arrays(pa.array(offsets), pairs)], names=[*names, "_counts"])
+
+    schema = T.StructType([*fields, T.StructField("_counts", T.ArrayType(T.StructType([T.StructField("term", T.StringType()), T.StructField("n", T.IntegerType())])))])
+    return tokens.mapInArrow(run, schema)
+
+
+def _vectors(vocabulary: list[str]):
+    """Column function: term counts to sparse vectors of 1 + ln(tf)."""
+    place = {t: i for i, t in enumerate(vocabulary)}
+
+    @F.pandas_udf(VectorUDT())
+    def vectors(counts: pd.Series) -> pd.DataFrame:
+        rows = [sorted((place[p["term"]], p["n"]) for p in row if p["term"] in place) for row in counts]
+        return pd.DataFrame(
+            {
+                "type": np.zeros(len(rows), np.int8),
+                "size": np.full(len(rows), len(vocabulary), np.int32),
+                "indices": [np.array([i for i, _ in r], np.int32) for r in rows],
+                "values": [1.0 + np.log(np.array([n for _, n in r], float)) for r in rows],
+            }
+        )
+
+    return vectors
+
+
+@dataclass(frozen=True)
+class Kernel:
+    """Random Fourier features of the kernel exp(-gamma |x - y|^2): their products approximate it
+    (Rahimi and Recht, "Random features for large-scale kernel machines", 2007)."""
+
+    gamma: float
+    terms: int
+    features: int = KERNEL_FEATURES
+    seed: int = 42
+
+
+@lru_cache(maxsize=2)
+def _directions(kernel: Kernel) -> tuple[np.ndarray, np.ndarray]:
+    """The random directions and phases, drawn anew by each worker from the seed: nothing is shipped."""
+    rng = np.random.default_rng(kernel.seed)
+    return rng.normal(0.0, math.sqrt(2 * kernel.gamma), (kernel.terms, kernel.features)), rng.uniform(0.0, 2 * math.pi, kernel.features)
+
+
+def _fourier(kernel: Kernel):
+    """Column function: sparse vectors to the kernel's dense features."""
+
+    @F.pandas_udf(VectorUDT())
+    def features(x: pd.DataFrame) -> pd.DataFrame:
+        along, phase = _directions(kernel)
+        rows = [np.cos((np.asarray(v) @ along[np.asarray(i, int)] if i is not None else np.asarray(v) @ along) + phase) * math.sqrt(2 / kernel.features) for i, v in zip(x["indices"], x["values"], strict=True)]
+        return pd.DataFrame({"type": np.ones(len(rows), np.int8), "size": [None] * len(rows), "indices": [None] * len(rows), "values": rows})
+
+    return features
+
+
 @dataclass
 class TextClassifier:
     """Fitted TF-IDF features and classifier; columns added: prediction label and probability array."""
@@ -58,37 +152,47 @@ class TextClassifier:
     weights: PipelineModel
     classifier: PipelineModel
     labels: list[str] = field(default_factory=list)
+    kernel: Kernel | None = None
+
+    def _weighted(self, df: DataFrame) -> DataFrame:
+        """Features from sublinear counts ``_tf``."""
+        weighted = self.weights.transform(df)
+        return weighted if self.kernel is None else weighted.withColumn("_features", _fourier(self.kernel)("_features"))
 
     def features(self, df: DataFrame, text_col: str = "text") -> DataFrame:
         counted = self.counts.transform(df.withColumn("_text", F.coalesce(text_col, F.lit(""))))
-        weighted = self.weights.transform(counted.withColumn("_tf", _sublinear("_counts")))
+        weighted = self._weighted(counted.withColumn("_tf", _sublinear("_counts")))
         return weighted.drop("_text", "_words", "_pairs", "_terms", "_counts", "_tf", "_idf")
 
+    def _scored(self, features: DataFrame, columns: list[str]) -> DataFrame:
+        scored = self.classifier.transform(features)
+        return scored.select(*columns, F.col("_predicted").alias("predicted"), vector_to_array("_probability").alias("probability"))
+
     def transform(self, df: DataFrame, text_col: str = "text") -> DataFrame:
-        scored = self.classifier.transform(self.features(df, text_col))
-        return scored.select(
-            *df.columns,
-            F.col("_predicted").alias("predicted"),
-            vector_to_array("_probability").alias("probability"),
-        )
+        return self._scored(self.features(df, text_col), df.columns)
+
+    def transform_counted(self, counted: DataFrame) -> DataFrame:
+        """As ``transform``, for rows of ``count_terms``; the counts are left out."""
+        vectors = _vectors(self.counts.stages[-1].vocabulary)
+        return self._scored(self._weighted(counted.withColumn("_tf", vectors("_counts"))), [c for c in counted.columns if c != "_counts"])
 
     def save(self, path: str) -> None:
         self.counts.write().overwrite().save(f"{path}/counts")
         self.weights.write().overwrite().save(f"{path}/weights")
         self.classifier.write().overwrite().save(f"{path}/classifier")
         spark = SparkSession.active()
-        spark.createDataFrame([(json.dumps(self.labels),)], "labels string").write.mode(
-            "overwrite"
-        ).text(f"{path}/labels")
+        known = json.dumps({"labels": self.labels, "kernel": None if self.kernel is None else asdict(self.kernel)})
+        spark.createDataFrame([(known,)], "known string").write.mode("overwrite").text(f"{path}/labels")
 
     @staticmethod
     def load(path: str) -> TextClassifier:
-        labels = SparkSession.active().read.text(f"{path}/labels").first()[0]
+        known = json.loads(SparkSession.active().read.text(f"{path}/labels").first()[0])
         return TextClassifier(
             PipelineModel.load(f"{path}/counts"),
             PipelineModel.load(f"{path}/weights"),
             PipelineModel.load(f"{path}/classifier"),
-            json.loads(labels),
+            known["labels"],
+            None if known["kernel"] is None else Kernel(**known["kernel"]),
         )
 
 
@@ -101,32 +205,33 @@ def fit_text_classifier(
     max_terms: int = MAX_TERMS,
     max_iter: int = 1000,
 ) -> TextClassifier:
-    """TF-IDF over words and word pairs with a linear classifier.
+    """TF-IDF over words and word pairs with a classifier.
 
     Features follow sublinear tf, smoothed idf plus one, unit length.  ``logreg`` is
-    L2-regularised with weight 1/n on the mean loss; ``svm`` is a linear SVM per
-    class whose margins are calibrated by logistic regression (MLlib has no kernel SVM).
-    Both stop by tolerance; ``max_iter`` only bounds the steps of a fit that never gets there.
+    L2-regularised with weight 1/n on the mean loss.  ``svm`` is a support vector machine
+    per class with a Gaussian kernel, whose width is the inverse of the number of terms
+    times the features' variance; the kernel is that of ``KERNEL_FEATURES`` random
+    Fourier features.  ``linear_svm`` has none.  Margins of both become probabilities by
+    logistic regression on rows that the machine was not fitted on, in ``CALIBRATION_FOLDS``
+    folds; the table with the folds is written before it is used.
+    All stop by tolerance; ``max_iter`` only bounds the steps of a fit that never gets there.
     """
-    if model not in ("logreg", "svm"):
-        raise ValueError("model must be logreg or svm")
-    data = df.filter(F.col(label_col).isNotNull()).select(
-        F.coalesce(text_col, F.lit("")).alias("_text"), F.col(label_col).cast("string").alias("_label")
-    )
-    words = PipelineModel(
-        stages=[
-            RegexTokenizer(inputCol="_text", outputCol="_words", pattern=TOKEN, gaps=False),
-            NGram(n=2, inputCol="_words", outputCol="_pairs"),
-            SQLTransformer(statement="SELECT *, concat(_words, _pairs) AS _terms FROM __THIS__"),
-        ]
-    )
+    data = df.filter(F.col(label_col).isNotNull()).select(F.col(text_col).alias("text"), F.col(label_col).cast("string").alias("_label"))
+    return fit_counted(cut(count_terms(data)), model=model, max_terms=max_terms, max_iter=max_iter)
+
+
+def fit_counted(
+    counted: DataFrame, *, label_col: str = "_label", model: str = "logreg", max_terms: int = MAX_TERMS, max_iter: int = 1000
+) -> TextClassifier:
+    """As ``fit_text_classifier``, for rows of ``count_terms``."""
+    if model not in ("logreg", "svm", "linear_svm"):
+        raise ValueError("model must be logreg, svm or linear_svm")
+    data = counted.filter(F.col(label_col).isNotNull()).select("_counts", F.col(label_col).cast("string").alias("_label"))
     # The most frequent terms by partial counts, ties by term; at most ``max_terms`` reach the driver.
     frequent = (
-        words.transform(data)
-        .select(F.explode_outer("_terms").alias("term"))
-        .filter("term is not null")
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("n"))
+        data.select(F.explode("_counts").alias("c"))
+        .groupBy("c.term")
+        .agg(F.sum("c.n").alias("n"))
         .orderBy(F.desc("n"), "term")
         .limit(max_terms)
     )
@@ -135,18 +240,15 @@ def fit_text_classifier(
         raise ValueError("the training texts hold no words")
     counter = PipelineModel(
         stages=[
-            *words.stages,
+            *_words().stages,
             CountVectorizerModel.from_vocabulary(vocabulary, inputCol="_terms", outputCol="_counts"),
         ]
     )
     index = StringIndexer(inputCol="_label", outputCol="_y", stringOrderType="alphabetAsc").fit(data)
     if len(index.labels) < 2:
         raise ValueError(f"the training rows hold a single class: {index.labels}")
-    tf = cut(
-        index.transform(counter.transform(data))
-        .withColumn("_tf", _sublinear("_counts"))
-        .select("_tf", "_y")
-    )
+    fold = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(CALIBRATION_FOLDS)).alias("_fold")
+    tf = cut(index.transform(data).select(_vectors(vocabulary)("_counts").alias("_tf"), "_y", fold))
     idf = IDF(inputCol="_tf", outputCol="_idf").fit(tf).idf.toArray() + 1.0
     weights = Pipeline(
         stages=[
@@ -157,7 +259,12 @@ def fit_text_classifier(
     n = tf.count()
     # The optimiser runs one job per step: few tasks while the rows are few.
     parts = -(-n // TRAIN_ROWS)
-    train = weights.transform(tf).select("_features", "_y").coalesce(max(parts, 1))
+    train = weights.transform(tf).select("_features", "_y", "_fold")
+    kernel = None
+    if model == "svm":
+        kernel = Kernel(_gamma(train, n, len(vocabulary)), len(vocabulary))
+        train = cut(train.withColumn("_features", _fourier(kernel)("_features")))
+    train = train.coalesce(max(parts, 1))
     # Rows are few next to features here; one narrow cache serves all optimiser passes.
     train.persist()
     try:
@@ -170,13 +277,28 @@ def fit_text_classifier(
         if model == "logreg":
             stages = [logreg.fit(train)]
         else:
-            stages = _one_vs_rest(train, len(index.labels), n, max_iter)
-            margins = PipelineModel(stages=stages).transform(train)
+            classes = len(index.labels)
+            stages = _one_vs_rest(train, classes, n, max_iter)
+            unseen = [
+                PipelineModel(stages=_one_vs_rest(train.filter(F.col("_fold") != f), classes, n, max_iter)).transform(train.filter(F.col("_fold") == f)).select("_margins", "_y")
+                for f in range(CALIBRATION_FOLDS)
+            ]
+            margins = cut(reduce(DataFrame.unionByName, unseen))
             stages.append(logreg.copy({logreg.featuresCol: "_margins"}).fit(margins))
         classifier = PipelineModel(stages=[*stages, decode])
     finally:
         train.unpersist()
-    return TextClassifier(counter, weights, classifier, list(index.labels))
+    return TextClassifier(counter, weights, classifier, list(index.labels), kernel)
+
+
+def _gamma(train: DataFrame, n: int, terms: int) -> float:
+    """One over the number of terms times the variance of all entries of the features."""
+    x = vector_to_array("_features")
+    sums = train.select(
+        F.aggregate(x, F.lit(0.0), lambda a, v: a + v).alias("s"), F.aggregate(x, F.lit(0.0), lambda a, v: a + v * v).alias("q")
+    ).agg(F.sum("s").alias("s"), F.sum("q").alias("q")).first()
+    variance = sums["q"] / (n * terms) - (sums["s"] / (n * terms)) ** 2
+    return 1.0 / (terms * variance) if variance > 0 else 1.0
 
 
 def _one_vs_rest(train: DataFrame, classes: int, n: int, max_iter: int) -> list:
@@ -242,35 +364,35 @@ def run_cycle(
 ) -> tuple[DataFrame, TextClassifier]:
     """Fit, evaluate, query, move rows; one history row per evaluation.
 
-    The driver keeps ids of queried rows only (``batch`` per round); membership is
-    an anti-join, and lineage is cut each round.
+    Texts are counted into terms and written once.  A round reads what it needs of them:
+    labelled rows are the seed and those whose ids were drawn, at most ``batch`` a
+    round, which are all that a round writes.
     """
     spark = seed_rows.sparkSession
-    columns = [id_col, text_col, label_col]
-    # Ids that are labelled; grows by ``batch`` per round.
-    labelled = cut(seed_rows.select(*columns))
-    rest = cut(pool.select(*columns))
+
+    def counted(df: DataFrame, seeded: bool) -> DataFrame:
+        return count_terms(df.select(id_col, F.col(text_col).alias("text"), F.col(label_col).cast("string").alias("_label"), F.lit(seeded).alias("_seeded")))
+
+    every = cut(counted(seed_rows, True).unionByName(counted(pool, False)))
+    held_out = None if test is None else cut(counted(test, False))
+    drawn: DataFrame | None = None
     history, fitted = [], None
     for iteration in range(n_iterations + 1):
-        fitted = fit_text_classifier(
-            labelled, text_col=text_col, label_col=label_col, model=model, max_terms=max_terms
-        )
-        held_out = labelled if test is None else test.select(*columns)
-        scored = fitted.transform(held_out, text_col)
-        m = evaluate(
-            scored, label_col, "predicted", labelled.select(F.col(label_col)).distinct()
-        ).first()
+        labelled, rest = every.filter("_seeded"), every.filter("not _seeded")
+        if drawn is not None:
+            labelled = labelled.unionByName(rest.join(drawn, id_col, "left_semi"))
+            rest = rest.join(drawn, id_col, "left_anti")
+        fitted = fit_counted(labelled, model=model, max_terms=max_terms)
+        scored = fitted.transform_counted(labelled if held_out is None else held_out)
+        m = evaluate(scored, "_label", "predicted", labelled.select("_label").distinct()).first()
         history.append((iteration, labelled.count(), m["accuracy"], m["f1"], strategy))
         if iteration == n_iterations:
             break
-        candidates = rest if strategy == "random" else fitted.transform(rest, text_col)
-        drawn = cut(
-            query(candidates, strategy, batch, id_col, seed=f"{seed}-{iteration}").select(*columns)
-        )
-        if drawn.isEmpty():
+        candidates = rest if strategy == "random" else fitted.transform_counted(rest)
+        fresh = cut(query(candidates, strategy, batch, id_col, seed=f"{seed}-{iteration}").select(id_col))
+        if fresh.isEmpty():
             break
-        labelled = cut(labelled.unionByName(drawn))
-        rest = cut(rest.join(drawn.select(id_col), id_col, "left_anti").select(*columns))
+        drawn = fresh if drawn is None else drawn.unionByName(fresh)
     return spark.createDataFrame(history, HISTORY), fitted
 
 

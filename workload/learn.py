@@ -46,23 +46,46 @@ def _labelled(spark, d):
     return docs.join(table(spark, d, "labels"), "doc_id").selectExpr(*LABELLED)
 
 
+# Planted classes: words of one of three classes behind every whole text, so that the right answer is known.
+PLANTED_CLASS = "case doc_id % 3 when 0 then 'red' when 1 then 'green' else 'blue' end"
+MARKS, REPEATS = 300, 3
+
+
+def _marked(df):
+    marks = F.expr(f"array_join(transform(sequence(1, {MARKS}), i -> concat(label, 'mark', i)), ' ')")
+    return df.withColumn("label", F.expr(PLANTED_CLASS)).withColumn("text", F.concat_ws(" ", "text", F.repeat(F.concat(marks, F.lit(" ")), REPEATS)))
+
+
+def _planted(spark, d):
+    """Labelled documents with the words of their planted class."""
+    docs = spread_table(spark, d, "documents", "doc_id")
+    return _marked(docs.join(table(spark, d, "labels").select("doc_id"), "doc_id").select("doc_id", "text"))
+
+
+PLANTED_SQL = f"select doc_id, {PLANTED_CLASS} as label from documents join labels using (doc_id)"
+
+
 def _model(spark, d, model="logreg"):
-    return M.fit_text_classifier(_labelled(spark, d), model=model)
+    return M.fit_text_classifier(_planted(spark, d), model=model)
 
 
 def _predictions(model):
     def run(spark, d):
         fitted = _model(spark, d, model)
-        return fitted.transform(_labelled(spark, d)).select("doc_id", "label", "predicted", F.round(F.array_max("probability"), 4).alias("confidence"))
+        return fitted.transform(_planted(spark, d)).select("doc_id", "label", "predicted", (F.array_max("probability") > 0.5).alias("sure"))
 
     return run
 
 
+PREDICTIONS_SQL = f"select doc_id, label, label as predicted, true as sure from ({PLANTED_SQL})"
+
+
 def score_new(spark, d):
     """Train, save, load, and label every document."""
     path = new_path(spark, "model")
     _model(spark, d).save(path)
-    return M.score_new(M.TextClassifier.load(path), spread(docs(spark, d).drop("label"), "doc_id")).select("doc_id", "label", "confidence")
+    every = _marked(spread(docs(spark, d).drop("label"), "doc_id")).drop("label")
+    return M.score_new(M.TextClassifier.load(path), every).select("doc_id", "label", (F.col("confidence") > 0.5).alias("sure"))
 
 
 def class_shares(spark, d):
@@ -70,6 +93,22 @@ def class_shares(spark, d):
     return value_counts(_predictions("logreg")(spark, d), "predicted", normalize=True)
 
 
+def _crossed(spark, d):
+    """Two words by two bits of the id; the label is their exclusive-or, which no linear machine separates."""
+    a, b = F.col("doc_id") % 2, F.floor(F.col("doc_id") / 2) % 2
+    words = F.concat_ws(" filler ", F.when(a == 0, "north").otherwise("south"), F.when(b == 0, "east").otherwise("west"))
+    return table(spark, d, "documents").select("doc_id", words.alias("text"), F.when(a == b, "same").otherwise("other").alias("label"))
+
+
+def svm_crossed(spark, d):
+    """A kernel machine tells the exclusive-or of two words; its probabilities come from rows it was not fitted on."""
+    t = _crossed(spark, d)
+    return M.fit_text_classifier(t, model="svm").transform(t).select("doc_id", "predicted", (F.array_max("probability") > 0.8).alias("sure"))
+
+
+SVM_CROSSED_SQL = "select doc_id, case when doc_id % 2 = doc_id // 2 % 2 then 'same' else 'other' end as predicted, true as sure from documents"
+
+
 def _probabilities(spark, d):
     """Three-class probabilities derived from event values."""
     a, b = F.col("value") / (F.col("value") + 20), F.col("user_id") / (F.col("user_id") + 60.0)
@@ -100,13 +139,16 @@ def _query(strategy):
 
 
 def evaluate_model(spark, d):
-    split = stratified_split(_labelled(spark, d), "label", "doc_id")
+    split = stratified_split(_planted(spark, d), "label", "doc_id")
     fitted = M.fit_text_classifier(split.filter("split = 'train'"))
     return evaluate(fitted.transform(split.filter("split = 'test'")), "label", "predicted")
 
 
+TEST_SQL = f"select sum(round(n * 0.2::double))::bigint as rows from (select label, count(*) as n from ({PLANTED_SQL}) group by label)"
+
+
 def _seeded(spark, d):
-    split = stratified_split(_labelled(spark, d).select("doc_id", "text", "label"), "label", "doc_id")
+    split = stratified_split(_planted(spark, d), "label", "doc_id")
     train, test = split.filter("split = 'train'"), split.filter("split = 'test'")
     seed, pool = seed_and_pool(train, "doc_id", 60, 20)
     return seed, pool, test
@@ -118,6 +160,15 @@ def run_cycle(spark, d):
     return history
 
 
+# Planted classes are told without a fault from the first round on; a round adds 20 rows while there are any.
+CYCLE_SQL = f"""
+train as (select (select count(*) from ({PLANTED_SQL})) - rows as n from ({TEST_SQL})),
+seed as (select greatest(least(60, n - 20), 0) as s, n from train),
+rounds as (select i as iteration, least(s + 20 * i, n) as n_labeled from seed, range(0, 6) r(i) where s + 20 * (i - 1) < n)
+"""
+RUN_CYCLE_SQL = f"with {CYCLE_SQL} select iteration::int as iteration, n_labeled, 1.0::double as accuracy, 1.0::double as f1, 'margin' as strategy from rounds"
+
+
 def compare_strategies(spark, d):
     seed, pool, test = _seeded(spark, d)
     side_by_side, _ = M.compare_strategies(seed, pool, "doc_id", test=test)
@@ -153,7 +204,7 @@ def review_quality(spark, d):
     """Corrections from the review queue, then agreement of the result with the labels of people."""
     queue = table(spark, d, "documents").selectExpr(
         "doc_id as position", "text", "case doc_id % 3 when 0 then '1' when 1 then '0' else 'unsure' end as label"
-    ).filter("position % 4 < 3")
+    )
     return stages.review_stage(_labelled(spark, d), queue, ["0", "1"], position="position")[1]
 
 
@@ -173,19 +224,26 @@ select count(label) as labelled, round(avg(confidence), 4) as confidence_mean, r
 CASES = {
     "review_quality": (review_quality, REVIEW_QUALITY_SQL),
     "auto_label": (auto_label, AUTO_LABEL_SQL),
-    "fit_text_classifier": (_predictions("logreg"), None),
-    "fit_text_classifier_svm": (_predictions("svm"), None),
-    "predicted_shares": (class_shares, None),
-    "score_new": (score_new, None),
+    "fit_text_classifier": (_predictions("logreg"), PREDICTIONS_SQL),
+    "fit_text_classifier_svm": (_predictions("svm"), PREDICTIONS_SQL),
+    "svm_crossed": (svm_crossed, SVM_CROSSED_SQL),
+    "predicted_shares": (
+        class_shares,
+        f"select label as value, count(*) as count, round(count(*)::double / sum(count(*)) over (), 4) as share from ({PLANTED_SQL}) group by label",
+    ),
+    "score_new": (score_new, f"select doc_id, {PLANTED_CLASS} as label, true as sure from documents"),
     "uncertainty_scores": (
         uncertainty, f"with {PROBABILITY_CTE} select event_id, round(entropy, 4) as entropy, round(margin, 4) as margin from u",
     ),
     "query_entropy": (_query("entropy"), f"with {PROBABILITY_CTE} select event_id from u order by entropy desc, event_id limit 50"),
     "query_margin": (_query("margin"), f"with {PROBABILITY_CTE} select event_id from u order by margin desc, event_id limit 50"),
     "query_random": (_query("random"), "select event_id from events order by md5('42|' || event_id), event_id limit 50"),
-    "evaluate_model": (evaluate_model, None),
-    "run_cycle": (run_cycle, None),
-    "compare_strategies": (compare_strategies, None),
+    "evaluate_model": (evaluate_model, f"select rows, 1.0::double as accuracy, 1.0::double as f1 from ({TEST_SQL})"),
+    "run_cycle": (run_cycle, RUN_CYCLE_SQL),
+    "compare_strategies": (
+        compare_strategies,
+        f"with {CYCLE_SQL} select iteration::int as iteration, n_labeled, 1.0::double as accuracy_entropy, 1.0::double as f1_entropy, 1.0::double as accuracy_random, 1.0::double as f1_random, 0.0::double as f1_delta from rounds",
+    ),
     "savings": (savings, SAVINGS_SQL),
     "learning_curve": (
         learning_curve,
