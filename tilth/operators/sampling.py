@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tilth.functions.hashing import TOP_ROWS, hash_ranked, stable_hash
+from tilth.functions.hashing import TOP_ROWS, first_by_hash, hash_ranked, stable_hash
 
 
 def sample_n(df: DataFrame, n: int, id_col: str, seed: object = 42) -> DataFrame:
@@ -50,35 +50,28 @@ def stratified_cap(
     A source above ``n`` rows gives each label its rounded share (half to even, at
     least one row); the result is shuffled and cut to ``n``.
     """
-    by_label = hash_ranked(df, [source_col, label_col], id_col, seed)
-    sizes = df.groupBy(F.col(source_col).alias("_s")).agg(F.count(F.lit(1)).alias("_total"))
-    quota = F.greatest(
-        F.lit(1), F.bround(F.col("_size").cast("double") / F.col("_total") * n, 0).cast("long")
-    )
-    chosen = (
-        by_label.join(sizes, by_label[source_col].eqNullSafe(sizes["_s"]))
-        .filter((F.col("_total") <= n) | (F.col("_rank") <= quota))
-        .withColumn("_capped", F.col("_total") > n)
-        .drop("_s", "_total", "_rank", "_size")
-    )
-    # Quotas add up to about n per source, so this second ranking sees few rows.
-    w = W.partitionBy(source_col, "_part").orderBy(stable_hash(f"{seed}-cut", id_col), id_col)
-    spread = F.when(F.col("_capped"), F.lit(0)).otherwise(F.pmod(F.xxhash64(id_col), F.lit(1024)) + 1)
-    return (
-        chosen.withColumn("_part", spread)
-        .withColumn("_r", F.row_number().over(w))
-        .filter(~F.col("_capped") | (F.col("_r") <= n))
-        .drop("_r", "_part", "_capped")
-    )
+    source = f"_k_{source_col}"
+
+    def by_label(groups: DataFrame) -> DataFrame:
+        total = F.sum("_size").over(W.partitionBy(source))
+        share = F.greatest(F.lit(1), F.bround(F.col("_size").cast("double") / total * n, 0).cast("long"))
+        return groups.withColumn("_quota", F.when(total <= n, F.col("_size")).otherwise(share))
+
+    chosen = first_by_hash(df, [source_col, label_col], id_col, by_label, seed).filter("_first").drop("_first")
+    # Quotas add up to about n a source; what is over is cut in another order.
+    kept = first_by_hash(chosen, [source_col], id_col, lambda g: g.withColumn("_quota", F.lit(n).cast("long")), f"{seed}-cut")
+    return kept.filter("_first").drop("_first")
 
 
 def stratified_split(
     df: DataFrame, label_col: str, id_col: str, test: float = 0.2, seed: object = 42
 ) -> DataFrame:
     """Add ``split`` (train or test) with class shares kept; a class of one or two rows stays in train."""
-    ranked = hash_ranked(df, [label_col], id_col, seed)
-    in_test = F.col("_rank") <= F.round(F.col("_size") * F.lit(test), 0)
-    return ranked.withColumn("split", F.when(in_test, "test").otherwise("train")).drop("_rank", "_size")
+    def share(groups: DataFrame) -> DataFrame:
+        return groups.withColumn("_quota", F.round(F.col("_size") * F.lit(test), 0).cast("long"))
+
+    found = first_by_hash(df, [label_col], id_col, share, seed)
+    return found.withColumn("split", F.when(F.col("_first"), "test").otherwise("train")).drop("_first")
 
 
 def seed_and_pool(
