@@ -4,8 +4,9 @@ A column is counted into equal-width bins between its smallest and largest finit
 value; the bin that holds a wanted rank is then binned again, between its own smallest
 and largest value, until so few values are left that they are sorted as they are.
 Infinities are counted apart.  Every round is one
-pruned scan with map-side aggregation into at most ``BINS`` rows per range, and a
-value that fills a bin alone is found at once, however often it occurs.
+pruned scan for all columns together, with map-side aggregation into at most ``BINS``
+rows per range, and a value that fills a bin alone is found at once, however often it
+occurs.
 """
 
 from __future__ import annotations
@@ -13,7 +14,6 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,19 +40,16 @@ def _between(x: Column, r: _Range) -> Column:
 
 
 def _split(df: DataFrame, ranges: Sequence[_Range], bins: int) -> dict[_Range, list[_Range]]:
-    """Count every range into bins: a scan of its column each, at most ``bins`` rows per range."""
-    scans = []
+    """Count every range into bins, all in one scan: at most ``bins`` rows per range leave a task."""
+    cells = []
     for i, r in enumerate(ranges):
+        x = number(df, r.column)
         # Halves keep the width of any two doubles finite.
-        share = (F.col("x") / 2 - r.low / 2) / F.lit(r.high / 2 - r.low / 2)
+        share = (x / 2 - r.low / 2) / F.lit(r.high / 2 - r.low / 2)
         place = F.least(F.floor(share * bins), F.lit(bins - 1)).cast("int")
-        scans.append(
-            df.select(number(df, r.column).alias("x"))
-            .filter(_between(F.col("x"), r))
-            .groupBy(F.lit(i).alias("r"), place.alias("b"))
-            .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
-        )
-    counted = reduce(DataFrame.unionByName, scans).collect()
+        cells.append(F.when(_between(x, r), F.struct(F.lit(i).alias("r"), place.alias("b"), x.alias("x"))))
+    placed = df.select(F.inline(F.array_compact(F.array(*cells))))
+    counted = placed.groupBy("r", "b").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("low"), F.max("x").alias("high")).collect()
     out: dict[_Range, list[_Range]] = {r: [] for r in ranges}
     for row in sorted(counted, key=lambda c: (c["r"], c["b"])):
         whole = ranges[row["r"]]

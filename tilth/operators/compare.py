@@ -2,63 +2,39 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tilth.functions.scalars import signed, signed_pct
-from tilth.operators.detect import (
-    class_counts,
-    duplicate_count,
-    empty_columns,
-    iqr_bounds,
-    missing_totals,
-    outlier_counts,
-)
-from tilth.schema import missing, number, numeric_columns
+from tilth.operators.detect import class_counts, facts, missing_totals
+from tilth.schema import numeric_columns
 from tilth.sources.collect import flatten_struct
 
 
-def _metrics(df: DataFrame, active: Sequence[str], numeric: Sequence[str]) -> DataFrame:
-    """Long table (position, metric, value) of one side."""
-    nulls = df.select(*[c for c in active if c in df.columns]).transform(missing_totals)
-    dups = duplicate_count(df)
-    outliers = outlier_counts(df, iqr_bounds(df, numeric))
-    return (
-        dups.select(F.lit(0).alias("position"), F.lit("rows").alias("metric"), F.col("total_rows").alias("value"))
-        .unionByName(
-            nulls.select(F.lit(1).alias("position"), F.lit("missing_values").alias("metric"),
-                         F.coalesce("missing_cells", F.lit(0)).alias("value"))
-        )
-        .unionByName(
-            dups.select(F.lit(2).alias("position"), F.lit("duplicates").alias("metric"),
-                        F.col("duplicate_rows").alias("value"))
-        )
-        .unionByName(
-            outliers.select((F.col("position") + 3).alias("position"),
-                            F.concat(F.lit("outliers_"), "column").alias("metric"),
-                            F.col("outliers").alias("value"))
-        )
-    )
-
-
 def compare(before: DataFrame, after: DataFrame) -> DataFrame:
     """metric, before, after, change, change_pct: rows, missing values, duplicates, outliers.
 
     Columns that are null throughout in ``before`` are unused modalities and are
-    left out of missing values; each side uses its own outlier fences.
+    left out of missing values; each side uses its own outlier fences.  Each side is read
+    once (see ``Facts``), and one row of totals of each reaches the driver.
     """
-    empty = set(empty_columns(before))
-    active = [c for c in before.columns if c not in empty]
-    numeric = [c for c in numeric_columns(before) if c in active and c in after.columns]
-    b = _metrics(before, active, numeric).withColumnRenamed("value", "before")
-    a = _metrics(after, active, numeric).select("metric", F.col("value").alias("after"))
+    sides = [facts(before), facts(after)]
+    nulls = sides[0].totals().first()
+    active = [c for c, n in zip(before.columns, nulls["nulls"]) if n < nulls["total_rows"]]
+    numeric = [c for c in sides[0].numeric if c in active and c in after.columns]
+    values = []
+    for side in sides:
+        fenced = [c for c in numeric if c in side.numeric]
+        row = side.totals(side.bounds(fenced)).first()
+        found = {"rows": row["total_rows"], "missing_values": sum(n for c, n in zip(side.columns, row["nulls"]) if c in active), "duplicates": side.groups().first()["duplicate_rows"]}
+        found |= {f"outliers_{c}": row["numbers"][side.numeric.index(c)]["outliers"] for c in fenced}
+        values.append(found)
+    lines = [(i, m, v, values[1][m]) for i, (m, v) in enumerate(values[0].items()) if m in values[1]]
+    table = before.sparkSession.createDataFrame(lines, "position int, metric string, before long, after long")
     with_pct = (F.col("metric") == "rows") | F.col("metric").startswith("outliers_")
     return (
-        b.join(a, "metric")
-        .withColumn("change", signed(F.col("after") - F.col("before")))
+        table.withColumn("change", signed(F.col("after") - F.col("before")))
         .withColumn(
             "change_pct",
             F.when(with_pct & (F.col("before") != 0), signed_pct(F.col("before"), F.col("after")))
@@ -73,49 +49,28 @@ def compare_tables(before: DataFrame, after: DataFrame) -> DataFrame:
     """Long table (section, name, stat, before, after): shape, nulls by column, numeric statistics.
 
     Null counts are listed only where they changed; statistics only for numeric
-    columns present on both sides.
+    columns present on both sides.  Each side is read once (see ``Facts``).
     """
     common = [c for c in numeric_columns(before) if c in numeric_columns(after)]
     shared = [c for c in before.columns if c in after.columns]
 
     def side(df: DataFrame) -> DataFrame:
-        totals = missing_totals(df)
-        dups = duplicate_count(df)
-        stats = []
-        for c in common:
-            x = number(df, c)
-            for stat, v in (
-                ("mean", F.avg(x)), ("std", F.stddev_samp(x)), ("min", F.min(x)), ("max", F.max(x))
-            ):
-                stats.append(
-                    F.struct(F.lit("numeric").alias("section"), F.lit(c).alias("name"),
-                             F.lit(stat).alias("stat"), F.round(v, 4).alias("value"))
-                )
-        nulls = [
-            F.struct(F.lit("missing").alias("section"), F.lit(c).alias("name"),
-                     F.lit("nulls").alias("stat"), F.count_if(missing(df, c)).cast("double").alias("value"))
-            for c in shared
+        known = facts(df)
+        total = F.col("total_rows")
+        cells = total * len(df.columns)
+
+        def line(section: str, name: str, stat: str, value: Column) -> Column:
+            return F.struct(F.lit(section).alias("section"), F.lit(name).alias("name"), F.lit(stat).alias("stat"), value.cast("double").alias("value"))
+
+        lines = [
+            line("table", "rows", "count", total),
+            line("table", "cols", "count", F.lit(len(df.columns))),
+            line("table", "missing_pct", "pct", F.coalesce(F.round(F.try_divide(F.col("missing_cells").cast("double"), cells) * 100, 3), F.lit(0.0))),
+            line("table", "duplicates", "count", known.groups().select("duplicate_rows").scalar()),
+            *[line("missing", c, "nulls", F.col("nulls")[known.columns.index(c)]) for c in shared],
+            *[line("numeric", c, stat, F.round(F.col("numbers")[known.numeric.index(c)][stat], 4)) for c in common for stat in ("mean", "std", "min", "max")],
         ]
-        table = F.lit("table")
-        out = totals.select(
-            F.explode(F.array(
-                F.struct(table.alias("section"), F.lit("rows").alias("name"), F.lit("count").alias("stat"),
-                         F.col("total_rows").cast("double").alias("value")),
-                F.struct(table.alias("section"), F.lit("cols").alias("name"), F.lit("count").alias("stat"),
-                         F.col("total_cols").cast("double").alias("value")),
-                F.struct(table.alias("section"), F.lit("missing_pct").alias("name"), F.lit("pct").alias("stat"),
-                         F.coalesce("missing_pct", F.lit(0.0)).alias("value")),
-            )).alias("s")
-        ).select("s.*")
-        out = out.unionByName(
-            dups.select(table.alias("section"), F.lit("duplicates").alias("name"),
-                        F.lit("count").alias("stat"), F.col("duplicate_rows").cast("double").alias("value"))
-        )
-        if nulls or stats:
-            out = out.unionByName(
-                df.agg(F.array(*nulls, *stats).alias("s")).select(F.explode("s").alias("s")).select("s.*")
-            )
-        return out
+        return known.totals().select(F.explode(F.array(*lines)).alias("s")).select("s.*")
 
     keys = ["section", "name", "stat"]
     b = side(before).withColumnRenamed("value", "before")

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tilth.functions.quantiles import quantiles
 from tilth.functions.scalars import (
@@ -19,6 +20,7 @@ from tilth.functions.scalars import (
     overall_severity,
     severity,
 )
+from tilth.functions.store import cut
 from tilth.schema import missing, number, numeric_columns
 
 
@@ -109,25 +111,93 @@ def empty_columns(df: DataFrame) -> list[str]:
     return [c for i, c in enumerate(df.columns) if row[f"n{i}"] == 0]
 
 
-def duplicate_groups(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
-    """Distinct key values with their row count; null equals null.
+def row_digest(df: DataFrame, subset: Sequence[str] | None = None) -> Column:
+    """256 bits of a row's values, made in the scan: equal for rows that grouping would call equal.
 
-    Counting is partial per task before the shuffle, so a hot key costs one row per task.
+    Each value goes in under its column's name and null is left out, so nulls equal nulls
+    and nothing else; 0.0 and -0.0 are one number.  SHA-256 stands for the values: no two
+    different rows with one digest are known.
     """
-    keys = list(subset) if subset else df.columns
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
+    plain = []
+    for f in (df.schema[c] for c in (subset or df.columns)):
+        value = F.col(f.name)
+        if isinstance(f.dataType, (T.FloatType, T.DoubleType)):
+            value = value + F.lit(0.0).cast(f.dataType)
+        plain.append(value.alias(f"c{len(plain)}"))
+    text = F.to_json(F.struct(*plain), {"ignoreNullFields": "true"})
+    return F.unhex(F.sha2(text.cast("binary"), 256))
 
 
 def duplicate_count(df: DataFrame, subset: Sequence[str] | None = None, keep: str = "first") -> DataFrame:
-    """One row (total_rows, duplicate_rows); ``keep='none'`` counts every member of a group."""
+    """One row (total_rows, duplicate_rows); ``keep='none'`` counts every member of a group.
+
+    Rows are exchanged as digests of 32 bytes, counted per task first, so a hot key costs
+    one row per task and long texts cost no more than short ones.
+    """
     copies = F.col("_copies")
     extra = F.when(copies > 1, copies).otherwise(0) if keep == "none" else copies - 1
-    return duplicate_groups(df, subset).agg(
+    groups = df.groupBy(row_digest(df, subset).alias("_digest")).agg(F.count(F.lit(1)).alias("_copies"))
+    return groups.agg(
         F.coalesce(F.sum(copies), F.lit(0)).alias("total_rows"),
         F.coalesce(F.sum(extra), F.lit(0)).cast("long").alias("duplicate_rows"),
     )
 
 
+@dataclass(frozen=True)
+class Facts:
+    """What reports need of each row, written once: its missing values, numbers, digest and label.
+
+    Texts and whatever made the table are left behind, so each report after it reads a narrow table.
+    """
+
+    rows: DataFrame
+    columns: list[str]
+    numeric: list[str]
+
+    def x(self, name: str) -> str:
+        return f"x{self.numeric.index(name)}"
+
+    def bounds(self, names: Sequence[str] | None = None, k: float = 1.5) -> dict[str, Bounds]:
+        names = list(self.numeric if names is None else names)
+        found = iqr_bounds(self.rows, [self.x(c) for c in names], k)
+        return {c: found[self.x(c)] for c in names}
+
+    def totals(self, bounds: dict[str, Bounds] | None = None) -> DataFrame:
+        """One row: counts of rows and missing values, and of each number its spread and outliers."""
+        every = F.size(F.filter("missing", lambda m: m))
+        numbers = [
+            F.struct(
+                F.avg(self.x(c)).alias("mean"), F.stddev_samp(self.x(c)).alias("std"), F.min(self.x(c)).alias("min"), F.max(self.x(c)).alias("max"),
+                F.count_if((bounds or {}).get(c, Bounds(None, None)).outside(F.col(self.x(c)))).alias("outliers"),
+            )
+            for c in self.numeric
+        ]
+        return self.rows.agg(
+            F.count(F.lit(1)).alias("total_rows"),
+            F.count_if(every > 0).alias("rows_with_any"),
+            F.coalesce(F.sum(every.cast("long")), F.lit(0)).alias("missing_cells"),
+            F.array(*[F.count_if(F.col("missing")[i]) for i in range(len(self.columns))]).alias("nulls"),
+            (F.array(*numbers) if numbers else F.array()).alias("numbers"),
+        )
+
+    def groups(self) -> DataFrame:
+        """One row: duplicate rows, and of the labels their number and largest and smallest class."""
+        copies = self.rows.groupBy("digest", "label").agg(F.count(F.lit(1)).alias("n"))
+        classes = copies.groupBy("label").agg(F.sum("n").alias("n"), F.sum(F.col("n") - 1).alias("extra"))
+        named = F.when(F.col("label").isNotNull(), F.col("n"))
+        return classes.agg(
+            F.coalesce(F.sum("extra"), F.lit(0)).alias("duplicate_rows"), F.count(named).alias("classes"), F.max(named).alias("largest"), F.min(named).alias("smallest"),
+        )
+
+
+def facts(df: DataFrame, label_col: str | None = None) -> Facts:
+    numeric = numeric_columns(df)
+    label = F.col(label_col).cast("string") if label_col in df.columns else F.lit(None).cast("string")
+    flags = F.array(*[missing(df, c) for c in df.columns])
+    numbers = [number(df, c).alias(f"x{i}") for i, c in enumerate(numeric)]
+    return Facts(cut(df.select(row_digest(df).alias("digest"), label.alias("label"), flags.alias("missing"), *numbers)), df.columns, numeric)
+
+
 def detect_duplicates(
     df: DataFrame, subset: Sequence[str] | None = None, keep: str = "first"
 ) -> DataFrame:
@@ -363,57 +433,47 @@ def imbalance(df: DataFrame, label_col: str | None) -> DataFrame:
 
 
 def quality_report(df: DataFrame, label_col: str | None = None) -> DataFrame:
-    """Long table (issue, column, count, pct, severity) over all four kinds of issue."""
-    spark = df.sparkSession
-    numeric = numeric_columns(df)
-    counts = _null_counts(df)
-    columns = _per_column(counts, df)
-    active = columns.filter(F.col("missing") < F.col("total_rows"))
-    share = F.try_divide(F.col("missing").cast("double"), F.col("total_rows"))
-    none = F.lit(None)
-
-    def line(issue: str, column: Column, count: Column, value: Column, level: Column) -> list[Column]:
-        return [
-            F.lit(issue).alias("issue"),
-            column.cast("string").alias("column"),
-            count.cast("long").alias("count"),
-            value.cast("double").alias("pct"),
-            level.cast("string").alias("severity"),
-        ]
+    """Long table (issue, column, count, pct, severity) over all four kinds of issue.
 
-    per_missing = active.filter("missing > 0").select(
-        *line("missing", F.col("column"), F.col("missing"), F.round(share * 100, 2), none)
-    )
-    skipped = columns.filter(F.col("missing") == F.col("total_rows")).select(
-        *line("skipped_empty", F.col("column"), F.col("missing"), none, none)
-    )
-    outliers = outlier_counts(df, iqr_bounds(df, numeric)).filter("outliers > 0").select(
-        *line("outliers", F.col("column"), F.col("outliers"), pct(F.col("outliers"), F.col("total_rows")), none)
-    )
-    missing_total = active.agg(
-        F.round(F.avg(share) * 100, 2).alias("v"), F.coalesce(F.sum("missing"), F.lit(0)).alias("n")
-    )
-    duplicates = duplicate_count(df).select(
-        "duplicate_rows", pct(F.col("duplicate_rows"), F.col("total_rows")).alias("v")
-    )
-    balance = imbalance(df, label_col)
-    overall = spark.range(1).select(
-        missing_total.select("v").scalar().alias("m"),
-        duplicates.select("v").scalar().alias("d"),
-        balance.select("ratio").scalar().alias("r"),
-    )
-    out = per_missing.unionByName(skipped)
-    for part in (
-        missing_total.select(*line("missing_total", none, F.col("n"), F.col("v"), none)),
-        duplicates.select(*line("duplicates", none, F.col("duplicate_rows"), F.col("v"), none)),
-        outliers,
-        balance.select(*line("imbalance", F.lit(label_col), F.col("num_classes"), F.col("ratio"), none)),
-        overall.select(
-            *line("overall", none, none, none, overall_severity(F.col("m"), F.col("d"), F.col("r")))
-        ),
-    ):
-        out = out.unionByName(part)
-    return out
+    The table is read once (see ``Facts``); all lines come from one row of totals.
+    """
+    known = facts(df, label_col)
+    bounds = known.bounds()
+    labelled = label_col is not None and label_col in df.columns
+    group = F.col("g")
+    total, none = F.col("total_rows"), F.lit(None)
+    ratio = F.lit(None).cast("double")
+    if labelled:
+        ratio = F.when(group["classes"] > 1, F.round(group["largest"].cast("double") / group["smallest"], 2)).otherwise(1.0)
+    shares = F.transform(F.filter("nulls", lambda n: n < total), lambda n: n / total.cast("double"))
+    summed = F.aggregate(shares, F.lit(0.0), lambda a, x: a + x)
+    mean = F.round(F.try_divide(summed, F.size(shares)) * 100, 2)
+    held = F.aggregate(F.filter("nulls", lambda n: n < total), F.lit(0).cast("long"), lambda a, n: a + n)
+    repeated = pct(group["duplicate_rows"], total)
+
+    def line(issue: str, column: Column, count: Column, value: Column, level: Column = none, where: Column | None = None) -> Column:
+        return F.struct(
+            F.lit(issue).alias("issue"), column.cast("string").alias("column"), count.cast("long").alias("count"), value.cast("double").alias("pct"),
+            level.cast("string").alias("severity"), (F.lit(True) if where is None else where).alias("listed"),
+        )
+
+    lines = []
+    for i, c in enumerate(known.columns):
+        n = F.col("nulls")[i]
+        lines.append(line("missing", F.lit(c), n, F.round(F.try_divide(n.cast("double"), total) * 100, 2), where=(n > 0) & (n < total)))
+        lines.append(line("skipped_empty", F.lit(c), n, none, where=n == total))
+    for i, c in enumerate(known.numeric):
+        n = F.col("numbers")[i]["outliers"]
+        lines.append(line("outliers", F.lit(c), n, pct(n, total), where=n > 0))
+    lines += [
+        line("missing_total", none, held, mean),
+        line("duplicates", none, group["duplicate_rows"], repeated),
+        line("imbalance", F.lit(label_col), group["classes"] if labelled else F.lit(0), ratio),
+        line("overall", none, none, none, overall_severity(mean, repeated, ratio)),
+    ]
+    one = known.totals(bounds).withColumn("g", known.groups().select(F.struct("*").alias("g")).scalar())
+    found = one.select(F.explode(F.array(*lines)).alias("s")).select("s.*")
+    return found.filter("listed").drop("listed")
 
 
 def zero_inflated(df: DataFrame, columns: Sequence[str] | None = None, share: float = 0.8) -> DataFrame:

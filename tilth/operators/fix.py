@@ -225,7 +225,8 @@ def _neighbours(
     )
     chain = W.partitionBy(*by).orderBy("_block")
     earlier = chain.rowsBetween(W.unboundedPreceding, -1)
-    later = chain.rowsBetween(1, W.unboundedFollowing)
+    # What follows, as what precedes in the reversed order: a frame that only grows.
+    later = W.partitionBy(*by).orderBy(F.desc("_block")).rowsBetween(W.unboundedPreceding, -1)
     ends = ends.withColumn("_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
 
     def moved(c: str) -> Column:
@@ -242,7 +243,7 @@ def _neighbours(
         F.col("_block").alias("_k__block"),
         "_start",
         *[F.last(f"_last_{c}", ignorenulls=True).over(earlier).alias(f"_in_{c}") for c in columns],
-        *[F.first(f"_first_{c}", ignorenulls=True).over(later).alias(f"_out_{c}") for c in columns],
+        *[F.last(f"_first_{c}", ignorenulls=True).over(later).alias(f"_out_{c}") for c in columns],
     )
     keys = [*by, "_block"]
     joined = local.join(carry, _match(local, carry, keys))
@@ -476,14 +477,14 @@ def cap_percentile(
 winsorize = cap_percentile
 
 
-def clip_report(df: DataFrame, bounds: Mapping[str, Bounds]) -> DataFrame:
+def clip_report(df: DataFrame, bounds: Mapping[str, Bounds], digits: int = 4) -> DataFrame:
     """Clipped values and bounds per column; missing values do not count as clipped."""
     rows = [
         F.struct(
             F.lit(c).alias("column"),
             F.count_if(b.outside(number(df, c))).alias("clipped"),
-            F.round(F.lit(b.low).cast("double"), 4).alias("lower_bound"),
-            F.round(F.lit(b.high).cast("double"), 4).alias("upper_bound"),
+            F.round(F.lit(b.low).cast("double"), digits).alias("lower_bound"),
+            F.round(F.lit(b.high).cast("double"), digits).alias("upper_bound"),
         )
         for c, b in bounds.items()
     ]

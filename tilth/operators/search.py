@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tilth.functions.scalars import auto_top_n, tokenize
 from tilth.functions.store import cut
+from tilth.functions.tokens import numbered_words
 
 # Okapi BM25 parameters and the share of the mean idf given to very common terms.
 K1 = 1.5
@@ -16,8 +21,8 @@ B = 0.75
 EPSILON = 0.25
 # Fixed value: bonus per query that found a candidate.
 MATCH_BONUS = 0.05
-# Beyond so many query terms the tokens are joined with them instead of filtered.
-LITERAL_TERMS = 5_000
+# Distinct terms that the queries may hold: they go to every task (some tens of megabytes).
+MAX_QUERY_TERMS = 1_000_000
 
 
 def query_terms(texts: DataFrame, text_col: str) -> DataFrame:
@@ -35,77 +40,86 @@ def terms_of(spark, queries: Sequence[str], keywords: Sequence[str] = ()) -> Dat
     return query_terms(spark.range(1).select(text.alias("t")), "t")
 
 
-def bm25(docs: DataFrame, terms: DataFrame, id_col: str = "id", text_col: str = "corpus_text") -> DataFrame:
-    """(id, score) of every document for a multiset of query terms.
+def bm25(
+    docs: DataFrame, terms: DataFrame, id_col: str = "id", text_col: str = "corpus_text", carry: Sequence[str] = ()
+) -> DataFrame:
+    """(id, score) of every document for a multiset of query terms; ``carry`` columns stay beside them.
 
-    Document text is tokenised in the scan and never shuffled: what moves is one
-    partial count per vocabulary term, and (document, term, frequency) for terms of
-    the query.  A term in more than half of the documents has a negative idf, which
-    is replaced by a quarter of the mean idf over the vocabulary.
+    One scan counts words inside documents: what leaves it is, of each Arrow batch, one
+    count per word of its vocabulary, and of each document its length and the counts of
+    query terms.  A term in more than half of the documents has a negative idf, which is
+    replaced by a quarter of the mean idf over the vocabulary.  Null texts are empty.
     """
-    tokens = docs.select(F.col(id_col).alias("id"), tokenize(text_col).alias("tokens"))
-    # One pass for the vocabulary: each document adds its length with its first distinct
-    # term (an empty document with the null term), so totals come from the same counts.
-    vocabulary = cut(
-        tokens.select(
-            F.size("tokens").alias("dl"), F.posexplode_outer(F.array_distinct("tokens")).alias("at", "term")
-        )
-        .groupBy("term")
-        .agg(
-            F.count("term").cast("double").alias("df"),
-            F.count_if(F.coalesce("at", F.lit(0)) == 0).alias("docs"),
-            F.sum(F.when(F.col("at") == 0, F.col("dl"))).alias("length"),
-        )
-    )
-    totals = vocabulary.agg(F.sum("docs").alias("n"), F.sum("length").alias("length")).first()
-    n = float(totals["n"] or 0)
-    average = F.lit((totals["length"] or 0) / n if n else 1.0)
-    df_counts = vocabulary.filter("term is not null").withColumn(
-        "raw_idf", F.log(F.lit(n) - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)
-    )
-    mean_idf = F.lit(df_counts.agg(F.avg("raw_idf")).first()[0]).cast("double")
-    weights = (
-        df_counts.join(terms, "term")
-        .withColumn(
-            "idf",
-            F.when(F.col("raw_idf") < 0, EPSILON * mean_idf).otherwise(F.col("raw_idf")),
-        )
-        .select("term", (F.col("idf") * F.col("repeats")).alias("weight"))
-    )
-    # Query terms are words of the queries; up to this many they go along as literals, so
-    # that only their occurrences leave a document.
-    names = [r["term"] for r in weights.select("term").limit(LITERAL_TERMS + 1).collect()]
-    wanted = F.filter("tokens", lambda t: t.isin(names)) if len(names) <= LITERAL_TERMS else F.col("tokens")
-    tf = (
-        # The outer form keeps the optimiser from adding a filter that tokenises once more.
-        tokens.select("id", F.size("tokens").alias("dl"), F.explode_outer(wanted).alias("term"))
-        .join(weights, "term")
-        .groupBy("id", "term")
-        .agg(
-            F.count(F.lit(1)).cast("double").alias("tf"),
-            F.first("dl").alias("dl"),
-            F.first("weight").alias("weight"),
-        )
-    )
-    length = 1 - B + B * F.col("dl") / average
-    gain = F.col("weight") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * length)
-    scored = tf.groupBy("id").agg(F.sum(gain).alias("score"))
-    return (
-        tokens.select("id")
-        .join(scored, "id", "left")
-        .select(F.col("id").alias(id_col), F.coalesce("score", F.lit(0.0)).alias("score"))
-    )
+    asked = terms.groupBy("term").agg(F.sum("repeats").alias("repeats")).orderBy("term").limit(MAX_QUERY_TERMS + 1).collect()
+    if len(asked) > MAX_QUERY_TERMS:
+        raise ValueError(f"the queries hold more than {MAX_QUERY_TERMS} distinct terms")
+    place = {r["term"]: i for i, r in enumerate(asked)}
+    # Lower-casing is Spark's, by Unicode; words are bytes of ASCII after it.
+    given = docs.select(F.col(id_col).alias("id"), F.lower(text_col).alias("text"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(carry)])
+    kept = [f for f in given.schema.fields if f.name != "text"]
+    fields = T.StructType([
+        *[T.StructField(f.name, f.dataType) for f in kept], T.StructField("words", T.LongType()), T.StructField("at", T.ArrayType(T.IntegerType())),
+        T.StructField("tf", T.ArrayType(T.IntegerType())), T.StructField("term", T.StringType()), T.StructField("df", T.LongType()),
+    ])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = to_arrow_schema(fields)
+        for batch in batches:
+            n = batch.num_rows
+            of, number, distinct = numbered_words(batch.column("text"))
+            # Each pair of document and word once, in order of documents.
+            pairs, counts = np.unique(of * max(len(distinct), 1) + number, return_counts=True)
+            document, word = np.divmod(pairs, max(len(distinct), 1))
+            names = distinct.to_pylist()
+            asked_at = np.array([place.get(w, -1) for w in names], np.int64)[word] if names else word
+            hit = asked_at >= 0
+            offsets = pa.array(np.searchsorted(document[hit], np.arange(n + 1)).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(x[hit].astype(np.int32))) for x in (asked_at, counts)]
+            own = [batch.column(f.name).cast(known.field(f.name).type) for f in kept]
+            yield pa.RecordBatch.from_arrays([*own, pa.array(np.bincount(of, minlength=n)), *lists, pa.nulls(n, pa.string()), pa.nulls(n, pa.int64())], schema=known)
+            m = len(names)
+            nothing = [pa.nulls(m, known.field(f.name).type) for f in fields.fields[:-2]]
+            yield pa.RecordBatch.from_arrays([*nothing, distinct.cast(pa.string()), pa.array(np.bincount(word, minlength=m))], schema=known)
+
+    counted = cut(given.mapInArrow(run, fields))
+    found = counted.filter("words is not null")
+    totals = found.agg(F.count(F.lit(1)).alias("n"), F.sum("words").alias("words")).first()
+    n = float(totals["n"])
+    average = (totals["words"] or 0) / n if n else 1.0
+    idf = F.log(F.lit(n) - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)
+    vocabulary = counted.filter("term is not null").groupBy("term").agg(F.sum("df").cast("double").alias("df")).withColumn("idf", idf)
+    named = F.broadcast(terms.sparkSession.createDataFrame([(r["term"],) for r in asked], "asked string"))
+    # The mean of all terms and the idf of those asked for, from one pass over the vocabulary.
+    picked = vocabulary.join(named, F.col("term") == F.col("asked"), "left").agg(
+        F.avg("idf").alias("mean"), F.collect_list(F.when(F.col("asked").isNotNull(), F.struct("term", "idf"))).alias("asked")
+    ).first()
+    weights = np.zeros(len(asked))
+    for r in picked["asked"]:
+        i = place[r["term"]]
+        weights[i] = asked[i]["repeats"] * (r["idf"] if r["idf"] >= 0 else EPSILON * picked["mean"])
+    names = [f.name for f in kept]
+    scored = T.StructType([*[T.StructField(f.name, f.dataType) for f in kept], T.StructField("score", T.DoubleType())])
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("tf")
+            of = np.repeat(np.arange(batch.num_rows), np.diff(np.asarray(lists.offsets)))
+            tf, at = np.asarray(lists.flatten(), float), np.asarray(batch.column("at").flatten(), np.int64)
+            length = 1 - B + B * np.asarray(batch.column("words"), float)[of] / average if average else np.ones(len(of))
+            gain = weights[at] * tf * (K1 + 1) / (tf + K1 * length)
+            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in names), pa.array(np.bincount(of, gain, batch.num_rows).astype(float))], names=scored.names)
+
+    out = found.select(*names, "words", "at", "tf").mapInArrow(score, scored)
+    return out.select(F.col("id").alias(id_col), *[F.col(f"c{i}").alias(c) for i, c in enumerate(carry)], "score")
 
 
 def bm25_boosted(docs: DataFrame, terms: DataFrame, id_col: str = "id", text_col: str = "corpus_text",
                  match_col: str = "query_match_count") -> DataFrame:
     """BM25 plus a small bonus per matching query; an absent count is one query."""
-    matches = F.coalesce(F.col(match_col), F.lit(1)) if match_col in docs.columns else F.lit(1)
-    scores = bm25(docs, terms, id_col, text_col)
-    counted = docs.select(id_col, matches.alias("_m"))
-    return scores.join(counted, id_col).select(
-        id_col, (F.col("score") + MATCH_BONUS * F.col("_m")).alias("score")
-    )
+    if match_col not in docs.columns:
+        docs = docs.withColumn(match_col, F.lit(1))
+    scores = bm25(docs, terms, id_col, text_col, [match_col])
+    return scores.select(id_col, (F.col("score") + MATCH_BONUS * F.coalesce(F.col(match_col), F.lit(1))).alias("score"))
 
 
 def top_n(df: DataFrame, score: str, n: int, id_col: str = "id") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
@@ -25,10 +26,23 @@ def stamp(at: datetime | Column | None) -> Column:
     return (F.current_timestamp() if at is None else F.lit(at)).cast("timestamp")
 
 
-def resolve_column(df: DataFrame, role: str) -> str | None:
-    """The column whose name holds ``role``, by rank: position in the table decides among equals."""
-    ranked = {position: f.name for position, f in enumerate(df.schema.fields) if role in f.name.casefold()}
-    return ranked[min(ranked)] if ranked else None
+def pick_column(df: DataFrame, wanted: Sequence[str], *, parts: bool = False) -> str | None:
+    """The column that a list of names asks for, or none.
+
+    A column of one of these names is taken, the earlier name first.  With ``parts`` a
+    column that only holds a name will do, a string before other types.  Where the table's
+    order alone decides between such columns, a warning names them.
+    """
+    named = {name.casefold(): place for place, name in enumerate(wanted)}
+    exact = [f.name for f in df.schema.fields if f.name.casefold() in named]
+    if exact:
+        return min(exact, key=lambda c: named[c.casefold()])
+    holding = [f for f in df.schema.fields if parts and any(name in f.name.casefold() for name in named)]
+    strings = [f for f in holding if isinstance(f.dataType, T.StringType)]
+    left = [f.name for f in strings or holding]
+    if len(left) > 1:
+        warnings.warn(f"{left[0]} taken for {'/'.join(wanted)}; {', '.join(left[1:])} would do as well", stacklevel=3)
+    return left[0] if left else None
 
 
 def load_dataset(
@@ -42,11 +56,11 @@ def load_dataset(
 ) -> DataFrame:
     """Project a table to text, label, source, collected_at.
 
-    Without explicit columns they are resolved by :func:`resolve_column`; the text
-    falls back on the first column and the label on null.  Nulls stay null.
+    Without explicit columns they are picked by name or part of it; the text falls back
+    on the first column and the label on null.  Nulls stay null.
     """
-    text = text_col or resolve_column(df, "text") or df.columns[0]
-    label = label_col or resolve_column(df, "label")
+    text = text_col or pick_column(df, TEXT_CANDIDATES[:1], parts=True) or df.columns[0]
+    label = label_col or pick_column(df, LABEL_CANDIDATES[:1], parts=True)
     return df.select(
         F.col(text).cast("string").alias("text"),
         (F.col(label) if label else F.lit(None)).cast("string").alias("label"),
@@ -64,10 +78,10 @@ def to_unified(
 ) -> DataFrame:
     """Resolve text and label by candidate names and decode digit labels."""
     strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    text = next((c for c in text_candidates if c in df.columns), strings[0] if strings else None)
+    text = pick_column(df, text_candidates) or next(iter(strings), None)
     if text is None:
         raise ValueError("no text column found")
-    label = next((c for c in label_candidates if c in df.columns), df.columns[1])
+    label = pick_column(df, label_candidates) or df.columns[1]
     raw = F.col(label).cast("string")
     pairs = [F.lit(x) for kv in label_names.items() for x in kv]
     decoded = F.create_map(*pairs)[raw] if pairs else F.lit(None)

@@ -123,7 +123,7 @@ def union_id_set(spark, d):
 def apply_corrections(spark, d):
     queue = table(spark, d, "documents").selectExpr(
         "doc_id as position", "text", "case doc_id % 3 when 0 then '1' when 1 then '0' else 'unsure' end as label"
-    ).filter("position % 4 < 3")
+    )
     out = C.apply_corrections(labelled(spark, d), queue, ["0", "1"], position="position")
     return out.select("doc_id", "label", "flagged_for_review", "corrected")
 
@@ -131,7 +131,7 @@ def apply_corrections(spark, d):
 APPLY_CORRECTIONS_SQL = f"""
 with t as ({LABELLED_SQL}),
  q as (select text, arg_max(case doc_id % 3 when 0 then '1' when 1 then '0' else 'unsure' end, doc_id) as new from documents
-   where doc_id % 4 < 3 group by text),
+   group by text),
  j as (select t.*, new, coalesce(new in ('0', '1') and new <> label, false) as corrected from t left join q using (text))
 select doc_id, case when corrected then new else label end as label,
   case when corrected then false else flagged_for_review end as flagged_for_review, corrected from j

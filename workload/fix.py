@@ -150,15 +150,15 @@ select event_id, case when value < a - 1.5 * (b - a) or value > b + 1.5 * (b - a
 
 def clip_report(spark, d):
     t = events_gaps(spark, d)
-    return X.clip_report(t, iqr_bounds(t, ["value", "user_id"]))
+    return X.clip_report(t, iqr_bounds(t, ["value", "user_id"]), digits=6)
 
 
 CLIP_REPORT_SQL = f"""
 with t as ({EVENTS_GAPS_SQL}), q as (select quantile_cont(value, 0.25) as a, quantile_cont(value, 0.75) as b, quantile_cont(user_id, 0.25) as x, quantile_cont(user_id, 0.75) as y from t)
 select 'value' as "column", count(*) filter (where value < a - 1.5 * (b - a) or value > b + 1.5 * (b - a)) as clipped,
- round(any_value(a - 1.5 * (b - a)), 4) as lower_bound, round(any_value(b + 1.5 * (b - a)), 4) as upper_bound from t, q
+ round(any_value(a - 1.5 * (b - a)), 6) as lower_bound, round(any_value(b + 1.5 * (b - a)), 6) as upper_bound from t, q
 union all select 'user_id', count(*) filter (where user_id < x - 1.5 * (y - x) or user_id > y + 1.5 * (y - x)),
- round(any_value(x - 1.5 * (y - x)), 4), round(any_value(y + 1.5 * (y - x)), 4) from t, q
+ round(any_value(x - 1.5 * (y - x)), 6), round(any_value(y + 1.5 * (y - x)), 6) from t, q
 """
 
 
@@ -297,8 +297,29 @@ from k, q where o_custkey between a - 1.5 * (b - a) and b + 1.5 * (b - a) and o_
 """
 
 
-def fix_for_task(spark, d):
-    return _round(Q.fix(_rows(spark, d), "o_orderkey", Q.strategy_for("classification")))
+def _for_task(task):
+    return lambda spark, d: _round(Q.fix(_rows(spark, d), "o_orderkey", Q.strategy_for(task)))
+
+
+def _inside(t, c):
+    return f"""select * from {t}, (select quantile_cont({c}, 0.25) as q1, quantile_cont({c}, 0.75) as q3 from {t}) z
+  where {c} between q1 - 1.5 * (q3 - q1) and q3 + 1.5 * (q3 - q1)"""
+
+
+# Fences of a column are those of the rows that the column before it left.
+REGRESSION_SQL = f"""
+with {ROWS_CTE}, {_filled("u")},
+i as ({_inside("f", "o_custkey")}),
+j as (select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority from i),
+k as ({_inside("j", "o_totalprice")})
+select o_orderkey, round(o_custkey::double, 4) as o_custkey, o_orderstatus, round(o_totalprice, 4) as o_totalprice, o_orderpriority from k
+"""
+CLUSTERING_SQL = f"""
+with {ROWS_CTE}, f as (select * from u where o_custkey is not null and o_totalprice is not null and o_orderpriority is not null),
+q as (select quantile_cont(o_custkey, 0.25) as a, quantile_cont(o_custkey, 0.75) as b, quantile_cont(o_totalprice, 0.25) as x, quantile_cont(o_totalprice, 0.75) as y from f)
+select o_orderkey, round(least(greatest(o_custkey, a - 1.5 * (b - a)), b + 1.5 * (b - a))::double, 4) as o_custkey, o_orderstatus,
+ round(least(greatest(o_totalprice, x - 1.5 * (y - x)), y + 1.5 * (y - x)), 4) as o_totalprice, o_orderpriority from f, q
+"""
 
 
 CASES = {
@@ -359,7 +380,9 @@ CASES = {
         filter_by_length, f"with {LENGTH_CTE.format(t='documents')} select doc_id from k",
     ),
     "fix": (fix_default, FIX_SQL),
-    "fix_for_task": (fix_for_task, FIX_SQL),
+    "fix_for_task": (_for_task("classification"), FIX_SQL),
+    "fix_for_regression": (_for_task("regression"), REGRESSION_SQL),
+    "fix_for_clustering": (_for_task("clustering"), CLUSTERING_SQL),
     "clean_aggressive": (clean_aggressive, CLEAN_CTE + "select doc_id, label, source from c"),
     "clean_aggressive_compare": (clean_aggressive_compare, CLEAN_COMPARE_SQL),
     "clean_preset_balanced": (_preset("balanced"), BALANCED_SQL),
