@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import struct
 
 import pytest
 from pyspark.sql import functions as F
@@ -361,6 +362,26 @@ def test_files(spark, tmp_path):
     assert one(profile.profile_text_dir(text))["words_mean"] == 3.0
 
 
+def test_media_headers_are_read_by_sql_and_little_goes_to_python(spark):
+    """PNG, BMP, GIF and plain WAVE never reach Python; a JPEG gives its first bytes, all of it only if these do not do."""
+    tail = bytes(300_000)
+    png = b"\x89PNG\r\n\x1a\n" + bytes(8) + struct.pack(">II", 3000, 70_000) + tail
+    bmp = b"BM" + bytes(16) + struct.pack("<ii", -40, 50) + tail
+    gif = b"GIF89a" + struct.pack("<HH", 7, 9) + tail
+    frame = b"\xff\xc0\x00\x11\x08" + struct.pack(">HH", 20, 10) + bytes(10)
+    near, far = b"\xff\xd8" + frame + tail, b"\xff\xd8" + (b"\xff\xe1\xff\xff" + bytes(65_533)) * 2 + frame
+    images = spark.createDataFrame([(bytearray(x),) for x in (png, bmp, gif, near, far, b"\xff\xd8\xff", b"", png[:20], tail)] + [(None,)], "content binary")
+    assert sorted(rows(media.image_sizes(images))) == [(7, 9), (10, 20), (10, 20), (40, 50), (3000, 70_000)]
+    head, whole = media.to_python(F.col("content"), media.plain_size(F.col("content")), *media.IMAGES_BY_PYTHON)
+    assert one(images.select(F.sum(F.octet_length(head)).alias("n")))["n"] == 2 * media.HEAD + 3
+    def wav(rate, size, *chunks):
+        return b"RIFF" + bytes(4) + b"WAVE" + b"".join(chunks) + b"fmt " + struct.pack("<IHHIIHH", 16, 1, 1, 8000, rate, 2, 16) + b"data" + struct.pack("<I", size) + bytes(400)
+    sounds = spark.createDataFrame([(bytearray(x),) for x in (wav(16_000, 8_000), wav(0, 8), wav(100, 50, b"LIST" + struct.pack("<I", 4) + b"abcd"), b"RIFF", tail)] + [(None,)], "content binary")
+    assert sorted(r[0] for r in rows(media.sound_seconds(sounds))) == [0.5, 0.5]
+    head, _ = media.to_python(F.col("content"), media.plain_seconds(F.col("content")), *media.SOUNDS_BY_PYTHON)
+    assert one(sounds.select(F.sum(F.octet_length(head)).alias("n")))["n"] < 1000
+
+
 def test_column_guess_and_mapping(spark):
     t = spark.createDataFrame([("h", "pos")], "news_headline string, sentiment string")
     assert rows(collect.load_dataset(t, "n").select("text", "label")) == [("h", None)]

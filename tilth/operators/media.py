@@ -89,6 +89,84 @@ def _seconds(content: pd.Series) -> pd.Series:
     return content.map(wav_seconds).astype("float64")
 
 
+#: Bytes of a file that go to Python where SQL cannot read its header; few headers are longer.
+HEAD = 1 << 16
+
+
+def _number(content: Column, at: int | Column, n: int, little: bool = True) -> Column:
+    """An unsigned number of ``n`` bytes from byte ``at`` (1 is the first) on."""
+    digits = F.hex(F.substring(content, at, n if isinstance(at, int) else F.lit(n)))
+    if little:
+        digits = F.concat(*[F.substring(digits, 2 * i - 1, 2) for i in range(n, 0, -1)])
+    return F.conv(digits, 16, 10).cast("long")
+
+
+def _is(content: Column, at: int, magic: bytes) -> Column:
+    return F.substring(content, at, len(magic)) == F.lit(magic)
+
+
+def plain_size(content: Column) -> Column:
+    """Width and height of PNG, BMP and GIF, whose headers are fixed; null for others."""
+
+    def size(width: Column, height: Column) -> Column:
+        return F.struct(width.cast("int").alias("width"), height.cast("int").alias("height"))
+
+    def magnitude(at: int) -> Column:
+        """Of a signed number of four bytes."""
+        x = _number(content, at, 4)
+        return F.least(x, F.lit(1 << 32) - x)
+
+    long = F.octet_length(content)
+    return (
+        F.when(_is(content, 1, b"\x89PNG\r\n\x1a\n") & (long >= 24), size(_number(content, 17, 4, False), _number(content, 21, 4, False)))
+        .when(_is(content, 1, b"BM") & (long >= 26), size(magnitude(19), magnitude(23)))
+        .when(_is(content, 1, b"GIF8") & (long >= 10), size(_number(content, 7, 2), _number(content, 9, 2)))
+    )
+
+
+def plain_seconds(content: Column) -> Column:
+    """Duration of a WAVE file whose format and data chunks come first, as nearly all have them; null for others."""
+    wave = _is(content, 1, b"RIFF") & _is(content, 9, b"WAVEfmt ") & (F.octet_length(content) >= 44)
+
+    def seconds(format_size: Column) -> Column:
+        at = F.when(format_size < 1 << 16, format_size + format_size % 2 + 21).cast("int")
+        chunk = F.substring(content, at, F.lit(8))
+        return F.when(F.substring(chunk, 1, 4) == F.lit(b"data"), F.try_divide(_number(chunk, 5, 4), _number(content, 29, 4).cast("double")))
+
+    return F.element_at(F.transform(F.array(F.when(wave, _number(content, 17, 4))), seconds), 1)
+
+
+def to_python(content: Column, known: Column, *magics: tuple[int, bytes]) -> tuple[Column, Column]:
+    """What of files that SQL could not read goes to Python: their first bytes, and after that the whole of longer ones."""
+    wanted = F.lit(False)
+    for at, magic in magics:
+        wanted = wanted | _is(content, at, magic)
+    open_ = known.isNull() & wanted
+    return F.when(open_, F.substring(content, 1, HEAD)), F.when(open_ & (F.octet_length(content) > HEAD), content)
+
+
+IMAGES_BY_PYTHON = ((1, b"\xff\xd8"), (9, b"WEBP"))
+SOUNDS_BY_PYTHON = ((9, b"WAVE"),)
+
+
+def image_sizes(files: DataFrame) -> DataFrame:
+    """``width`` and ``height`` of each file with a readable header."""
+    content = F.col("content")
+    head, whole = to_python(content, F.col("d"), *IMAGES_BY_PYTHON)
+    first = files.withColumn("d", plain_size(content)).select("d", _sizes(head).alias("h"), whole.alias("whole"))
+    # Only a header that the first bytes did not hold sends a whole file.
+    found = first.select(F.coalesce("d", F.when(F.col("h.width").isNotNull(), F.col("h")), _sizes(F.when(F.col("h.width").isNull(), F.col("whole")))).alias("d"))
+    return found.select("d.*").filter("width is not null")
+
+
+def sound_seconds(files: DataFrame) -> DataFrame:
+    """``seconds`` of each file whose duration its header tells."""
+    content = F.col("content")
+    head, whole = to_python(content, F.col("s"), *SOUNDS_BY_PYTHON)
+    first = files.withColumn("s", plain_seconds(content)).select("s", _seconds(head).alias("h"), whole.alias("whole"))
+    return first.select(F.coalesce("s", "h", _seconds(F.when(F.col("h").isNull(), F.col("whole")))).alias("seconds")).filter("seconds is not null")
+
+
 def _chosen(files: DataFrame, sample: int | None) -> DataFrame:
     """Content of all files, or of the first ``sample`` by path.
 
@@ -145,17 +223,11 @@ def profile_images(
 ) -> DataFrame:
     """One row over (path, length, content): sizes, classes, dimensions of all files (or of the first ``sample`` by path)."""
     listing = stored_files(files, extensions)
-    dims = (
-        _chosen(listing, sample)
-        .select(_sizes("content").alias("d"))
-        .select("d.*")
-        .filter("width is not null")
-        .agg(
-            F.count(F.lit(1)).alias("count_sampled"),
-            *_min_max_mean("width", 0),
-            *_min_max_mean("height", 0),
-            F.count_distinct("width", "height").alias("unique_sizes"),
-        )
+    dims = image_sizes(_chosen(listing, sample)).agg(
+        F.count(F.lit(1)).alias("count_sampled"),
+        *_min_max_mean("width", 0),
+        *_min_max_mean("height", 0),
+        F.count_distinct("width", "height").alias("unique_sizes"),
     )
     found = dims.select(F.struct("*")).scalar()
     return _size_stats(files, extensions).select("*", *[found[c].alias(c) for c in dims.columns])
@@ -167,9 +239,7 @@ def profile_audio(
     """One row over (path, length, content): sizes, classes, durations of all files (or of the first ``sample`` by path)."""
     listing = stored_files(files, extensions)
     spans = (
-        _chosen(listing, sample)
-        .select(_seconds("content").alias("seconds"))
-        .filter("seconds is not null")
+        sound_seconds(_chosen(listing, sample))
         .agg(F.count(F.lit(1)).alias("count_sampled"), *_min_max_mean("seconds", 2))
         .withColumns({c: F.round(c, 2) for c in ("seconds_min", "seconds_max")})
     )

@@ -139,15 +139,40 @@ def outlier_totals(spark, d):
     return D.outlier_totals(D.detect_outliers_zscore(table(spark, d, "events"), ["value", "user_id"]), 2)
 
 
+# Every fiftieth row is far from all others in both columns, each in a place of its own.
+FAR = [
+    "event_id", "event_id % 50 = 7 as far",
+    "case when event_id % 50 = 7 then 1e6 + event_id * 1e4 else value end as value",
+    "case when event_id % 50 = 7 then -1e6 - event_id * 1e4 else cast(user_id as double) end as user_id",
+]
+
+
+def _far(spark, d):
+    return spread_table(spark, d, "events", "event_id").selectExpr(*FAR)
+
+
+def _far_share(df):
+    return df.agg(F.avg(F.col("far").cast("double"))).first()[0]
+
+
 def isolation_forest(spark, d):
-    t = spread_table(spark, d, "lineitem", "l_orderkey").withColumn("id", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
-    return forest.detect_outliers_isolation_forest(t, LINE_COLUMNS, "id")
+    """The most isolated rows, as many as were set apart: these and no others."""
+    t = _far(spark, d)
+    return forest.detect_outliers_isolation_forest(t, ["value", "user_id"], "event_id", _far_share(t)).select("id")
 
 
 def isolation_report(spark, d):
-    t = spread_table(spark, d, "events", "event_id")
-    flagged = forest.detect_outliers_isolation_forest(t, ["value", "user_id"], "event_id")
-    return forest.isolation_report(t, flagged)
+    t = _far(spark, d)
+    share = _far_share(t)
+    flagged = forest.detect_outliers_isolation_forest(t, ["value", "user_id"], "event_id", share)
+    return forest.isolation_report(t, flagged, share)
+
+
+ISOLATION_REPORT_SQL = """
+with f as (select event_id as id from events where event_id % 50 = 7), n as (select count(*)::double as n from events)
+select 'isolation_forest' as method, count(*) / any_value(n) as contamination, count(*) as outlier_count, round(count(*) / any_value(n) * 100, 2) as outlier_pct,
+ (select string_agg(id::varchar, ',' order by id) from (select id from f order by id limit 20)) as outlier_ids_sample from f, n
+"""
 
 
 def detect_imbalance(spark, d):
@@ -300,8 +325,8 @@ CASES = {
         f"""select cast(2 as bigint) as columns_checked, count(*) as columns_with_outliers, coalesce(sum(outlier_count), 0)::bigint as total_outlier_instances
         from ({_outliers_sql("select * from events", ["value", "user_id"], "zscore", 3.0)})""",
     ),
-    "isolation_forest": (isolation_forest, None),
-    "isolation_forest_report": (isolation_report, None),
+    "isolation_forest": (isolation_forest, "select event_id as id from events where event_id % 50 = 7"),
+    "isolation_forest_report": (isolation_report, ISOLATION_REPORT_SQL),
     "detect_imbalance": (detect_imbalance, IMBALANCE_SQL),
     "class_distribution": (
         class_distribution,
