@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -40,6 +41,23 @@ def test_signs_above_an_article_do_not_discard_it():
     assert [html_text.extract(p, set()) for p in others] == [story] * len(others)
 
 
+def test_deep_and_very_long_pages_take_time_in_proportion():
+    """A megabyte of nested elements, of any kind, and a megabyte of text."""
+    deep = "<div>x" * 150_000
+    spans = "<p><div>" + "<span>" * 60_000 + "<li>y" * 60_000
+    tables = "<table><tr><td>z" * 40_000
+    text = "<article><p>" + "word &amp; " * 100_000 + "</p></article><p>end"
+    began = time.time()
+    assert html_text.extract(deep, set()).count("x") == 150_000
+    assert html_text.extract(spans, set()).count("y") == 60_000
+    assert html_text.extract(tables, set()).count("z") == 40_000
+    assert html_text.extract(text, set()) == ("word & " * 100_000).strip()
+    assert time.time() - began < 60
+    # A link around a block far above its text makes it a list of links.
+    linked = "<div><a href=x>" + "<div>" * 20 + "Home and away" + "</div>" * 20 + "</a></div><div><p>The story of the day.</p></div>"
+    assert html_text.extract(linked, set()) == "The story of the day."
+
+
 def test_three_layouts_of_one_host_have_templates_each(spark):
     page = "<div class='{0}-page'><p class='{0}-note'>Notice of the {0}</p><div class='{0}-body'><p>Story {1} of today</p></div></div>"
     rows = [(i, "http://h.org/", page.format(("news", "blog", "shop")[i % 3], i)) for i in range(30)]

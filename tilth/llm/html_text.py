@@ -40,6 +40,9 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BLOCKS = frozenset("address article aside blockquote body caption center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 #: Start tags that end an open element of the second set.
 ENDS = {"p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}}
+#: These keep their content from such ends.
+KEEPS = frozenset("table ul ol dl div article section".split())
+STOPS = KEEPS.union(*ENDS.values())
 OUTSIDE = frozenset("head title nav footer aside form menu dialog button iframe object script style noscript template textarea select svg label".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 #: Parts of class names and ids of what is not the article.
@@ -74,26 +77,57 @@ class Piece:
 
     __slots__ = ("path", "text", "inside", "outside", "lifted", "linked")
 
-    def __init__(self, path: str, inside: bool, outside: int, lifted: bool) -> None:
+    def __init__(self, path: int, inside: bool, outside: int, lifted: bool) -> None:
         self.path, self.inside, self.outside, self.lifted, self.text, self.linked = path, inside, outside, lifted, [], 0
 
 
-def read_page(source: str | None) -> tuple[list[Piece], list[str]]:
-    """The text blocks of a page in order, and the paths of its tags in order."""
-    stack: list[tuple[str, str, bool, int, bool, bool]] = []  # element, label, in article, why outside it, lifted, below an article element
+class Open:
+    """An open element: what its children take from it, and its place under others.
+
+    ``path`` and ``blocks`` number the labels of all elements down to it, and of all block
+    elements; ``stop`` is the next one at or below it that an implied end can stop at.
+    """
+
+    __slots__ = ("name", "path", "blocks", "stop", "inside", "outside", "lifted", "below")
+
+    def __init__(self, name: str, path: int, blocks: int, stop: int, inside: bool, outside: int, lifted: bool, below: bool) -> None:
+        self.name, self.path, self.blocks, self.stop = name, path, blocks, stop
+        self.inside, self.outside, self.lifted, self.below = inside, outside, lifted, below
+
+
+def read_page(source: str | None) -> tuple[list[Piece], list[int]]:
+    """The text blocks of a page in order, and the paths of its tags in order.
+
+    Each token costs the same however deep it stands: elements know their path as a number,
+    and counts of open elements tell what there is to close.
+    """
+    stack = [Open("", 0, 0, 0, False, 0, False, False)]
+    opened: Counter[str] = Counter()
     pieces: list[Piece] = []
-    tags: list[str] = []
+    tags: list[int] = []
     piece: Piece | None = None
+
+    def close(until: int) -> None:
+        while len(stack) > until:
+            opened[stack.pop().name] -= 1
+
+    def last(name: str) -> int:
+        at = len(stack) - 1
+        while stack[at].name != name:
+            at -= 1
+        return at
+
     for found in TOKENS.finditer(source or ""):
         token = found.group()
         if token[0] != "<" or not (head := NAME.match(token)):
             if token[0] == "<" and len(token) > 1 and token[1] in "!?/":
                 continue
             if piece is None:
-                piece = Piece("/".join(x[1] for x in stack if x[0] in BLOCKS), *(stack[-1][2:5] if stack else (False, 0, False)))
+                top = stack[-1]
+                piece = Piece(top.blocks, top.inside, top.outside, top.lifted)
                 pieces.append(piece)
             piece.text.append(token)
-            if any(x[0] == "a" for x in stack[-3:]):
+            if opened["a"]:
                 piece.linked += len(token)
             continue
         name = head.group(2).lower()
@@ -106,23 +140,21 @@ def read_page(source: str | None) -> tuple[list[Piece], list[str]]:
         elif name == "br" and piece is not None:
             piece.text.append(" ")
         if head.group(1):
-            if any(x[0] == name for x in stack):
-                while stack.pop()[0] != name:
-                    pass
+            if opened[name]:
+                close(last(name))
             continue
         if name in ENDS:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in ENDS[name]:
-                    del stack[i:]
-                    break
-                if stack[i][0] in ("table", "ul", "ol", "dl", "div", "article", "section"):
-                    break
-        elif name in BLOCKS and stack and any(x[0] == "p" for x in stack):
-            while stack.pop()[0] != "p":  # a block ends an open paragraph
-                pass
+            at = stack[-1].stop
+            while at and stack[at].name not in ENDS[name] and stack[at].name not in KEEPS:
+                at = stack[at - 1].stop
+            if at and stack[at].name in ENDS[name]:
+                close(at)
+        elif name in BLOCKS and opened["p"]:
+            close(last("p"))  # a block ends an open paragraph
         marks = {k.lower(): v.strip("\"'").lower() for k, v in NAMED.findall(token, head.end()) if k.lower() in ("class", "id", "role")}
         words = set() if name in FRAMES else _words(marks.get("class", "") + " " + marks.get("id", ""))
-        inside, outside, lifted, below = stack[-1][2:] if stack else (False, 0, False, False)
+        top = stack[-1]
+        inside, outside, lifted, below = top.inside, top.outside, top.lifted, top.below
         why = FIRM if (name in OUTSIDE and name != "form") or marks.get("role") in ROLES or (not inside and name == "header") else 0
         why |= NAME_SIGN if words & SIGNS or (not inside and words & HEADERS) else 0
         why |= FORM if name == "form" else 0
@@ -138,9 +170,13 @@ def read_page(source: str | None) -> tuple[list[Piece], list[str]]:
         below = below or name == "article"
         label = name + "." + marks.get("class", "") + "#" + re.sub(r"\d+", "", marks.get("id", ""))
         inside = inside or (article and not why)
+        path = _hash(str(top.path), label)
+        tags.append(path)
         if name not in VOID:
-            stack.append((name, label, inside, outside | why, lifted, below))
-        tags.append("/".join(x[1] for x in stack[-8:]) if name not in VOID else label)
+            blocks = _hash(str(top.blocks), label) if name in BLOCKS else top.blocks
+            stop = len(stack) if name in STOPS else top.stop
+            stack.append(Open(name, path, blocks, stop, inside, outside | why, lifted, below))
+            opened[name] += 1
     return pieces, tags
 
 
@@ -152,8 +188,8 @@ def block_text(parts: list[str]) -> str:
 def page_tokens(source: str | None) -> dict[int, tuple[int, bool]]:
     """Token hash -> how often, whether a tag."""
     pieces, tags = read_page(source)
-    counts = Counter(_hash("tag", t) for t in tags)
-    texts = Counter(_hash("text", p.path, block_text(p.text)) for p in pieces)
+    counts = Counter(_hash("tag", str(t)) for t in tags)
+    texts = Counter(_hash("text", str(p.path), block_text(p.text)) for p in pieces)
     return {k: (n, False) for k, n in texts.items()} | {k: (n, True) for k, n in counts.items()}
 
 
@@ -203,7 +239,7 @@ def extract(source: str | None, template: set[int]) -> str:
             found = below
         else:
             found = formed if sum(len(t) for _, t in formed) > 2 * size else clean
-    slots = [t for p, t in found if _hash("text", p.path, t) not in template]
+    slots = [t for p, t in found if _hash("text", str(p.path), t) not in template]
     return "\n\n".join(slots)
 
 
