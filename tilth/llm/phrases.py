@@ -2,20 +2,22 @@
 
 Each word has a hash, and a text's words give a prefix polynomial in them, so that the
 Rabin-Karp fingerprint of any run of words is one difference and one product: numpy
-hashes all runs of a length at once.  Fingerprints are counted by shuffle with a pointer
-to one occurrence.  A phrase can only be frequent if the two phrases one word shorter
-are, so lengths are counted one after another, and a bitmap of fixed size of the frequent
-fingerprints of one length thins those of the next in the scan.  On data beyond any
-bound the bitmap fills and thins less; counts stay exact.
-
-Only frequent phrases are read back from the texts that the pointers name.  Each
+hashes all runs of a length at once.  Fingerprints are counted by shuffle: all words and
+pairs in one scan, longer runs after one another.  A phrase can only be frequent if the two
+phrases one word shorter are, so a bitmap of fixed size of the frequent fingerprints of one
+length thins those of the next in the scan.  On data beyond any bound the bitmap fills and
+thins less; counts stay exact.
+
+Only frequent phrases are read back: tasks point to an occurrence of each and cut it from
+the text, in a part of the rows first, and for what that part does not hold in all.  Each
 occurrence has added a second, independent hash of its words to its fingerprint's sum,
-which must be the count times that of the phrase read back; fingerprints that collide
-break this, and then everything is counted anew under another seed.
+which must be the count times that of the phrase read back; fingerprints that collide break
+this, and then everything is counted anew under another seed.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from itertools import count
 
@@ -36,21 +38,38 @@ BREAKS = np.zeros(256, bool)
 BREAKS[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = True
 #: Bits of the bitmap: 8 MB whatever the number of frequent phrases.
 BITMAP_BITS = 26
-#: Low bits of a pointer are the word's place in its text, the others are of the text's hash.
-PLACE_BITS = 30
-#: Bits of the second hash: a sum over 2 ** 41 occurrences stays a long.
-CHECK_BITS = 22
-BASE = 0x9E3779B97F4A7C15 | 1
-INVERSE = pow(BASE, -1, 1 << 64)
+#: Texts whose words are held as arrays at once: these take some 30 times the room.
+SLICE_BYTES = 1 << 20
+#: Frequent phrases of a length that a task remembers to have told: some megabytes.
+HELD_ROWS = 1_000_000
+#: Phrases are looked for in one of so many rows first; one that is frequent stands in several of them.
+THIN = 16
+#: Modulus of the second hash: a sum over 2 ** 40 occurrences stays a long.
+PRIME = 8_388_593
+BASE = 0x9E3779B97F4A7C15
+
+
+@functools.lru_cache(maxsize=8)
+def _powers(base: int, modulus: int | None, bits: int) -> np.ndarray:
+    """The first 2 ** ``bits`` powers of ``base``, modulo a prime or, with none, 2 ** 64."""
+    out = np.ones(1, np.uint64)
+    for k in range(bits):
+        step = np.uint64(pow(base, 1 << k, modulus or 1 << 64))
+        more = out * step
+        out = np.concatenate([out, more if modulus is None else more % np.uint64(modulus)])
+    return out
 
 
 class Runs:
-    """Fingerprints of runs of words in a column of texts."""
+    """Fingerprints of runs of words in a column of texts.
+
+    Two lanes, each a polynomial in the bytes of a word and one in the words of a run:
+    fingerprints modulo 2 ** 64, and the second hash modulo a prime.
+    """
 
     def __init__(self, texts: pa.Array, langs: pa.Array, seed: int) -> None:
         self.words = words = Words(texts, SOLID & ~BREAKS)
-        number, distinct = words.numbered()
-        n = len(number)
+        n = len(words.starts)
         self.of = np.repeat(np.arange(len(texts)), np.diff(words.bounds))
         breaks = np.cumsum(BREAKS[words.data])[words.starts] if n else np.zeros(0, np.int64)
         fresh = np.ones(n, bool)
@@ -58,21 +77,34 @@ class Runs:
         edges = np.append(np.flatnonzero(fresh), n)
         #: Words from each one to the end of its piece.
         self.left = np.repeat(edges[1:], np.diff(edges)) - np.arange(n)
-        self.powers, self.inverses = (np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(n, x, np.uint64)])) for x in (BASE, INVERSE))
-        self.prefix = []
-        for lane in (2 * seed, 2 * seed + 1):
-            hashes = np.array([xxhash.xxh64_intdigest(w, lane) for w in distinct], np.uint64)[number]
-            self.prefix.append(np.concatenate([[np.uint64(0)], np.cumsum(hashes * self.powers[:-1], dtype=np.uint64)]))
+        data, sizes = words.data[words.solid], words.ends - words.starts
+        heads = np.concatenate([[0], np.cumsum(sizes)])[:-1]
+        inside = np.arange(len(data), dtype=np.int32) - np.repeat(heads, sizes).astype(np.int32)
+        deep, long = int(sizes.max(initial=1)).bit_length(), max(1, n).bit_length()
+        self.lanes = []
+        for modulus in (None, PRIME):
+            base = BASE if modulus is None else BASE % PRIME
+            # Bytes times powers of the prime stay below 2 ** 31, so sums over any word stay exact.
+            word = np.add.reduceat(_powers(base, modulus, deep)[inside] * data, heads) if n else np.zeros(0, np.uint64)
+            rise, fall = _powers(base, modulus, long), _powers(pow(base, -1, modulus or 1 << 64), modulus, long)
+            if modulus is None:
+                steps = mix(word + sizes.astype(np.uint64) + np.uint64(2 * seed)) * rise[:n]
+            else:
+                steps = (word + sizes.astype(np.uint64) * np.uint64(2 * seed + 1)) % np.uint64(PRIME) * rise[:n] % np.uint64(PRIME)
+            self.lanes.append((np.concatenate([[np.uint64(0)], np.cumsum(steps, dtype=np.uint64)]), fall))
         known = langs.dictionary_encode()
         self.lang = np.array([xxhash.xxh64_intdigest(x.encode(), seed) for x in known.dictionary.to_pylist()], np.uint64)[np.asarray(known.indices)][self.of]
 
-    def at(self, first: np.ndarray, n: np.ndarray | int, lane: int = 0) -> np.ndarray:
+    def at(self, first: np.ndarray, n: np.ndarray | int) -> np.ndarray:
         """Fingerprint of the ``n`` words from each word of ``first`` on."""
-        polynomial = (self.prefix[lane][first + n] - self.prefix[lane][first]) * self.inverses[first]
+        prefix, fall = self.lanes[0]
+        polynomial = (prefix[first + n] - prefix[first]) * fall[first]
         return mix(mix(polynomial + np.asarray(n).astype(np.uint64)) ^ self.lang[first])
 
     def check(self, first: np.ndarray, n: np.ndarray | int) -> np.ndarray:
-        return (self.at(first, n, 1) >> np.uint64(64 - CHECK_BITS)).astype(np.int64)
+        """The second hash of the same words."""
+        prefix, fall = self.lanes[1]
+        return ((prefix[first + n] - prefix[first]) % np.uint64(PRIME) * fall[first] % np.uint64(PRIME)).astype(np.int64)
 
 
 def _held(bitmap: np.ndarray, prints: np.ndarray) -> np.ndarray:
@@ -91,68 +123,82 @@ def _bitmap(frequent: DataFrame) -> np.ndarray:
     return out
 
 
-def _counted(given: DataFrame, n: int, shorter: np.ndarray | None, seed: int) -> DataFrame:
-    """``fp``, ``lang``, ``f``, ``at``, ``weight``: fingerprints of ``n`` words, as counted in parts of the table.
+def _first_words(runs: Runs, n: int, shorter: np.ndarray | None) -> np.ndarray:
+    """Where runs of ``n`` words begin whose two parts of one word less are in the bitmap."""
+    first = np.flatnonzero(runs.left >= n)
+    if shorter is not None and len(first):
+        first = first[_held(shorter, runs.at(first, n - 1)) & _held(shorter, runs.at(first + 1, n - 1))]
+    return first
+
 
-    With ``n`` = 1 rows with a ``lang`` and no fingerprint hold the number of all words.
+def _counted(given: DataFrame, lengths: tuple[int, ...], shorter: np.ndarray | None, seed: int) -> DataFrame:
+    """``n``, ``fp``, ``lang``, ``f``, ``weight``: fingerprints of runs of these lengths, as counted in parts of the table.
+
+    ``weight`` sums the second hash over all occurrences.  Rows of single words with a
+    ``lang`` and no fingerprint hold the number of all words.
     """
-    spark = given.sparkSession
-    bits = None if shorter is None else spark.sparkContext.broadcast(shorter)
+    bits = None if shorter is None else given.sparkSession.sparkContext.broadcast(shorter)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        def rows(n: int, prints: pa.Array, langs: pa.Array, counts: pa.Array, weights: pa.Array) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(counts), n, np.int32)), prints, langs, counts, weights], names=["n", "fp", "lang", "f", "weight"])
+
+        for batch in slices(batches, "text", SLICE_BYTES):
             runs = Runs(batch.column("text"), batch.column("lang"), seed)
-            first = np.flatnonzero(runs.left >= n)
-            if bits is not None and len(first):
-                first = first[_held(bits.value, runs.at(first, n - 1)) & _held(bits.value, runs.at(first + 1, n - 1))]
-            prints, check = runs.at(first, n), runs.check(first, n)
-            order = np.argsort(prints, kind="stable")
-            prints, first = prints[order], first[order]
-            starts = np.flatnonzero(np.concatenate([[True], prints[1:] != prints[:-1]])) if len(prints) else np.zeros(0, np.int64)
-            counts = np.diff(np.append(starts, len(prints)))
-            weight = np.add.reduceat(check[order], starts) if len(starts) else counts
-            text = np.asarray(batch.column("th"))[runs.of[first[starts]]]
-            pointer = text >> PLACE_BITS << PLACE_BITS | (first[starts] - runs.words.bounds[:-1][runs.of[first[starts]]])
-            columns = [pa.array(prints[starts].view(np.int64)), pa.nulls(len(starts), pa.string()), pa.array(counts), pa.array(pointer), pa.array(weight)]
-            yield pa.RecordBatch.from_arrays(columns, names=["fp", "lang", "f", "at", "weight"])
-            if n == 1:
+            for n in lengths:
+                first = _first_words(runs, n, None if bits is None else bits.value)
+                prints = runs.at(first, n)
+                order = np.argsort(prints)
+                prints, first = prints[order], first[order]
+                starts = np.flatnonzero(np.concatenate([[True], prints[1:] != prints[:-1]])) if len(prints) else np.zeros(0, np.int64)
+                counts = np.diff(np.append(starts, len(prints)))
+                weights = np.add.reduceat(runs.check(first, n), starts) if len(starts) else counts
+                yield rows(n, pa.array(prints[starts].view(np.int64)), pa.nulls(len(starts), pa.string()), pa.array(counts), pa.array(weights))
+            if 1 in lengths:
                 totals = pa.table([batch.column("lang"), pa.array(np.diff(runs.words.bounds))], names=["lang", "f"]).group_by("lang").aggregate([("f", "sum")])
                 nothing = pa.nulls(len(totals), pa.int64())
-                yield pa.RecordBatch.from_arrays([nothing, totals["lang"].combine_chunks(), totals["f_sum"].combine_chunks(), nothing, nothing], names=["fp", "lang", "f", "at", "weight"])
+                yield rows(1, nothing, totals["lang"].combine_chunks(), totals["f_sum"].combine_chunks(), nothing)
 
-    return given.mapInArrow(run, "fp long, lang string, f long, at long, weight long")
+    return given.mapInArrow(run, "n int, fp long, lang string, f long, weight long")
 
 
-def _read_back(given: DataFrame, frequent: DataFrame, seed: int) -> DataFrame:
-    """``fp``, ``lang``, ``phrase``, ``check``, and fingerprints of its first and its other words at each cut."""
-    places = frequent.groupBy(F.shiftright("at", PLACE_BITS).alias("t")).agg(F.collect_list(F.struct("fp", "n", F.col("at").bitwiseAND((1 << PLACE_BITS) - 1).alias("place"))).alias("places"))
-    # As many places as a text has, at most; texts that share the hash bits are told apart by the fingerprints.
-    named = given.withColumn("t", F.shiftright("th", PLACE_BITS))
-    texts = named.join(places.select("t"), "t", "left_semi").groupBy("t", "th", "lang").agg(F.first("text").alias("text"))
+def _read_back(given: DataFrame, bitmaps: dict[int, np.ndarray], seed: int, thin: int) -> DataFrame:
+    """``fp``, ``lang``, ``phrase``, ``check``, and fingerprints of its first and its other words at each cut.
+
+    Phrases whose fingerprint is in the bitmap of their length, from the rows whose hash
+    is divisible by ``thin``.  A task points to the first occurrence of each that it meets,
+    and cuts the phrase from the text there.
+    """
+    bits = given.sparkSession.sparkContext.broadcast(bitmaps)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 1 << 20):
+        told: dict[int, np.ndarray] = {}
+        for batch in slices(batches, "text", SLICE_BYTES):
             runs = Runs(batch.column("text"), batch.column("lang"), seed)
-            content = runs.words.data
+            content, langs = runs.words.data, batch.column("lang").to_pylist()
             out: list[tuple] = []
-            langs = batch.column("lang").to_pylist()
-            for i, asked in enumerate(batch.column("places").to_pylist()):
-                fp, n, place = (np.array([x[k] for x in asked], np.int64) for k in ("fp", "n", "place"))
-                first = place + runs.words.bounds[i]
-                fits = first < runs.words.bounds[i + 1]
-                fits[fits] = runs.left[first[fits]] >= n[fits]
-                fits[fits] = runs.at(first[fits], n[fits]).view(np.int64) == fp[fits]
-                fp, n, first = fp[fits], n[fits], first[fits]
+            for n, bitmap in sorted(bits.value.items()):
+                first = np.flatnonzero(runs.left >= n)
+                prints = runs.at(first, n)
+                kept = _held(bitmap, prints)
+                prints, at = np.unique(prints[kept], return_index=True)
+                first = first[kept][at]
+                known = told.get(n, prints[:0])
+                fresh = ~np.isin(prints, known, assume_unique=True)
+                prints, first = prints[fresh], first[fresh]
+                # What a task has told is remembered up to a bound; telling it again does no harm.
+                told[n] = np.union1d(known, prints) if len(known) < HELD_ROWS else prints
+                heads = [runs.at(first, j).view(np.int64).tolist() for j in range(1, n)]
+                tails = [runs.at(first + j, n - j).view(np.int64).tolist() for j in range(1, n)]
                 check = runs.check(first, n).tolist()
-                heads = [runs.at(first, np.minimum(j, n)).view(np.int64) for j in range(1, LONGEST)]
-                tails = [runs.at(first + np.minimum(j, n - 1), n - np.minimum(j, n - 1)).view(np.int64) for j in range(1, LONGEST)]
-                for k, (f, m, a) in enumerate(zip(fp.tolist(), n.tolist(), first.tolist(), strict=True)):
-                    words = [content[runs.words.starts[a + j] : runs.words.ends[a + j]].tobytes() for j in range(m)]
-                    out.append((f, langs[i], b" ".join(words).decode(), check[k], [int(h[k]) for h in heads[: m - 1]], [int(t[k]) for t in tails[: m - 1]]))
+                for k, (f, a) in enumerate(zip(prints.view(np.int64).tolist(), first.tolist(), strict=True)):
+                    words = [content[runs.words.starts[a + j] : runs.words.ends[a + j]].tobytes() for j in range(n)]
+                    out.append((f, langs[runs.of[a]], b" ".join(words).decode(), check[k], [h[k] for h in heads], [t[k] for t in tails]))
             types = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate(types)], names=["fp", "lang", "phrase", "check", "heads", "tails"])
 
-    found = texts.join(places, "t").select("text", "lang", "places").mapInArrow(run, "fp long, lang string, phrase string, check long, heads array<bigint>, tails array<bigint>")
+    chosen = given.filter(F.pmod("th", F.lit(thin)) == 0) if thin > 1 else given
+    found = chosen.mapInArrow(run, "fp long, lang string, phrase string, check long, heads array<bigint>, tails array<bigint>")
     return found.dropDuplicates(["fp"])
 
 
@@ -161,26 +207,34 @@ def candidates(docs: DataFrame, text: str = "text", lang: str = "lang", fewest:
 
     Phrases have ``fp``, ``lang``, ``phrase``, ``a`` (how often), ``heads`` and ``tails``.
     """
-    given = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
+    given = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("th", F.xxhash64("text", "lang"))
     for seed in count():
-        levels, bits, totals = [], None, None
-        for n in range(1, longest + 1):
-            rows = _counted(given, n, bits, seed)
-            every = cut(rows.groupBy("fp", "lang").agg(F.sum("f").alias("f"), F.min("at").alias("at"), F.sum("weight").alias("weight")).filter((F.col("f") >= fewest) | F.col("fp").isNull()))
-            if n == 1:
+        levels, bitmaps, totals = {}, {}, None
+        # Single words and pairs are all counted, in one scan; from three words on the shorter runs thin them.
+        for lengths in ((1, 2), *((n,) for n in range(3, longest + 1))):
+            rows = _counted(given, lengths, bitmaps.get(lengths[0] - 1), seed)
+            summed = rows.groupBy("n", "fp", "lang").agg(F.sum("f").alias("f"), F.sum("weight").alias("weight"))
+            every = cut(summed.filter((F.col("f") >= fewest) | F.col("fp").isNull()))
+            if 1 in lengths:
                 totals = every.filter("fp is null").select("lang", F.col("f").alias("n"))
                 every = every.filter("fp is not null")
-            levels.append(every.select("fp", "f", "at", "weight", F.lit(n).cast("long").alias("n")))
-            if n < longest:
-                bits = _bitmap(every)
-        longer = levels[1]
-        for level in levels[2:]:
-            longer = longer.unionByName(level)
-        known = cut(_read_back(given, longer, seed))
-        joined = longer.join(known, "fp", "left")
+            for n in lengths:
+                levels[n] = every.filter(F.col("n") == n).select("n", "fp", "f", "weight")
+                if n > 1:
+                    bitmaps[n] = _bitmap(levels[n])
+        longer = levels[2]
+        for n in range(3, longest + 1):
+            longer = longer.unionByName(levels[n])
+        # Nearly all are found in a part of the rows, and what is not in a scan for it alone.
+        known = cut(_read_back(given, bitmaps, seed, THIN).join(longer.select("fp"), "fp", "left_semi"))
+        missing = cut(longer.select("n", "fp").join(known, "fp", "left_anti"))
+        if not missing.isEmpty():
+            rest = {n: _bitmap(missing.filter(F.col("n") == n)) for n in range(2, longest + 1)}
+            known = known.unionByName(_read_back(given, rest, seed, 1).join(missing.select("fp"), "fp", "left_semi"))
+        joined = cut(longer.join(known, "fp", "left"))
         # Every frequent fingerprint must have been read back, and each of its occurrences must be that phrase.
         if joined.filter(~F.coalesce(F.col("weight") == F.col("f") * F.col("check"), F.lit(False))).isEmpty():
-            counts = levels[0].select("fp", "f").unionByName(longer.select("fp", "f"))
+            counts = levels[1].select("fp", "f").unionByName(longer.select("fp", "f"))
             return joined.select("fp", "lang", "phrase", F.col("f").alias("a"), "heads", "tails"), counts, totals
     raise AssertionError("unreachable")
 
