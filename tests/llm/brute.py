@@ -44,6 +44,31 @@ def components(ids, prints, radius=3):
     return [least.get(root(i)) for i in range(len(prints))]
 
 
+def shingles(text, k):
+    w = re.findall(SPACE, lower(text))
+    return frozenset(tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))) if w else frozenset()
+
+
+def similar(ids, texts, k=5, percent=80):
+    """Smallest id of each text's component; a text without words is its own."""
+    sets, parent = [shingles(t, k) for t in texts], list(range(len(ids)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, s in enumerate(sets):
+        for j in range(i):
+            if s and 100 * len(s & sets[j]) >= percent * len(s | sets[j]):
+                parent[root(i)] = root(j)
+    least = {}
+    for i, d in enumerate(ids):
+        if d is not None:
+            least[root(i)] = min(least.get(root(i), d), d)
+    return [least.get(root(i)) if sets[i] else d for i, d in enumerate(ids)]
+
+
 def bench_words(text):
     return re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", lower(text))
 

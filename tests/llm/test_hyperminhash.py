@@ -11,6 +11,7 @@ import pytest
 
 from tests.llm import brute
 from tilth.llm import hyperminhash as H
+from tilth.llm import similar
 
 SCHEMA = "doc_id long, text string, n int, digest string, sketch string, node long, a int"
 
@@ -83,7 +84,8 @@ def test_components(spark, rows):
 
 def test_crowded_buckets_in_several_runs(spark, monkeypatch):
     """Copies of one text with a few changes each, some linked with others but not with the smallest."""
-    monkeypatch.setattr(H, "RUN", 20)
+    monkeypatch.setattr(similar, "RUN", 20)
+    monkeypatch.setattr(similar, "BLOCK_MEMBERS", 60)
     rng = random.Random(9)
     base = [f"b{rng.randrange(500)}" for _ in range(120)]
     rows = [(i, " ".join(changed(rng, base, rng.randrange(9)))) for i in range(400)]
@@ -118,5 +120,5 @@ def test_recall_of_bands_and_estimate_at_the_bound():
 
 def test_sets_of_a_column():
     texts = ["A b a B", None, "", "x", "\x0b\x0c", "a\x1cb c", "one"]
-    got = [len(x) for x in H.sets_of(pa.array(texts))]
+    got = [len(x) for x in similar.sets_of(pa.array(texts), H.SHINGLE)]
     assert got == [len(shingles(t)) for t in texts]

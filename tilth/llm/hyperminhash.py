@@ -11,61 +11,27 @@ equal registers, less the equalities that compression makes by chance, estimates
 similarity, and what stays is counted on the sets of the texts themselves.  With 42 bands
 of 6 registers a pair at a similarity of exactly 0.8 shares no band once in 350,000 times
 (0.85: once in 10^9); the estimate's bound lies five standard deviations below 0.8.
-
-Equal sets are one member.  A member's degree is the sum of the sizes of its buckets: of a
-text and its edited copies the text itself has the greatest, since copies are less like
-each other than like it.  In a bucket each member is compared with the one of the greatest
-degree, and of each member's candidates the one of the greatest degree is confirmed first;
-whatever the links found so far do not connect then meets the whole bucket, in blocks.  So a
-bucket of copies gives about one link a copy, and no link between sets that differ is lost.
 """
 
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
-import pyarrow.compute  # noqa: F401
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tilth.functions.store import cut
-from tilth.llm.graph import components
-from tilth.llm.text import Words, mix, slices
+from tilth.llm.similar import similar_groups
+from tilth.llm.text import mix
 
 SHINGLE, PERCENT = 2, 80
 BUCKET_BITS, MANTISSA, VALUE_BITS = 8, 10, 53
 BUCKETS = 1 << BUCKET_BITS
 ROWS, BANDS = 6, 42
 SIGMAS = 5.0
-#: Candidates of one text that are confirmed in one run, beside one copy of its set.
-RUN = 512
-#: Members, and shingles of theirs, in a block of those around a hub.
-BLOCK_MEMBERS, BLOCK_SHINGLES = 1024, 1 << 19
 _BUCKET_SEEDS = mix(np.arange(1, BUCKETS + 1, dtype=np.uint64))
 
 
-def sets_of(texts: pa.Array, shingle: int = SHINGLE) -> list[np.ndarray]:
-    """Ascending distinct hashes of each text's shingles; fewer words are one shingle, none are none."""
-    words = Words(texts)
-    hashes = mix(words.hashes())
-    out = []
-    for a, b in zip(words.bounds[:-1].tolist(), words.bounds[1:].tolist(), strict=True):
-        n = min(shingle, b - a)
-        if not n:
-            out.append(hashes[:0])
-            continue
-        found = np.full(b - a - n + 1, n, np.uint64)
-        for i in range(n):
-            found = mix(found + hashes[a + i : b - n + 1 + i])
-        out.append(np.unique(found))
-    return out
-
-
 def _compress(values: np.ndarray) -> np.ndarray:
     """Leading zeros and mantissa of values below 2 ** ``VALUE_BITS``, which a double holds exactly."""
     zeros = VALUE_BITS - np.frexp(values.astype(np.float64))[1]
@@ -104,197 +70,30 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
     return ((a == b).mean(axis=1) - chance) / (1 - chance)
 
 
-def with_sketches(docs: DataFrame, text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``docs`` without its text but with ``n`` (size of the set), ``digest`` (128 bits of the set) and ``sketch``."""
-    fields = [f for f in docs.schema.fields if f.name != text]
-    schema = T.StructType([*fields, T.StructField("n", T.LongType()), T.StructField("digest", T.BinaryType()), T.StructField("sketch", T.BinaryType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text):
-            found = sets_of(batch.column(text), shingle)
-            made = [
-                pa.array([len(x) for x in found], pa.int64()), pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in found], pa.binary()),
-                pa.array([sketch(x).tobytes() if len(x) else None for x in found], pa.binary()),
-            ]
-            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in fields), *made], names=schema.names)
-
-    return docs.mapInArrow(run, schema)
-
-
-def _bands(members: DataFrame) -> DataFrame:
-    """``key``, ``node``, ``n`` for each band of each member."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            table = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint16).reshape(-1, BUCKETS).astype(np.uint64)
-            keys = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), (len(table), BANDS))
-            for k in range(ROWS):
-                keys = mix(keys * np.uint64(1 << 16) + table[:, k : ROWS * BANDS : ROWS])
-            nodes, sizes = (np.repeat(np.asarray(batch.column(x)), BANDS) for x in ("node", "n"))
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(nodes), pa.array(sizes)], names=["key", "node", "n"])
-
-    return members.select("node", "n", "sketch").mapInArrow(run, "key long, node long, n long")
-
-
-def _likely(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``a``, ``b`` whose estimate is not clearly below the bound."""
-    least = percent / 100 - SIGMAS * float(np.sqrt(percent / 100 * (1 - percent / 100) / BUCKETS))
-    side = [members.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}")) for x in "ab"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            a, b = (np.frombuffer(b"".join(batch.column(x).to_pylist()), np.uint16).reshape(-1, BUCKETS) for x in ("s_a", "s_b"))
-            near = estimate(a, b, np.asarray(batch.column("n_a")), np.asarray(batch.column("n_b"))) >= least
-            yield batch.select(["a", "b"]).filter(pa.array(near))
-
-    return pairs.join(side[0], "a").join(side[1], "b").mapInArrow(run, "a long, b long")
-
-
-def _texts(nodes: DataFrame, members: DataFrame, docs: DataFrame) -> DataFrame:
-    """``node``, ``digest``, ``text``: a whole text of each of the given members."""
-    places = members.join(nodes.distinct(), "node").select("node", "digest", F.col("at.id").alias("p_id"), F.col("at.th").alias("p_th"))
-    given = docs.select(F.col("id").alias("g_id"), F.col("text").alias("text"), F.xxhash64("text").alias("g_th"))
-    return cut(places.join(given, F.col("p_id").eqNullSafe(F.col("g_id")) & (F.col("p_th") == F.col("g_th"))).select("node", "digest", "text"))
-
+class Registers:
+    """HyperMinHash as a sketch for ``similar_groups``."""
 
-def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * both >= percent * (len(a) + len(b) - both)
+    kind, size, passes = np.dtype(np.uint16), BUCKETS, 1
 
+    def make(self, members: np.ndarray) -> np.ndarray:
+        return sketch(members)
 
-def _confirmed(pairs: DataFrame, members: DataFrame, docs: DataFrame, percent: int, shingle: int) -> DataFrame:
-    """The pairs whose sets, made anew from the whole texts, are similar enough.
+    def keys(self, rows: np.ndarray, part: int) -> np.ndarray:
+        """A key for each band of registers."""
+        table = rows.astype(np.uint64)
+        keys = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), (len(rows), BANDS))
+        for k in range(ROWS):
+            keys = mix(keys * np.uint64(1 << 16) + table[:, k : ROWS * BANDS : ROWS])
+        return keys
 
-    A text ``a`` comes once for each run of its candidates, not once a pair; candidates
-    of a text with very many are several runs.
-    """
-    runs = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(RUN)).alias("runs"))
-    dealt = cut(pairs.join(runs, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("runs")).alias("run")))
-    texts = _texts(dealt.select(F.col("a").alias("node")).unionAll(dealt.select(F.col("b").alias("node"))), members, docs)
-    centre = dealt.select("a", "run").distinct().join(texts, F.col("a") == F.col("node")).select("a", "run", F.lit(None).cast("long").alias("b"), "digest", "text")
-    others = dealt.join(texts, F.col("b") == F.col("node")).select("a", "run", "b", "digest", "text")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, at = None, None
-        for batch in slices(batches, "text"):
-            found = sets_of(batch.column("text"), shingle)
-            links: list[tuple[int, int]] = []
-            for a, number, b, digest, members_ in zip(*(batch.column(x).to_pylist() for x in ("a", "run", "b", "digest")), found, strict=True):
-                if xxhash.xxh3_128_digest(members_.tobytes()) != digest:
-                    continue  # another text of the same id and hash
-                if b is None:
-                    held, at = members_, (a, number)
-                elif at == (a, number) and _similar(held, members_, percent):
-                    links.append((a, b))
-            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], names=["a", "b"])
-
-    sorted_ = centre.unionByName(others).repartition("a", "run").sortWithinPartitions("a", "run", F.asc_nulls_first("b"))
-    return sorted_.mapInArrow(run, "a long, b long").distinct()
-
-
-def _crossed(placed: DataFrame, members: DataFrame, docs: DataFrame, percent: int, shingle: int) -> DataFrame:
-    """Links between members of a bucket that lie in different components.
-
-    ``placed`` has each bucket's ``key``, ``pivot``, its component ``home``, and the other
-    members with ``node``, ``n``, ``root``.  Around a pivot the members outside its
-    component meet all members, in blocks of bounded size: estimates exclude first, sets
-    decide, and of the links found only those of a spanning forest leave a pair of blocks.
-    """
-    mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("key")
-    group = cut(placed.join(mixed, "key").select("pivot", "node", "n", "root", "home").distinct())
-
-    def blocks(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy("pivot").agg(F.greatest(F.ceil(F.count("*") / F.lit(BLOCK_MEMBERS)), F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES))).cast("long").alias(name))
-
-    outside = group.filter("root != home")
-    counts = cut(blocks(outside, "lefts").join(blocks(group, "rights"), "pivot"))
-    texts = _texts(group.join(counts, "pivot", "left_semi").select("node"), members, docs)
-    zero = F.lit(0).cast("long")
-
-    def side(df: DataFrame, own: str, other: str, mine: str, theirs: str) -> DataFrame:
-        dealt = df.join(counts, "pivot").withColumn(mine, F.pmod(F.xxhash64("node"), F.col(own))).withColumn(theirs, F.explode(F.sequence(zero, F.col(other) - 1)))
-        # Both sides come from the same tables: their columns get names of their own.
-        named = dealt.join(texts, "node").select(*[F.col(x).alias(f"{mine}_{x}") for x in ("pivot", "i", "j", "node", "root", "digest", "text")])
-        return named.groupBy(f"{mine}_pivot", f"{mine}_i", f"{mine}_j")
-
-    least = percent / 100 - SIGMAS * float(np.sqrt(percent / 100 * (1 - percent / 100) / BUCKETS))
-
-    def read(table: pa.Table) -> tuple[list[int], list[int], list[np.ndarray], np.ndarray]:
-        table = table.rename_columns([x[2:] for x in table.column_names])
-        found = sets_of(table["text"].combine_chunks(), shingle)
-        good = [i for i, (x, d) in enumerate(zip(found, table["digest"].to_pylist(), strict=True)) if xxhash.xxh3_128_digest(x.tobytes()) == d]
-        nodes, roots = (table[x].to_pylist() for x in ("node", "root"))
-        return [nodes[i] for i in good], [roots[i] for i in good], [found[i] for i in good], np.array([sketch(found[i]) for i in good], np.uint16).reshape(-1, BUCKETS)
-
-    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        links: list[tuple[int, int]] = []
-        (a, root_a, sets_a, sketch_a), (b, root_b, sets_b, sketch_b) = read(left), read(right)
-        above: dict[int, int] = {}
-
-        def top(x: int) -> int:
-            while x in above:
-                x = above[x]
-            return x
-
-        sizes = np.array([len(x) for x in sets_b])
-        for i in range(len(a)):
-            if not len(b):
-                break
-            n = len(sets_a[i])
-            fits = np.flatnonzero((100 * np.minimum(n, sizes) >= percent * np.maximum(n, sizes)) & (np.asarray(root_b) != root_a[i]))
-            near = estimate(sketch_a[i][None], sketch_b[fits], np.full(len(fits), n), sizes[fits]) >= least
-            for j in fits[near].tolist():
-                x, y = top(root_a[i]), top(root_b[j])
-                if x != y and _similar(sets_a[i], sets_b[j], percent):
-                    above[x] = y
-                    links.append((a[i], b[j]))
-        return pa.table([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
-
-    return side(outside, "lefts", "rights", "i", "j").cogroup(side(group, "rights", "lefts", "j", "i")).applyInArrow(meet, "a long, b long")
+    def near(self, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, percent: int) -> np.ndarray:
+        least = percent / 100
+        return estimate(a, b, n_a, n_b) >= least - SIGMAS * float(np.sqrt(least * (1 - least) / BUCKETS))
 
 
 def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id``, ``n_shingles`` and ``component_id``: the smallest id that links reach.
-
-    Null, empty and blank texts have an empty set and are linked with nothing, so their
-    own id is their component's.  Repeated rows stay; a null id is never the smallest
-    while its component has others.  An empty table gives an empty result.
-    """
-    given = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    slim = cut(with_sketches(given.withColumn("th", F.xxhash64("text")), "text", shingle))
-    members = slim.filter("n > 0").groupBy("digest").agg(F.min("id").alias("first"), F.max(F.struct("id", "th")).alias("at"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
-    members = cut(members.withColumn("node", F.monotonically_increasing_id()))
-    bands = _bands(members)
-    crowded = bands.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
-    met = cut(bands.join(crowded, "key"))
-    degrees = met.groupBy("node").agg(F.sum("size").alias("degree"))
-    met = met.join(degrees, "node")
-    hubs = met.groupBy("key").agg(F.max(F.struct("degree", (-F.col("node")).alias("last"))).alias("hub"))
-    met = cut(met.join(hubs, "key").select("key", "node", "n", F.col("hub.degree").alias("degree"), (-F.col("hub.last")).alias("pivot")))
-    pairs = met.filter("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"), "degree").distinct()
-    tried = cut(_likely(pairs.select("a", "b"), members, percent))
-    best = cut(tried.join(pairs, ["a", "b"]).groupBy("b").agg(F.max(F.struct("degree", "a")).alias("best")).select("best.a", "b"))
-    links = cut(_confirmed(best, members, given, percent, shingle))
-    # What the links so far do not connect: other candidates, then pairs in a bucket without its hub.
-    roots = cut(components(links)).select("node", "root")
-    tied = tried.join(roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left").join(roots.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left")
-    rest = cut(tied.filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b").join(best, ["a", "b"], "left_anti"))
-    links = cut(links.unionByName(_confirmed(rest, members, given, percent, shingle)))
-    roots = cut(components(links)).select("node", "root")
-    placed = met.join(roots, "node", "left").join(roots.select(F.col("node").alias("pivot"), F.col("root").alias("home")), "pivot", "left").filter("node != pivot")
-    placed = cut(placed.select("key", "pivot", "node", "n", F.coalesce("root", "node").alias("root"), F.coalesce("home", "pivot").alias("home")))
-    links = links.unionByName(_crossed(placed, members, given, percent, shingle))
-    found = cut(components(links))
-    joined = members.select("digest", "first", "node").join(found, "node", "left").select("digest", "first", F.coalesce("root", "node").alias("root"))
-    least = joined.groupBy("root").agg(F.min("first").alias("component_id"))
-    components_ = joined.join(least, "root").select(F.col("digest").alias("d"), "component_id")
-    # A set may be shared by a large part of the table: its rows can be split.
-    full = slim.join(components_, (F.col("digest") == F.col("d")) & (F.col("n") > 0), "left")
-    return full.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+    """``doc_id``, ``n_shingles`` and ``component_id``: the smallest id that links reach; see ``similar_groups``."""
+    return similar_groups(docs, Registers(), percent, shingle, doc_id, text)
 
 
 def digests(docs: DataFrame) -> DataFrame:

@@ -10,6 +10,11 @@ Manhattan distance excludes first and the exact distance decides.
 
 Only distinct fingerprints are joined.  A cell gives links of a spanning forest and not
 all its pairs; components are formed from links over the whole table.
+
+Three bits of one fingerprint are far less than what a text of similarity 0.8 differs in.
+``similar_texts`` therefore takes ``PRINTS`` fingerprints under hashes of their own: two
+texts are candidates where they meet in a cell of any of them, here over segments of one
+bit; the distances over all fingerprints, Manhattan first, exclude, and the sets decide.
 """
 
 from __future__ import annotations
@@ -27,12 +32,22 @@ from pyspark.sql import types as T
 
 from tilth.functions.store import cut
 from tilth.llm.graph import components
-from tilth.llm.text import lower_words, slices
+from tilth.llm.similar import similar_groups
+from tilth.llm.text import lower_words, mix, slices
 
 SEED, SHINGLE, RADIUS = 42, 3, 3
 SEGMENTS, LOW = 32, np.uint64(0x5555555555555555)
+#: Fingerprints of a text, words in a shingle and least similarity in percent where sets decide.
+PRINTS, WORDS, PERCENT = 20, 5, 80
+#: How far beyond its mean the distance of the least similar texts may lie, in deviations.
+SIGMAS = 5.0
 #: Cells up to this size compare all pairs by shifts; larger ones grow trees.
 SMALL_CELL = 8
+#: Of each fingerprint so many choices of so many axes make cells.  Random texts share one in 2 ** AXES;
+#: very many millions of texts want more axes, and more choices for the same recall.
+CHOICES, AXES = 8, 24
+_PRINT_SEEDS = mix(np.arange(1, PRINTS + 1, dtype=np.uint64))
+_AXES = [np.uint64(sum(1 << int(b) for b in np.argsort(mix(np.arange(64 * c + 1, 64 * c + 65, dtype=np.uint64)))[:AXES])) for c in range(CHOICES)]
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -197,6 +212,51 @@ def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return docs.join(keep, docs[doc_id].eqNullSafe(keep["__id"]), "left_semi")
 
 
+class Prints:
+    """Several fingerprints of a set as a sketch for ``similar_groups``."""
+
+    kind, size, passes = np.dtype(np.uint64), PRINTS, 5
+
+    def make(self, members: np.ndarray) -> np.ndarray:
+        out = np.empty(PRINTS, np.uint64)
+        for k in range(PRINTS):
+            hashes = mix(members ^ _PRINT_SEEDS[k]).astype("<u8")
+            ones = np.zeros(64, np.int64)
+            for i in range(0, len(hashes), 1 << 16):
+                ones += np.unpackbits(hashes[i : i + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+            out[k] = np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0]
+        return out
+
+    def keys(self, rows: np.ndarray, part: int) -> np.ndarray:
+        """The grid over several choices of axes of each fingerprint of a part.
+
+        At this radius segments are single bits: two random texts then share a cell less
+        often, for the same chance of two similar ones, than with counts of two bits.
+        """
+        found = [mix((rows[:, k] & axes) ^ _PRINT_SEEDS[k : k + 1] * np.uint64(2 * c + 1)) for k in range(part, PRINTS, self.passes) for c, axes in enumerate(_AXES)]
+        return np.stack(found, axis=1)
+
+    def near(self, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, percent: int) -> np.ndarray:
+        """A bit differs where a random plane parts the two sets: in the share of their angle."""
+        share = float(np.arccos(2 * percent / (100 + percent))) / np.pi
+        radius = 64 * PRINTS * share + SIGMAS * float(np.sqrt(64 * PRINTS * share * (1 - share)))
+        near = np.bitwise_count(embed(a) ^ embed(b)).sum(axis=1) <= radius
+        near[near] = np.bitwise_count((a ^ b)[near]).sum(axis=1) <= radius
+        return near
+
+
+def similar_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, shingle: int = WORDS) -> DataFrame:
+    """``doc_id``, ``n_shingles`` and ``component_id`` by similarity of shingle sets; see ``similar_groups``."""
+    return similar_groups(docs, Prints(), percent, shingle, doc_id, text)
+
+
+def first_of_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, shingle: int = WORDS) -> DataFrame:
+    """``docs`` with the rows of the smallest id of each component alone; all columns stay."""
+    groups = similar_texts(docs, doc_id, text, percent, shingle)
+    keep = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
+    return docs.join(keep, docs[doc_id].eqNullSafe(keep["__id"]), "left_semi")
+
+
 def digests(docs: DataFrame) -> DataFrame:
     found = near_groups(docs)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
