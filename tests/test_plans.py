@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tilth.functions import hashing, quantiles
 from tilth.operators import compare, detect, learn, sampling
+from tilth.sources import readers
 
 
 def plan(df) -> str:
@@ -103,3 +104,19 @@ def test_probabilities_of_a_kernel_machine_hold_on_rows_it_was_not_fitted_on(spa
             assert hit == pytest.approx(0.8, abs=0.08) and sure == pytest.approx(hit, abs=0.08)
         else:
             assert hit < 0.65 and sure < 0.65
+
+
+def test_csv_files_are_split_unless_a_field_breaks_a_line(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,text\n1,"one ""line"", quoted"\n2,plain\n3,\n')
+    (tmp_path / "b.csv").write_text('id,text\n1,"two\nlines ""here"""\n2,"a\n\nb"\n')
+    assert [r["text"] for r in readers.read_any(spark, str(tmp_path / "a.csv")).orderBy("id").collect()] == ['one "line", quoted', "plain", None]
+    assert [r["text"] for r in readers.read_any(spark, str(tmp_path / "b.csv")).orderBy("id").collect()] == ['two\nlines "here"', "a\n\nb"]
+    wide = spark.range(20_000).selectExpr("id", "repeat('some text ', 20) as text")
+    wide.coalesce(1).write.csv(str(tmp_path / "c.csv"), header=True)
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500000")
+    try:
+        read = readers.read_any(spark, str(tmp_path / "c.csv"), schema="id long, text string")
+        assert read.rdd.getNumPartitions() > 4 and read.count() == 20_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)

@@ -28,18 +28,20 @@ def read_any(
     sep: str = ",",
     schema: T.StructType | str | None = None,
     suffix: str | None = None,
-    multiline: bool = True,
+    multiline: bool | None = None,
 ) -> DataFrame:
     """Read a table by suffix: csv, parquet/pq, json (one document), jsonl/ndjson.
 
     Pass ``schema`` for large csv or json input: inferring it costs one more scan.
-    Quoted csv fields may hold line breaks, so a csv file is read by one task;
-    ``multiline=False`` splits files that are known to have none.
+    A csv file is read by one task if its quoted fields hold line breaks, and in splits
+    otherwise; without ``multiline`` a scan of its lines, in splits, finds out.
     """
     kind = (suffix or PurePosixPath(path).suffix).lower()
     reader = spark.read.schema(schema) if schema is not None else spark.read
     if kind == ".csv":
         infer = schema is None
+        if multiline is None:
+            multiline = _broken_lines(spark, path)
         df = reader.csv(path, header=True, sep=sep, inferSchema=infer, multiLine=multiline, escape='"')
     elif kind in (".parquet", ".pq"):
         df = reader.parquet(path)
@@ -52,6 +54,12 @@ def read_any(
     return nan_to_null(df)
 
 
+def _broken_lines(spark: SparkSession, path: str) -> bool:
+    """Whether a line ends inside quotes: then it has an odd number of them, doubled ones counting twice."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not spark.read.text(path).filter(quotes % 2 == 1).limit(1).isEmpty()
+
+
 def _suffix(path: Column) -> Column:
     return F.lower(F.regexp_extract(path, r"(\.[^./\\]+)$", 1))
 

@@ -220,7 +220,7 @@ def clean_aggressive_compare(spark, d):
     return compare(before, cut(after))
 
 
-def _out(t, c):
+def outliers_sql(t, c):
     return f"""(select count(*) from {t}, (select quantile_cont({c}, 0.25) as q1, quantile_cont({c}, 0.75) as q3 from {t}) z
     where {c} < q1 - 1.5 * (q3 - q1) or {c} > q3 + 1.5 * (q3 - q1))"""
 
@@ -230,8 +230,8 @@ m as (
  select 'rows' as metric, (select count(*) from docs) as b, (select count(*) from c) as a
  union all select 'missing_values', 0, 0
  union all select 'duplicates', 0, 0
- union all select 'outliers_doc_id', {_out("docs", "doc_id")}, {_out("c", "doc_id")}
- union all select 'outliers_n_chars', {_out("docs", "n_chars")}, {_out("c", "n_chars")})
+ union all select 'outliers_doc_id', {outliers_sql("docs", "doc_id")}, {outliers_sql("c", "doc_id")}
+ union all select 'outliers_n_chars', {outliers_sql("docs", "n_chars")}, {outliers_sql("c", "n_chars")})
 select metric, b as before, a as after, printf('%+d', a - b) as change,
  case when metric in ('rows', 'outliers_doc_id', 'outliers_n_chars') and b <> 0 then printf('%+.1f%%', (a - b) / b::double * 100) else '' end as change_pct from m
 """

@@ -10,8 +10,9 @@ from tilth.operators import learn as M
 from tilth.operators.agree import evaluate, value_counts
 from tilth.operators.sampling import seed_and_pool, stratified_split
 from tilth.plans import stages
-from workload.base import LABELLED, LABELLED_SQL, STAMP, docs, spread_table, table
+from workload.base import LABELLED, LABELLED_SQL, STAMP, docs, md5_sql, spread_table, table
 from workload.combine import APPLY_CORRECTIONS_SQL, history_rows, history_sql
+from workload.fix import LENGTH_CTE, outliers_sql
 
 CLASSES = [str(i) for i in range(10)]
 
@@ -200,6 +201,26 @@ def stage_flow(spark, d):
     return comparison
 
 
+_ROWS = "doc_id, text, label, source"
+STAGE_FLOW_SQL = f"""
+with d as (select doc_id, text, lang as label, source from documents where lang in ('en', 'fr', 'de', 'es') and text is not null and lang is not null),
+t as (select *, count(*) over (partition by source) as total, count(*) over (partition by source, label) as size,
+   row_number() over (partition by source, label order by {md5_sql(42, "doc_id")}, doc_id) as r from d),
+h as (select *, row_number() over (partition by source order by {md5_sql("42-cut", "doc_id")}, doc_id) as n from t
+   where total <= 40 or r <= greatest(1, round_even(size / total::double * 40, 0)::bigint)),
+b as (select {_ROWS} from h where total <= 40 or n <= 40),
+u as (select {_ROWS} from (select *, row_number() over (partition by text order by doc_id) as r from b) where r = 1),
+{LENGTH_CTE.format(t="u")},
+s as (select min(n) as n from (select count(*) as n from k group by label)),
+c as (select {_ROWS} from (select *, row_number() over (partition by label order by {md5_sql(42, "doc_id")}, doc_id) as r from k) where r <= (select n from s)),
+m as (select 'rows' as metric, (select count(*) from b) as b, (select count(*) from c) as a
+ union all select 'missing_values', 0, 0 union all select 'duplicates', 0, 0
+ union all select 'outliers_doc_id', {outliers_sql("b", "doc_id")}, {outliers_sql("c", "doc_id")})
+select metric, b as before, a as after, printf('%+d', a - b) as change,
+ case when metric in ('rows', 'outliers_doc_id') and b <> 0 then printf('%+.1f%%', (a - b) / b::double * 100) else '' end as change_pct from m
+"""
+
+
 def review_quality(spark, d):
     """Corrections from the review queue, then agreement of the result with the labels of people."""
     queue = table(spark, d, "documents").selectExpr(
@@ -249,5 +270,5 @@ CASES = {
         learning_curve,
         f"select strategy, iteration, n_labeled, accuracy, f1 from ({history_sql(0)} union all {history_sql(1)})",
     ),
-    "collect_and_clean": (stage_flow, None),
+    "collect_and_clean": (stage_flow, STAGE_FLOW_SQL),
 }
