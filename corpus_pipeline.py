@@ -21,8 +21,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each near-duplicate component the document with the smallest id."""
-    return simhash.representatives(docs)
+    """Of each component of documents that share 0.8 of their five-word shingles the one with the smallest id."""
+    return simhash.first_of_similar(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
