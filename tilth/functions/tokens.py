@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -30,3 +32,13 @@ def numbered_words(texts: pa.Array, inside: np.ndarray = ALNUM) -> tuple[np.ndar
     words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(edges.tobytes()), pa.py_buffer(data[kept].tobytes())).dictionary_encode()
     of = np.searchsorted(offsets - offsets[0], starts, "right") - 1
     return of, np.asarray(words.indices).astype(np.int64), words.dictionary
+
+
+def pieces(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows whose sizes add up to at most ``most``, or of a single row."""
+    edges = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    at = 0
+    while at < len(sizes):
+        end = max(at + 1, int(np.searchsorted(edges, edges[at] + most, "right")) - 1)
+        yield at, end
+        at = end

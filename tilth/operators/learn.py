@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import json
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import asdict, dataclass, field
 from functools import lru_cache, reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.feature import (
@@ -35,6 +34,7 @@ from pyspark.sql import types as T
 
 from tilth.functions.hashing import stable_hash
 from tilth.functions.store import cut
+from tilth.functions.tokens import pieces
 from tilth.operators.agree import evaluate
 from tilth.operators.combine import history_compare
 from tilth.operators.sampling import sample_n
@@ -49,13 +49,36 @@ SVM_TOLERANCE = 1e-4
 # Random features that stand for the kernel of the SVM, and folds whose margins it is calibrated on.
 KERNEL_FEATURES = 512
 CALIBRATION_FOLDS = 3
+# Terms, vector entries or features that a Python worker holds as numbers at a time.
+PIECE = 1 << 18
 HISTORY = "iteration int, n_labeled long, accuracy double, f1 double, strategy string"
 
 
-@F.pandas_udf(VectorUDT())
-def _sublinear(counts: pd.DataFrame) -> pd.DataFrame:
-    """1 + ln(tf) on the stored entries of count vectors (Arrow hands a vector over as its fields)."""
-    return counts.assign(values=[1.0 + np.log(v) for v in counts["values"]])
+def _lists(counts: np.ndarray, values: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), values)
+
+
+def _vector_array(size: int | None, indices: pa.Array, values: pa.Array) -> pa.StructArray:
+    """Vectors as Arrow holds them: sparse ones of ``size`` numbers, or dense ones."""
+    n = len(values)
+    kind, width = pa.array(np.full(n, size is None, np.int8)), pa.nulls(n, pa.int32()) if size is None else pa.array(np.full(n, size, np.int32))
+    return pa.StructArray.from_arrays([kind, width, indices, values], names=["type", "size", "indices", "values"])
+
+
+@F.arrow_udf(VectorUDT())
+def _sublinear(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """1 + ln(tf) on the stored entries of count vectors."""
+    for counts in batches:
+        for a, b in pieces(np.diff(np.asarray(counts.field("values").offsets)), PIECE):
+            kind, size, indices, values = counts.slice(a, b - a).flatten()
+            logs = pa.ListArray.from_arrays(_offsets(values), pa.array(1.0 + np.log(np.asarray(values.flatten()))))
+            yield pa.StructArray.from_arrays([kind, size, indices, logs], names=["type", "size", "indices", "values"])
+
+
+def _offsets(lists: pa.ListArray) -> pa.Array:
+    """Where lists begin and end among their flattened entries."""
+    at = np.asarray(lists.offsets)
+    return pa.array(at - at[0], pa.int32())
 
 
 def _with_terms(df: DataFrame, text_col: str) -> DataFrame:
@@ -84,32 +107,46 @@ def count_terms(df: DataFrame, text_col: str = "text") -> DataFrame:
     names = [f.name for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [Counter(x) for x in batch.column("_terms").to_pylist()]
-            offsets = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
-            terms, counts = (pa.array([y for x in found for y in getattr(x, part)()], kind) for part, kind in (("keys", pa.string()), ("values", pa.int32())))
-            pairs = pa.StructArray.from_arrays([terms, counts], names=["term", "n"])
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.ListArray.from_arrays(pa.array(offsets), pairs)], names=[*names, "_counts"])
+        return _counted(batches, names)
 
     schema = T.StructType([*fields, T.StructField("_counts", T.ArrayType(T.StructType([T.StructField("term", T.StringType()), T.StructField("n", T.IntegerType())])))])
     return tokens.mapInArrow(run, schema)
 
 
+def _counted(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Rows with the columns ``names`` and the counts of their ``_terms``."""
+    for whole in batches:
+        # Terms stay Arrow strings, and a few of them at a time: a batch holds millions.
+        for a, b in pieces(np.diff(np.asarray(whole.column("_terms").offsets)), PIECE):
+            batch = whole.slice(a, b - a)
+            lists = batch.column("_terms")
+            of = np.repeat(np.arange(len(lists)), np.diff(np.asarray(lists.offsets)))
+            words = lists.flatten().dictionary_encode()
+            distinct = max(len(words.dictionary), 1)
+            found, counts = np.unique(of * distinct + np.asarray(words.indices, np.int64), return_counts=True)
+            row, word = np.divmod(found, distinct)
+            pairs = pa.StructArray.from_arrays([words.dictionary.take(pa.array(word)), pa.array(counts.astype(np.int32))], names=["term", "n"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), _lists(np.bincount(row, minlength=len(lists)), pairs)], names=[*names, "_counts"])
+
+
 def _vectors(vocabulary: list[str]):
     """Column function: term counts to sparse vectors of 1 + ln(tf)."""
-    place = {t: i for i, t in enumerate(vocabulary)}
-
-    @F.pandas_udf(VectorUDT())
-    def vectors(counts: pd.Series) -> pd.DataFrame:
-        rows = [sorted((place[p["term"]], p["n"]) for p in row if p["term"] in place) for row in counts]
-        return pd.DataFrame(
-            {
-                "type": np.zeros(len(rows), np.int8),
-                "size": np.full(len(rows), len(vocabulary), np.int32),
-                "indices": [np.array([i for i, _ in r], np.int32) for r in rows],
-                "values": [1.0 + np.log(np.array([n for _, n in r], float)) for r in rows],
-            }
-        )
+    size = len(vocabulary)
+
+    @F.arrow_udf(VectorUDT())
+    def vectors(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known = pa.array(vocabulary, pa.string())
+        for whole in batches:
+            for a, b in pieces(np.diff(np.asarray(whole.offsets)), PIECE):
+                lists = whole.slice(a, b - a)
+                term, n = lists.flatten().flatten()
+                place = pc.fill_null(pc.index_in(term, value_set=known), -1).to_numpy(zero_copy_only=False)
+                of = np.repeat(np.arange(len(lists)), np.diff(np.asarray(lists.offsets)))
+                kept = np.flatnonzero(place >= 0)
+                kept = kept[np.argsort(of[kept] * size + place[kept])]
+                counts = np.bincount(of[kept], minlength=len(lists))
+                values = 1.0 + np.log(np.asarray(n, float)[kept])
+                yield _vector_array(size, _lists(counts, pa.array(place[kept].astype(np.int32))), _lists(counts, pa.array(values)))
 
     return vectors
 
@@ -135,11 +172,19 @@ def _directions(kernel: Kernel) -> tuple[np.ndarray, np.ndarray]:
 def _fourier(kernel: Kernel):
     """Column function: sparse vectors to the kernel's dense features."""
 
-    @F.pandas_udf(VectorUDT())
-    def features(x: pd.DataFrame) -> pd.DataFrame:
+    @F.arrow_udf(VectorUDT())
+    def features(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         along, phase = _directions(kernel)
-        rows = [np.cos((np.asarray(v) @ along[np.asarray(i, int)] if i is not None else np.asarray(v) @ along) + phase) * math.sqrt(2 / kernel.features) for i, v in zip(x["indices"], x["values"], strict=True)]
-        return pd.DataFrame({"type": np.ones(len(rows), np.int8), "size": [None] * len(rows), "indices": [None] * len(rows), "values": rows})
+        for whole in batches:
+            for at in range(0, len(whole), PIECE // kernel.features):
+                # The given vectors may be dense: those have no indices.
+                _, _, indices, values = whole.slice(at, PIECE // kernel.features).flatten()
+                sums = np.empty((len(values), kernel.features))
+                for row, (i, v) in enumerate(zip(indices, values, strict=True)):
+                    x = np.asarray(v.values, float)
+                    sums[row] = x @ along[np.asarray(i.values)] if i.is_valid else x @ along
+                waves = pa.array((np.cos(sums + phase) * math.sqrt(2 / kernel.features)).ravel())
+                yield _vector_array(None, pa.nulls(len(values), pa.list_(pa.int32())), _lists(np.full(len(values), kernel.features), waves))
 
     return features
 
