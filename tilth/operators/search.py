@@ -6,6 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,7 +14,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from tilth.functions.scalars import auto_top_n, tokenize
 from tilth.functions.store import cut
-from tilth.functions.tokens import numbered_words
+from tilth.functions.tokens import numbered_words, pieces
 
 # Okapi BM25 parameters and the share of the mean idf given to very common terms.
 K1 = 1.5
@@ -21,6 +22,8 @@ B = 0.75
 EPSILON = 0.25
 # Fixed value: bonus per query that found a candidate.
 MATCH_BONUS = 0.05
+# Bytes of texts, or counts of query terms, that a Python worker looks at together; words that wait there to be added up.
+PIECE, WAITING = 1 << 21, 1 << 18
 # Distinct terms that the queries may hold: they go to every task (some tens of megabytes).
 MAX_QUERY_TERMS = 1_000_000
 
@@ -40,20 +43,62 @@ def terms_of(spark, queries: Sequence[str], keywords: Sequence[str] = ()) -> Dat
     return query_terms(spark.range(1).select(text.alias("t")), "t")
 
 
+def _added_up(counts: list[pa.Table]) -> pa.Table:
+    """One row per term."""
+    found = pa.concat_tables(counts).group_by("term").aggregate([("df", "sum")])
+    return found.select(["term", "df_sum"]).rename_columns(["term", "df"])
+
+
+def _vocabulary_rows(found: pa.Table, known: pa.Schema) -> Iterator[pa.RecordBatch]:
+    for part in found.combine_chunks().to_batches():
+        nothing = [pa.nulls(len(part), kind) for kind in known.types[:-2]]
+        yield pa.RecordBatch.from_arrays([*nothing, part.column("term"), part.column("df")], schema=known)
+
+
+def _counted(batches: Iterator[pa.RecordBatch], fields: T.StructType, asked_terms: pa.Array) -> Iterator[pa.RecordBatch]:
+    """Rows of documents (their columns, length, and counts of query terms) and rows of the vocabulary."""
+    known, kept = to_arrow_schema(fields), fields.fields[:-5]
+    waiting: list[pa.Table] = []
+    for whole in batches:
+        sizes = np.asarray(pc.fill_null(pc.binary_length(whole.column("text")), 0), np.int64)
+        for a, b in pieces(sizes, PIECE):
+            batch = whole.slice(a, b - a)
+            n = batch.num_rows
+            of, number, distinct = numbered_words(batch.column("text"))
+            # Each pair of document and word once, in order of documents.
+            pairs, counts = np.unique(of * max(len(distinct), 1) + number, return_counts=True)
+            document, word = np.divmod(pairs, max(len(distinct), 1))
+            distinct = distinct.cast(pa.string())
+            asked_at = pc.fill_null(pc.index_in(distinct, value_set=asked_terms), -1).to_numpy(zero_copy_only=False).astype(np.int64)[word]
+            hit = asked_at >= 0
+            offsets = pa.array(np.searchsorted(document[hit], np.arange(n + 1)).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(x[hit].astype(np.int32))) for x in (asked_at, counts)]
+            own = [batch.column(f.name).cast(known.field(f.name).type) for f in kept]
+            yield pa.RecordBatch.from_arrays([*own, pa.array(np.bincount(of, minlength=n)), *lists, pa.nulls(n, pa.string()), pa.nulls(n, pa.int64())], schema=known)
+            waiting.append(pa.table([distinct, pa.array(np.bincount(word, minlength=len(distinct)))], names=["term", "df"]))
+            if sum(map(len, waiting)) > WAITING:
+                waiting = [_added_up(waiting)]
+                if len(waiting[0]) > WAITING // 2:
+                    yield from _vocabulary_rows(waiting.pop(), known)
+    if waiting:
+        yield from _vocabulary_rows(_added_up(waiting), known)
+
+
 def bm25(
     docs: DataFrame, terms: DataFrame, id_col: str = "id", text_col: str = "corpus_text", carry: Sequence[str] = ()
 ) -> DataFrame:
     """(id, score) of every document for a multiset of query terms; ``carry`` columns stay beside them.
 
-    One scan counts words inside documents: what leaves it is, of each Arrow batch, one
-    count per word of its vocabulary, and of each document its length and the counts of
-    query terms.  A term in more than half of the documents has a negative idf, which is
+    One scan counts words inside documents: what leaves it is one count per word of the
+    vocabulary of some hundred thousand words, and of each document its length and the counts of
+    query terms.  A task looks at a few documents at a time, whatever the size of its batches.  A term in more than half of the documents has a negative idf, which is
     replaced by a quarter of the mean idf over the vocabulary.  Null texts are empty.
     """
     asked = terms.groupBy("term").agg(F.sum("repeats").alias("repeats")).orderBy("term").limit(MAX_QUERY_TERMS + 1).collect()
     if len(asked) > MAX_QUERY_TERMS:
         raise ValueError(f"the queries hold more than {MAX_QUERY_TERMS} distinct terms")
     place = {r["term"]: i for i, r in enumerate(asked)}
+    asked_terms = pa.array(list(place), pa.string())
     # Lower-casing is Spark's, by Unicode; words are bytes of ASCII after it.
     given = docs.select(F.col(id_col).alias("id"), F.lower(text_col).alias("text"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(carry)])
     kept = [f for f in given.schema.fields if f.name != "text"]
@@ -63,23 +108,7 @@ def bm25(
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = to_arrow_schema(fields)
-        for batch in batches:
-            n = batch.num_rows
-            of, number, distinct = numbered_words(batch.column("text"))
-            # Each pair of document and word once, in order of documents.
-            pairs, counts = np.unique(of * max(len(distinct), 1) + number, return_counts=True)
-            document, word = np.divmod(pairs, max(len(distinct), 1))
-            names = distinct.to_pylist()
-            asked_at = np.array([place.get(w, -1) for w in names], np.int64)[word] if names else word
-            hit = asked_at >= 0
-            offsets = pa.array(np.searchsorted(document[hit], np.arange(n + 1)).astype(np.int32))
-            lists = [pa.ListArray.from_arrays(offsets, pa.array(x[hit].astype(np.int32))) for x in (asked_at, counts)]
-            own = [batch.column(f.name).cast(known.field(f.name).type) for f in kept]
-            yield pa.RecordBatch.from_arrays([*own, pa.array(np.bincount(of, minlength=n)), *lists, pa.nulls(n, pa.string()), pa.nulls(n, pa.int64())], schema=known)
-            m = len(names)
-            nothing = [pa.nulls(m, known.field(f.name).type) for f in fields.fields[:-2]]
-            yield pa.RecordBatch.from_arrays([*nothing, distinct.cast(pa.string()), pa.array(np.bincount(word, minlength=m))], schema=known)
+        return _counted(batches, fields, asked_terms)
 
     counted = cut(given.mapInArrow(run, fields))
     found = counted.filter("words is not null")
@@ -101,13 +130,15 @@ def bm25(
     scored = T.StructType([*[T.StructField(f.name, f.dataType) for f in kept], T.StructField("score", T.DoubleType())])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column("tf")
-            of = np.repeat(np.arange(batch.num_rows), np.diff(np.asarray(lists.offsets)))
-            tf, at = np.asarray(lists.flatten(), float), np.asarray(batch.column("at").flatten(), np.int64)
-            length = 1 - B + B * np.asarray(batch.column("words"), float)[of] / average if average else np.ones(len(of))
-            gain = weights[at] * tf * (K1 + 1) / (tf + K1 * length)
-            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in names), pa.array(np.bincount(of, gain, batch.num_rows).astype(float))], names=scored.names)
+        for whole in batches:
+            for a, b in pieces(np.diff(np.asarray(whole.column("tf").offsets)), PIECE // 8):
+                batch = whole.slice(a, b - a)
+                lists = batch.column("tf")
+                of = np.repeat(np.arange(batch.num_rows), np.diff(np.asarray(lists.offsets)))
+                tf, at = np.asarray(lists.flatten(), float), np.asarray(batch.column("at").flatten(), np.int64)
+                length = 1 - B + B * np.asarray(batch.column("words"), float)[of] / average if average else np.ones(len(of))
+                gain = weights[at] * tf * (K1 + 1) / (tf + K1 * length)
+                yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in names), pa.array(np.bincount(of, gain, batch.num_rows).astype(float))], names=scored.names)
 
     out = found.select(*names, "words", "at", "tf").mapInArrow(score, scored)
     return out.select(F.col("id").alias(id_col), *[F.col(f"c{i}").alias(c) for i, c in enumerate(carry)], "score")
