@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import types as T
 
+from tilth.functions.scalars import word_count
 from tilth.operators import learn, search
 
 
@@ -55,3 +56,10 @@ def test_bm25_counts_a_piece_at_a_time():
     ]
     # A word of the vocabulary leaves once, not once for each piece.
     assert len(words) == 500 and {r["term"]: r["df"] for r in words} == Counter(t for c in plain for t in c)
+
+
+def test_words_of_a_text_are_counted_without_an_array(spark):
+    texts = ["a  b\tc\n", "", " \n", None, "x", "été   z", " lead and trail "]
+    counted = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string").select("id", word_count("t").alias("n"))
+    assert [r["n"] for r in counted.orderBy("id").collect()] == [3, 0, 0, None, 1, 3, 3]
+    assert "split(" not in counted._jdf.queryExecution().optimizedPlan().toString()

@@ -217,12 +217,10 @@ def file_modality(spark, d):
 
 
 def _text_files(spark, d):
-    """Documents written as text files below one folder per source."""
+    """Documents written as text files below one folder per source; more documents make more files, not larger ones."""
     path = new_path(spark, "texts")
-    spread = table(spark, d, "documents").select("source", "doc_id", "text").repartition(
-        8, "source", F.pmod("doc_id", F.lit(4))
-    )
-    spread.select("source", "text").write.partitionBy("source").text(path)
+    texts = table(spark, d, "documents").select("source", "text")
+    texts.write.option("maxRecordsPerFile", 1000).partitionBy("source").text(path)
     return R.read_text_dir(spark, path)
 
 
