@@ -139,11 +139,13 @@ def outlier_totals(spark, d):
     return D.outlier_totals(D.detect_outliers_zscore(table(spark, d, "events"), ["value", "user_id"]), 2)
 
 
-# Every fiftieth row is far from all others in both columns, each in a place of its own.
+# Every fiftieth row is far from all others in both columns, each in a place of its own. The places lie within one
+# million of each other however many rows there are: with ids as places, the first rows would be close to all others
+# next to the width of the whole, and no forest could tell them.
 FAR = [
     "event_id", "event_id % 50 = 7 as far",
-    "case when event_id % 50 = 7 then 1e6 + event_id * 1e4 else value end as value",
-    "case when event_id % 50 = 7 then -1e6 - event_id * 1e4 else cast(user_id as double) end as user_id",
+    "case when event_id % 50 = 7 then 1e6 + 1e6 * (event_id * 0.6180339887498949D % 1) else value end as value",
+    "case when event_id % 50 = 7 then -1e6 - 1e6 * (event_id * 0.6180339887498949D % 1) else cast(user_id as double) end as user_id",
 ]
 
 
