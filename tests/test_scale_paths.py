@@ -281,3 +281,23 @@ def test_row_drops_change_later_statistics(spark):
     assert [(r["i"], r["b"]) for r in rows] == [(2, 3.0), (3, 7.0), (4, 11.0)]
     with pytest.raises(ValueError):
         fix.impute_by_column(t, "a=drop_rows,c=mean")
+
+
+def test_knn_of_rows_without_structure_meets_in_few_blocks(spark, monkeypatch):
+    """Where leaves exclude little, rows are compared in large blocks: queries are not copied to every leaf."""
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(3000, 16)).astype(np.float32)
+    t = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id int, v array<float>").repartition(6)
+    met, compare = [], neighbors._compare
+
+    def counted(visits, placed, keep, width, block_rows):
+        met.append(visits.count())
+        return compare(visits, placed, keep, width, block_rows)
+
+    monkeypatch.setattr(neighbors, "_compare", counted)
+    near = neighbors.knn_join(t, t, 3, "id", "id", "v", exclude_self=True, block_rows=100).collect()
+    d = np.linalg.norm(x[:, None].astype(float) - x, axis=2)
+    np.fill_diagonal(d, np.inf)
+    want = {(i, j) for i, row in enumerate(d) for j in np.argsort(row, kind="stable")[:3]}
+    assert {(r["query_id"], r["donor_id"]) for r in near} == want
+    assert sum(met) <= 3 * 3000, met

@@ -5,7 +5,8 @@ Donors of a group are dealt to the leaves of a two-level pivot tree (as in Lu et
 as many leaves as the counted donors need, and groups that one block holds have none.
 A query meets its nearest leaf first.  Its k-th distance there bounds how far it must
 look, and the triangle inequality leaves only those leaves that reach into that
-distance.  Leaves meet queries in blocks of bounded size, and a pair of blocks returns
+distance.  These are counted before any is met: where they hold more than half of all pairs
+of a group, its rows are compared in few large blocks instead, without leaves.  Leaves meet queries in blocks of bounded size, and a pair of blocks returns
 its best k for each query, never all pairs.
 """
 
@@ -29,6 +30,8 @@ from tilth.schema import missing, nan_to_null
 BLOCK_ROWS = 4096
 #: The trees of all groups together, as they go to every task: leaves, and bytes of their centres.
 MAX_LEAVES, TREE_BYTES = 16_384, 32 << 20
+#: Bytes of a block as numbers where a group is compared whole, and of visits that leave a task together.
+BLOCK_BYTES = 16 << 20
 #: Sampled centres for each leaf wanted; empty and doubled ones fall away.
 OVERSAMPLE = 1.5
 
@@ -74,7 +77,7 @@ class Tree:
 def _squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Squared Euclidean distances by direct differences, in slices that bound memory."""
     out = np.empty((len(a), len(b)))
-    step = max(1, 4_000_000 // max(1, b.size))
+    step = max(1, 1_000_000 // max(1, b.size))
     for i in range(0, len(a), step):
         diff = a[i : i + step, None, :] - b[None, :, :]
         out[i : i + step] = (diff * diff).sum(axis=2)
@@ -94,7 +97,7 @@ def _smallest(a: np.ndarray, b: np.ndarray, keep: int) -> tuple[np.ndarray, np.n
         return at, np.take_along_axis(squares, at, axis=1)
     at, found = np.empty((len(a), keep), np.int64), np.empty((len(a), keep))
     size_b = (b * b).sum(axis=1)
-    step = max(1, 8_000_000 // len(b))
+    step = max(1, 2_000_000 // len(b))
     for i in range(0, len(a), step):
         part = a[i : i + step]
         size_a = (part * part).sum(axis=1)
@@ -177,37 +180,59 @@ def _placed(given: DataFrame, trees: Broadcast | None, width: int) -> DataFrame:
     return given.mapInArrow(run, schema)
 
 
+def _met(batch: pa.RecordBatch, trees: dict[str, Tree], width: int, keep: int, bounded: bool) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
+    """Group, rows, and which leaves each of them meets, for rows of groups with a tree; few at a time."""
+    vectors = _matrix(batch.column("_v"), width)
+    for group, mine in _by_group(batch):
+        if group in trees:
+            tree = trees[group]
+            for part in np.array_split(mine, 1 + len(mine) * len(tree.leaves) // 1_000_000):
+                away = np.sqrt(_squares(vectors[part], tree.leaves))
+                met = tree.first(away, keep)
+                if bounded:
+                    within = np.asarray(batch.column("_within"), float)[part]
+                    met = tree.reaching(away, np.where(np.isnan(within), np.inf, within)) & ~met
+                yield group, part, met
+
+
 def _visits(asked: DataFrame, trees: Broadcast, width: int, keep: int, bounded: bool) -> DataFrame:
     """Queries with the leaves that they meet first; or, ``bounded`` by ``_within``, with all others that can matter."""
     schema = _added(asked.select("_g", "_key", "_v"), _leaf=T.LongType())
+    most = max(1, BLOCK_BYTES // (8 * max(width, 1)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            vectors = _matrix(batch.column("_v"), width)
-            rows, leaves = [], []
-            for group, mine in _by_group(batch):
-                if group not in trees.value:
-                    if not bounded:
-                        rows.append(mine)
-                        leaves.append(np.zeros(len(mine), np.int64))
-                    continue
-                tree = trees.value[group]
-                for part in np.array_split(mine, 1 + len(mine) * len(tree.leaves) // 4_000_000):
-                    away = np.sqrt(_squares(vectors[part], tree.leaves))
-                    met = tree.first(away, keep)
-                    if bounded:
-                        within = np.asarray(batch.column("_within"), float)[part]
-                        met = tree.reaching(away, np.where(np.isnan(within), np.inf, within)) & ~met
-                    i, j = np.nonzero(met)
-                    rows.append(part[i])
-                    leaves.append(j)
-            if rows:
-                taken = batch.select(["_g", "_key", "_v"]).take(pa.array(np.concatenate(rows)))
-                yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(np.concatenate(leaves))], names=schema.names)
+            plain = batch.select(["_g", "_key", "_v"])
+
+            def visits(rows: np.ndarray, leaves: np.ndarray) -> Iterator[pa.RecordBatch]:
+                for i in range(0, len(rows), most):
+                    taken = plain.take(pa.array(rows[i : i + most]))
+                    yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(leaves[i : i + most])], names=schema.names)
+
+            if not bounded:
+                for group, mine in _by_group(batch):
+                    if group not in trees.value:
+                        yield from visits(mine, np.zeros(len(mine), np.int64))
+            for _, part, met in _met(batch, trees.value, width, keep, bounded):
+                i, j = np.nonzero(met)
+                yield from visits(part[i], j)
 
     return asked.mapInArrow(run, schema)
 
 
+def _unbounded(asked: DataFrame, trees: Broadcast, width: int, keep: int) -> list[str]:
+    """Groups whose queries would meet more than half of all their pairs of rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for group, part, met in _met(batch, trees.value, width, keep, True):
+                pairs = float((met @ trees.value[group].rows).sum())
+                yield pa.RecordBatch.from_arrays([pa.array([group]), pa.array([pairs]), pa.array([float(len(part)) * trees.value[group].rows.sum()])], names=["_g", "met", "all"])
+
+    found = asked.mapInArrow(run, "_g string, met double, all double").groupBy("_g").agg(F.sum("met").alias("met"), F.sum("all").alias("all"))
+    return [r["_g"] for r in found.filter(F.col("met") > F.col("all") / 2).collect()]
+
+
 def _compare(visits: DataFrame, placed: DataFrame, keep: int, width: int, block_rows: int) -> DataFrame:
     """``_g``, ``_key``, ``_id``, ``_square``: the best ``keep`` of each pair of blocks that meet in a leaf."""
     leaf = ["_g", "_leaf"]
@@ -260,9 +285,19 @@ def _nearest(asked: DataFrame, given: DataFrame, keep: int, width: int, block_ro
     known = spark.sparkContext.broadcast(trees)
     first = cut(ranked(_compare(_visits(asked, known, width, keep, False), placed, keep, width, block_rows)).drop("_r"))
     within = first.groupBy("_g", "_key").agg(F.when(F.count("*") >= keep, F.sqrt(F.max("_square"))).alias("_within"))
-    more = asked.filter(F.col("_g").isin(list(trees))).join(within, ["_g", "_key"], "left")
-    second = _compare(cut(_visits(more, known, width, keep, True)), placed, keep, width, block_rows)
-    return ranked(first.unionByName(second))
+    more = cut(asked.filter(F.col("_g").isin(list(trees))).join(within, ["_g", "_key"], "left"))
+    whole = F.col("_g").isin(_unbounded(more, known, width, keep))
+    second = _compare(cut(_visits(more.filter(~whole), known, width, keep, True)), placed, keep, width, block_rows)
+    found = ranked(first.filter(~whole).unionByName(second))
+    left = asked.filter(whole).withColumn("_leaf", F.lit(0).cast("long"))
+    largest = left.groupBy("_g").count().agg(F.max("count")).first()[0]
+    if not largest:
+        return found
+    # Every block of one side meets every one of the other: as few as keep all cores busy, or as memory allows.
+    sides = math.ceil(math.sqrt(2 * spark.sparkContext.defaultParallelism))
+    rows = max(block_rows, min(BLOCK_BYTES // (8 * width), -(-largest // sides)))
+    given = placed.filter(whole).withColumn("_leaf", F.lit(0).cast("long"))
+    return found.unionByName(ranked(_compare(left, given, keep, width, rows)))
 
 
 def _whole(df: DataFrame, vector: str, width: object) -> DataFrame:
@@ -296,9 +331,11 @@ def knn_join(
     block_rows = BLOCK_ROWS if block_rows is None else block_rows
     group = F.coalesce(F.concat(F.lit("="), F.col(by).cast("string")), F.lit("")) if by else F.lit("")
     keep = k + 1 if exclude_self else k
+    # Numbers move in the width that they have; they are compared as doubles.
+    floats = all(df.schema[vector_col].dataType == T.ArrayType(T.FloatType(), df.schema[vector_col].dataType.containsNull) for df in (queries, donors))
 
     def side(df: DataFrame, id_col: str) -> DataFrame:
-        return df.select(group.alias("_g"), F.col(id_col).alias("_id"), F.col(vector_col).cast("array<double>").alias("_v"))
+        return df.select(group.alias("_g"), F.col(id_col).alias("_id"), F.col(vector_col).cast("array<float>" if floats else "array<double>").alias("_v"))
 
     lengths = donors.filter(F.col(vector_col).isNotNull()).groupBy(F.size(vector_col).alias("w")).count()
     width = lengths.orderBy(F.desc("count"), F.desc("w")).limit(1).collect()
