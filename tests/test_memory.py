@@ -38,6 +38,37 @@ def test_terms_are_counted_and_placed_a_piece_at_a_time():
         assert np.allclose(got["values"], [1 + np.log(x) for x in n if x])
 
 
+def test_kernel_features_leave_a_piece_at_a_time():
+    kernel = learn.Kernel(0.7, 5)
+    rng = np.random.default_rng(3)
+    dense = rng.normal(size=(10_000, 5))
+    dense[:, 1:4:2] *= rng.integers(0, 2, (10_000, 2))
+    kept = [np.flatnonzero(r) if i % 2 else None for i, r in enumerate(dense)]
+    batch = pa.array(
+        [
+            {"type": 1, "size": None, "indices": None, "values": r} if k is None else {"type": 0, "size": 5, "indices": k, "values": r[k]}
+            for r, k in zip(dense, kept, strict=True)
+        ],
+        pa.struct([("type", pa.int8()), ("size", pa.int32()), ("indices", pa.list_(pa.int32())), ("values", pa.list_(pa.float64()))]),
+    )
+    along, phase = learn._directions(kernel)
+    wanted = np.cos(dense @ along + phase) * np.sqrt(2 / kernel.features)
+
+    def run():
+        """Rows that came, largest piece and largest error; no piece outlives the next."""
+        at = most = off = 0
+        for piece in learn._fourier(kernel).func(iter([batch])):
+            found = np.asarray(piece.field("values").flatten()).reshape(len(piece), kernel.features)
+            off = max(off, np.abs(found - wanted[at : at + len(piece)]).max())
+            at, most = at + len(piece), max(most, len(piece))
+        return at, most, off
+
+    (rows, most, off), mb = peak(run)
+    assert rows == 10_000 and most * kernel.features <= learn.PIECE and off < 1e-9
+    # All features of the batch are 41 MB.
+    assert mb < 20, mb
+
+
 def test_bm25_counts_a_piece_at_a_time():
     fields = T.StructType([
         T.StructField("id", T.LongType()), T.StructField("words", T.LongType()), T.StructField("at", T.ArrayType(T.IntegerType())),
