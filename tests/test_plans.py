@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tilth.functions import hashing, quantiles
-from tilth.operators import compare, detect, learn, sampling
+from tilth.operators import compare, detect, learn, media, sampling
 from tilth.sources import readers
 
 
@@ -56,6 +56,14 @@ def test_reports_read_each_side_once(table, monkeypatch):
     assert len(written) == 5
 
 
+def test_media_headers_go_to_python_once(spark):
+    files = spark.range(100).selectExpr("concat('/d/', id, '.wav') as path", "id as length", "cast(concat('RIFF', id, 'WAVE') as binary) as content")
+    # First bytes, and the whole of files whose header these do not hold.
+    for df in (media.sound_seconds(files), media.image_sizes(files)):
+        assert plan(df).count("ArrowEvalPython") == 2
+        assert df.count() == 0
+
+
 def test_duplicates_move_as_digests(spark, table):
     t, _ = table
     exchange = next(line for line in plan(detect.duplicate_count(t)).splitlines() if "Exchange hashpartitioning" in line)

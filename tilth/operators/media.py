@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import struct
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -78,15 +78,19 @@ def wav_seconds(content: bytes | None) -> float | None:
     return None
 
 
-@F.pandas_udf(SIZE)
-def _sizes(content: pd.Series) -> pd.DataFrame:
-    found = [image_size(c) or (None, None) for c in content]
-    return pd.DataFrame(found, columns=["width", "height"]).astype("Int32")
+@F.arrow_udf(SIZE)
+def _sizes(content: pa.Array) -> pa.Array:
+    found = [image_size(c.as_py()) or (None, None) for c in content]
+    return pa.StructArray.from_arrays([pa.array([f[i] for f in found], pa.int32()) for i in (0, 1)], names=["width", "height"])
 
 
-@F.pandas_udf(T.DoubleType())
-def _seconds(content: pd.Series) -> pd.Series:
-    return content.map(wav_seconds).astype("float64")
+@F.arrow_udf(T.DoubleType())
+def _seconds(content: pa.Array) -> pa.Array:
+    return pa.array([wav_seconds(c.as_py()) for c in content], pa.float64())
+
+
+# A filter on what these find would be pushed below them with a copy of each, and every copy is a Python worker more in a task.
+_sizes, _seconds = _sizes.asNondeterministic(), _seconds.asNondeterministic()
 
 
 #: Bytes of a file that go to Python where SQL cannot read its header; few headers are longer.
