@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# What Spark sends to a Python worker at a time; by itself 64 MB, held on both sides and twice by the worker.
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
 
 # Temporary folders of local applications that name no shared folder.
 _local_dirs: dict[str, str] = {}
@@ -52,14 +56,45 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, "table")
     # The written table replaces the shuffles behind it, so their files can go at once.
+    with brief_shuffles(spark):
+        df.write.parquet(path)
+    _remove_at_end(spark, path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._written = path
+    return table
+
+
+def drop(table: DataFrame) -> None:
+    """Remove a table of ``cut`` that nothing reads any more, before the application ends."""
+    path = getattr(table, "_written", None)
+    if path is not None:
+        jvm, context = table.sparkSession._jvm, table.sparkSession.sparkContext
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def brief_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Frames that are made and run inside drop their shuffles at the end of a job."""
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        yield
     finally:
         spark.conf.set(CLEANUP, before)
-    _remove_at_end(spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs that start inside send at most ``BATCH_BYTES`` to a Python worker at a time; a bound that the session sets stays."""
+    if spark.conf.get(BATCH, None) is not None:
+        yield
+        return
+    spark.conf.set(BATCH, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.unset(BATCH)
 
 
 def _remove_at_end(spark: SparkSession, path: str) -> None:

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tilth.functions.hashing import stable_hash
-from tilth.functions.store import cut
+from tilth.functions.store import brief_shuffles, cut, drop, small_batches
 from tilth.functions.tokens import pieces
 from tilth.operators.agree import evaluate
 from tilth.operators.combine import history_compare
@@ -68,11 +68,17 @@ def _vector_array(size: int | None, indices: pa.Array, values: pa.Array) -> pa.S
 @F.arrow_udf(VectorUDT())
 def _sublinear(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """1 + ln(tf) on the stored entries of count vectors."""
-    for counts in batches:
-        for a, b in pieces(np.diff(np.asarray(counts.field("values").offsets)), PIECE):
-            kind, size, indices, values = counts.slice(a, b - a).flatten()
-            logs = pa.ListArray.from_arrays(_offsets(values), pa.array(1.0 + np.log(np.asarray(values.flatten()))))
-            yield pa.StructArray.from_arrays([kind, size, indices, logs], names=["type", "size", "indices", "values"])
+    for whole in batches:
+        for a, b in pieces(np.diff(np.asarray(whole.field("values").offsets)), PIECE):
+            yield _logs(whole.slice(a, b - a))
+        # It would else be held until the next one is there.
+        del whole
+
+
+def _logs(counts: pa.StructArray) -> pa.StructArray:
+    kind, size, indices, values = counts.flatten()
+    logs = pa.ListArray.from_arrays(_offsets(values), pa.array(1.0 + np.log(np.asarray(values.flatten()))))
+    return pa.StructArray.from_arrays([kind, size, indices, logs], names=["type", "size", "indices", "values"])
 
 
 def _offsets(lists: pa.ListArray) -> pa.Array:
@@ -81,16 +87,15 @@ def _offsets(lists: pa.ListArray) -> pa.Array:
     return pa.array(at - at[0], pa.int32())
 
 
-def _with_terms(df: DataFrame, text_col: str) -> DataFrame:
-    """Add ``_terms``: words and pairs of neighbouring words, with repeats."""
-    return _words().transform(df.withColumn("_text", F.coalesce(text_col, F.lit("")))).drop("_text", "_words", "_pairs")
+def _tokenizer() -> RegexTokenizer:
+    return RegexTokenizer(inputCol="_text", outputCol="_words", pattern=TOKEN, gaps=False)
 
 
 def _words() -> PipelineModel:
     """Text to terms, without state."""
     return PipelineModel(
         stages=[
-            RegexTokenizer(inputCol="_text", outputCol="_words", pattern=TOKEN, gaps=False),
+            _tokenizer(),
             NGram(n=2, inputCol="_words", outputCol="_pairs"),
             SQLTransformer(statement="SELECT *, concat(_words, _pairs) AS _terms FROM __THIS__"),
         ]
@@ -100,57 +105,83 @@ def _words() -> PipelineModel:
 def count_terms(df: DataFrame, text_col: str = "text") -> DataFrame:
     """``df`` without its text but with ``_counts``: its distinct terms and how often each occurs.
 
+    Terms are words and pairs of neighbouring words; only words go to Python.
     Written once, this serves vocabularies, fits and scores of any rows without the text.
     """
     fields = [f for f in df.schema.fields if f.name != text_col]
-    tokens = _with_terms(df, text_col).select(*[f.name for f in fields], "_terms")
     names = [f.name for f in fields]
+    words = _tokenizer().transform(df.withColumn("_text", F.coalesce(text_col, F.lit("")))).select(*names, F.col("_words").alias("_terms"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _counted(batches, names)
+        return _counted(batches, names, pairs=True)
 
     schema = T.StructType([*fields, T.StructField("_counts", T.ArrayType(T.StructType([T.StructField("term", T.StringType()), T.StructField("n", T.IntegerType())])))])
-    return tokens.mapInArrow(run, schema)
+    return words.mapInArrow(run, schema)
 
 
-def _counted(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
-    """Rows with the columns ``names`` and the counts of their ``_terms``."""
+def _counted(batches: Iterator[pa.RecordBatch], names: list[str], pairs: bool = False) -> Iterator[pa.RecordBatch]:
+    """Rows with the columns ``names`` and the counts of their ``_terms``, with ``pairs`` also of neighbours among them."""
     for whole in batches:
-        # Terms stay Arrow strings, and a few of them at a time: a batch holds millions.
+        # Terms stay Arrow strings, and a few of them at a time: a batch may hold millions.
         for a, b in pieces(np.diff(np.asarray(whole.column("_terms").offsets)), PIECE):
-            batch = whole.slice(a, b - a)
-            lists = batch.column("_terms")
-            of = np.repeat(np.arange(len(lists)), np.diff(np.asarray(lists.offsets)))
-            words = lists.flatten().dictionary_encode()
-            distinct = max(len(words.dictionary), 1)
-            found, counts = np.unique(of * distinct + np.asarray(words.indices, np.int64), return_counts=True)
-            row, word = np.divmod(found, distinct)
-            pairs = pa.StructArray.from_arrays([words.dictionary.take(pa.array(word)), pa.array(counts.astype(np.int32))], names=["term", "n"])
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), _lists(np.bincount(row, minlength=len(lists)), pairs)], names=[*names, "_counts"])
+            yield _count(whole.slice(a, b - a), names, pairs)
+        del whole
+
+
+def _count(batch: pa.RecordBatch, names: list[str], pairs: bool) -> pa.RecordBatch:
+    lists = batch.column("_terms")
+    of = np.repeat(np.arange(len(lists)), np.diff(np.asarray(lists.offsets)))
+    words = lists.flatten().dictionary_encode()
+    terms, at = words.dictionary, np.asarray(words.indices, np.int64)
+    if pairs:
+        first, second, near, which = _neighbours(of, at, len(terms))
+        of, at = np.concatenate([of, of[near]]), np.concatenate([at, len(terms) + which])
+        terms = pa.concat_arrays([terms, pc.binary_join_element_wise(terms.take(first), terms.take(second), " ")])
+    distinct = max(len(terms), 1)
+    found, counts = np.unique(of * distinct + at, return_counts=True)
+    row, term = np.divmod(found, distinct)
+    entries = pa.StructArray.from_arrays([terms.take(pa.array(term)), pa.array(counts.astype(np.int32))], names=["term", "n"])
+    return pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), _lists(np.bincount(row, minlength=len(lists)), entries)], names=[*names, "_counts"])
+
+
+def _neighbours(of: np.ndarray, at: np.ndarray, distinct: int) -> tuple[pa.Array, pa.Array, np.ndarray, np.ndarray]:
+    """The distinct pairs of neighbouring words of a row: both words, where pairs begin, and which of the distinct ones each is."""
+    near = np.flatnonzero(of[1:] == of[:-1])
+    found = pa.array(at[near] * distinct + at[near + 1]).dictionary_encode()
+    first, second = np.divmod(np.asarray(found.dictionary), max(distinct, 1))
+    return pa.array(first), pa.array(second), near, np.asarray(found.indices, np.int64)
 
 
 def _vectors(vocabulary: list[str]):
     """Column function: term counts to sparse vectors of 1 + ln(tf)."""
-    size = len(vocabulary)
 
     @F.arrow_udf(VectorUDT())
     def vectors(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = pa.array(vocabulary, pa.string())
         for whole in batches:
             for a, b in pieces(np.diff(np.asarray(whole.offsets)), PIECE):
-                lists = whole.slice(a, b - a)
-                term, n = lists.flatten().flatten()
-                place = pc.fill_null(pc.index_in(term, value_set=known), -1).to_numpy(zero_copy_only=False)
-                of = np.repeat(np.arange(len(lists)), np.diff(np.asarray(lists.offsets)))
-                kept = np.flatnonzero(place >= 0)
-                kept = kept[np.argsort(of[kept] * size + place[kept])]
-                counts = np.bincount(of[kept], minlength=len(lists))
-                values = 1.0 + np.log(np.asarray(n, float)[kept])
-                yield _vector_array(size, _lists(counts, pa.array(place[kept].astype(np.int32))), _lists(counts, pa.array(values)))
+                yield _placed(whole.slice(a, b - a), known)
+            del whole
 
     return vectors
 
 
+def _placed(lists: pa.ListArray, known: pa.Array) -> pa.StructArray:
+    term, n = lists.flatten().flatten()
+    place = pc.fill_null(pc.index_in(term, value_set=known), -1).to_numpy(zero_copy_only=False)
+    of = np.repeat(np.arange(len(lists)), np.diff(np.asarray(lists.offsets)))
+    kept = np.flatnonzero(place >= 0)
+    return _sublinear_vectors(len(known), len(lists), of[kept], place[kept], np.asarray(n)[kept])
+
+
+def _sublinear_vectors(size: int, rows: int, of: np.ndarray, place: np.ndarray, n: np.ndarray) -> pa.StructArray:
+    """Sparse vectors of 1 + ln(n), from row, place and count of their entries."""
+    order = np.argsort(of * size + place)
+    counts = np.bincount(of, minlength=rows)
+    values = 1.0 + np.log(n[order].astype(float))
+    return _vector_array(size, _lists(counts, pa.array(place[order].astype(np.int32))), _lists(counts, pa.array(values)))
+
+
 @dataclass(frozen=True)
 class Kernel:
     """Random Fourier features of the kernel exp(-gamma |x - y|^2): their products approximate it
@@ -262,7 +293,12 @@ def fit_text_classifier(
     All stop by tolerance; ``max_iter`` only bounds the steps of a fit that never gets there.
     """
     data = df.filter(F.col(label_col).isNotNull()).select(F.col(text_col).alias("text"), F.col(label_col).cast("string").alias("_label"))
-    return fit_counted(cut(count_terms(data)), model=model, max_terms=max_terms, max_iter=max_iter)
+    with small_batches(df.sparkSession):
+        counted = cut(count_terms(data))
+    try:
+        return fit_counted(counted, model=model, max_terms=max_terms, max_iter=max_iter)
+    finally:
+        drop(counted)
 
 
 def fit_counted(
@@ -273,14 +309,15 @@ def fit_counted(
         raise ValueError("model must be logreg, svm or linear_svm")
     data = counted.filter(F.col(label_col).isNotNull()).select("_counts", F.col(label_col).cast("string").alias("_label"))
     # The most frequent terms by partial counts, ties by term; at most ``max_terms`` reach the driver.
-    frequent = (
-        data.select(F.explode("_counts").alias("c"))
-        .groupBy("c.term")
-        .agg(F.sum("c.n").alias("n"))
-        .orderBy(F.desc("n"), "term")
-        .limit(max_terms)
-    )
-    vocabulary = [r["term"] for r in frequent.collect()]
+    with brief_shuffles(data.sparkSession):
+        frequent = (
+            data.select(F.explode("_counts").alias("c"))
+            .groupBy("c.term")
+            .agg(F.sum("c.n").alias("n"))
+            .orderBy(F.desc("n"), "term")
+            .limit(max_terms)
+        )
+        vocabulary = [r["term"] for r in frequent.collect()]
     if not vocabulary:
         raise ValueError("the training texts hold no words")
     counter = PipelineModel(
@@ -293,7 +330,8 @@ def fit_counted(
     if len(index.labels) < 2:
         raise ValueError(f"the training rows hold a single class: {index.labels}")
     fold = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(CALIBRATION_FOLDS)).alias("_fold")
-    tf = cut(index.transform(data).select(_vectors(vocabulary)("_counts").alias("_tf"), "_y", fold))
+    with small_batches(data.sparkSession):
+        tf = cut(index.transform(data).select(_vectors(vocabulary)("_counts").alias("_tf"), "_y", fold))
     idf = IDF(inputCol="_tf", outputCol="_idf").fit(tf).idf.toArray() + 1.0
     weights = Pipeline(
         stages=[
@@ -308,10 +346,12 @@ def fit_counted(
     kernel = None
     if model == "svm":
         kernel = Kernel(_gamma(train, n, len(vocabulary)), len(vocabulary))
-        train = cut(train.withColumn("_features", _fourier(kernel)("_features")))
+        with small_batches(data.sparkSession):
+            train = cut(train.withColumn("_features", _fourier(kernel)("_features")))
     train = train.coalesce(max(parts, 1))
-    # Rows are few next to features here; one narrow cache serves all optimiser passes.
-    train.persist()
+    # A fit reads its rows twice and keeps them in blocks of its own: only many fits gain by a cache before those.
+    if model != "logreg":
+        train.persist()
     try:
         decode = IndexToString(inputCol="_prediction", outputCol="_predicted", labels=index.labels)
         logreg = LogisticRegression(
@@ -333,6 +373,7 @@ def fit_counted(
         classifier = PipelineModel(stages=[*stages, decode])
     finally:
         train.unpersist()
+        drop(tf)
     return TextClassifier(counter, weights, classifier, list(index.labels), kernel)
 
 
