@@ -1,4 +1,4 @@
-"""Learning holds little of a table at a time and leaves no tables behind."""
+"""Learning holds little of a table at a time, leaves no tables behind, and scores a pool without its strings."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ import os
 import weakref
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 
 from tilth.functions import store
@@ -52,3 +53,26 @@ def test_only_words_go_to_python_and_pairs_are_counted_there(spark):
     got = {r["id"]: {c["term"]: c["n"] for c in r["_counts"]} for r in counted.collect()}
     for i, words in ((1, []), (2, []), (3, ["one"]), (4, "red red red cat red cat".split()), (7, "the cat the cat the".split())):
         assert got[i] == Counter(words) + Counter(map(" ".join, zip(words, words[1:], strict=False)))
+
+
+def test_packed_terms_score_as_texts_do(spark):
+    t = table(spark)
+    fitted = learn.fit_text_classifier(t)
+    packed = learn.pack_terms(t)
+    assert packed.columns == ["id", "text", "label", "_counts"]
+    rows = lambda df: {r["id"]: (r["predicted"], list(r["probability"])) for r in df.collect()}
+    want, got = rows(fitted.transform(t)), rows(fitted.transform_counted(packed))
+    assert want.keys() == got.keys() and all(want[i][0] == got[i][0] and np.allclose(want[i][1], got[i][1]) for i in want)
+
+
+def test_a_cycle_keeps_no_strings_of_terms_for_its_pool(spark, monkeypatch):
+    rows = [(i, f"{'red' if i % 2 else 'blue'} word{i % 5} more{i % 7}", str(i % 2)) for i in range(120)]
+    t = spark.createDataFrame(rows, "id long, text string, label string")
+    written, cut = [], learn.cut
+    monkeypatch.setattr(learn, "cut", lambda df: written.append(df.schema) or cut(df))
+    before = set(os.listdir(store.shared_dir(spark)))
+    history, _ = learn.run_cycle(t.filter("id < 20"), t.filter("id between 20 and 99"), "id", strategy="margin", n_iterations=2, batch=10, test=t.filter("id > 99"))
+    assert [tuple(r) for r in history.collect()] == [(i, 20 + 10 * i, 1.0, 1.0, "margin") for i in range(3)]
+    assert {s["_counts"].dataType.simpleString() for s in written if "_counts" in s.names} == {"struct<terms:binary,n:binary>"}
+    # Only the ids that were drawn stay.
+    assert len(set(os.listdir(store.shared_dir(spark))) - before) == 2

@@ -11,6 +11,7 @@ from functools import lru_cache, reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pandas.util import hash_array
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.feature import (
@@ -174,6 +175,107 @@ def _placed(lists: pa.ListArray, known: pa.Array) -> pa.StructArray:
     return _sublinear_vectors(len(known), len(lists), of[kept], place[kept], np.asarray(n)[kept])
 
 
+def pack_terms(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """``df`` and its counts of terms as ``_counts``, for scores round after round: a term is the 64-bit key of
+    ``_keys``, and terms and counts of a row are a run of bytes each. Strings are made of words only.
+    """
+    names = df.columns
+    words = _tokenizer().transform(df.withColumn("_text", F.coalesce(text_col, F.lit("")))).select(*names, F.col("_words").alias("_terms"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for a, b in pieces(np.diff(np.asarray(whole.column("_terms").offsets)), PIECE):
+                batch = whole.slice(a, b - a)
+                yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), _pack(batch.column("_terms"))], names=[*names, "_counts"])
+                del batch
+            del whole
+
+    packed = T.StructType([T.StructField("terms", T.BinaryType()), T.StructField("n", T.BinaryType())])
+    return words.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField("_counts", packed)]))
+
+
+def _keys(words: list[str]) -> np.ndarray:
+    return hash_array(np.array(words, object), categorize=False)
+
+
+def _pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Keys of pairs from those of their words, spread by the last steps of MurmurHash3."""
+    x = first * np.uint64(0x9E3779B97F4A7C15) + (second ^ (second >> np.uint64(29)))
+    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        x = (x ^ (x >> np.uint64(33))) * np.uint64(factor)
+    return x ^ (x >> np.uint64(33))
+
+
+def _pack(lists: pa.ListArray) -> pa.StructArray:
+    """Lists of words to the sorted keys of their terms and the counts of these."""
+    of = np.repeat(np.arange(len(lists)), np.diff(np.asarray(lists.offsets)))
+    words = lists.flatten().dictionary_encode()
+    at, keys = np.asarray(words.indices, np.int64), _keys(words.dictionary.to_pylist())
+    first, second, near, which = _neighbours(of, at, len(keys))
+    of, at = np.concatenate([of, of[near]]), np.concatenate([at, len(keys) + which])
+    keys = np.concatenate([keys, _pair_keys(keys[np.asarray(first)], keys[np.asarray(second)])])
+    distinct, place = np.unique(keys, return_inverse=True)
+    found, counts = np.unique(of * max(len(distinct), 1) + place[at], return_counts=True)
+    row, term = np.divmod(found, max(len(distinct), 1))
+    sizes = np.bincount(row, minlength=len(lists))
+    return pa.StructArray.from_arrays([_bytes(sizes, distinct[term]), _bytes(sizes, counts.astype(np.uint32))], names=["terms", "n"])
+
+
+def _bytes(sizes: np.ndarray, values: np.ndarray) -> pa.Array:
+    """Rows of ``sizes`` numbers as bytes."""
+    offsets = (np.concatenate([[0], np.cumsum(sizes)]) * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _numbers(rows: pa.Array, kind: type) -> np.ndarray:
+    """The numbers of all rows of ``_bytes``."""
+    whole = rows.cast(pa.large_binary())
+    offsets = np.frombuffer(whole.buffers()[1], np.int64)[whole.offset : whole.offset + len(whole) + 1]
+    return np.frombuffer(whole.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].view(kind) if offsets[-1] > offsets[0] else np.zeros(0, kind)
+
+
+def _packed_vectors(vocabulary: list[str]):
+    """Column function: counts of ``pack_terms`` to sparse vectors of 1 + ln(tf)."""
+    size = len(vocabulary)
+
+    @F.arrow_udf(VectorUDT())
+    def vectors(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known = _Known(vocabulary)
+        for whole in batches:
+            sizes = np.asarray(pc.binary_length(whole.flatten()[0]), np.int64) // 8
+            for a, b in pieces(sizes, PIECE):
+                terms, n = whole.slice(a, b - a).flatten()
+                at, place = known.find(_numbers(terms, np.uint64))
+                yield _sublinear_vectors(size, b - a, np.repeat(np.arange(b - a), sizes[a:b])[at], place, _numbers(n, np.uint32)[at])
+                del terms, n
+            del whole
+
+    return vectors
+
+
+class _Known:
+    """Places of a vocabulary's terms by their keys."""
+
+    def __init__(self, vocabulary: list[str]):
+        words = [t.partition(" ") for t in vocabulary]
+        keys = _keys([w[0] for w in words])
+        pair = np.array([bool(w[1]) for w in words], bool)
+        keys[pair] = _pair_keys(keys[pair], _keys([w[2] for w in words if w[1]]))
+        self.order = np.argsort(keys)
+        self.keys = keys[self.order]
+        # Most other terms are told by the first bits of their keys.
+        self.shift = np.uint64(64 - 20)
+        self.maybe = np.zeros(1 << 20, bool)
+        self.maybe[self.keys >> self.shift] = True
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of ``keys`` are of known terms, and where these stand in the vocabulary."""
+        at = np.flatnonzero(self.maybe[keys >> self.shift])
+        found = np.minimum(np.searchsorted(self.keys, keys[at]), len(self.keys) - 1)
+        hit = self.keys[found] == keys[at]
+        return at[hit], self.order[found[hit]]
+
+
 def _sublinear_vectors(size: int, rows: int, of: np.ndarray, place: np.ndarray, n: np.ndarray) -> pa.StructArray:
     """Sparse vectors of 1 + ln(n), from row, place and count of their entries."""
     order = np.argsort(of * size + place)
@@ -248,8 +350,9 @@ class TextClassifier:
         return self._scored(self.features(df, text_col), df.columns)
 
     def transform_counted(self, counted: DataFrame) -> DataFrame:
-        """As ``transform``, for rows of ``count_terms``; the counts are left out."""
-        vectors = _vectors(self.counts.stages[-1].vocabulary)
+        """As ``transform``, for rows of ``count_terms`` or ``pack_terms``; the counts are left out."""
+        packed = isinstance(counted.schema["_counts"].dataType, T.StructType)
+        vectors = (_packed_vectors if packed else _vectors)(self.counts.stages[-1].vocabulary)
         return self._scored(self._weighted(counted.withColumn("_tf", vectors("_counts"))), [c for c in counted.columns if c != "_counts"])
 
     def save(self, path: str) -> None:
@@ -450,35 +553,46 @@ def run_cycle(
 ) -> tuple[DataFrame, TextClassifier]:
     """Fit, evaluate, query, move rows; one history row per evaluation.
 
-    Texts are counted into terms and written once.  A round reads what it needs of them:
-    labelled rows are the seed and those whose ids were drawn, at most ``batch`` a
-    round, which are all that a round writes.
+    Texts are written once with their terms counted and packed, which every round scores.
+    Labelled rows are the seed and those whose ids were drawn, at most ``batch`` a round:
+    the terms of new ones are counted from their texts and kept.
     """
     spark = seed_rows.sparkSession
 
-    def counted(df: DataFrame, seeded: bool) -> DataFrame:
-        return count_terms(df.select(id_col, F.col(text_col).alias("text"), F.col(label_col).cast("string").alias("_label"), F.lit(seeded).alias("_seeded")))
-
-    every = cut(counted(seed_rows, True).unionByName(counted(pool, False)))
-    held_out = None if test is None else cut(counted(test, False))
-    drawn: DataFrame | None = None
-    history, fitted = [], None
-    for iteration in range(n_iterations + 1):
-        labelled, rest = every.filter("_seeded"), every.filter("not _seeded")
-        if drawn is not None:
-            labelled = labelled.unionByName(rest.join(drawn, id_col, "left_semi"))
-            rest = rest.join(drawn, id_col, "left_anti")
-        fitted = fit_counted(labelled, model=model, max_terms=max_terms)
-        scored = fitted.transform_counted(labelled if held_out is None else held_out)
-        m = evaluate(scored, "_label", "predicted", labelled.select("_label").distinct()).first()
-        history.append((iteration, labelled.count(), m["accuracy"], m["f1"], strategy))
-        if iteration == n_iterations:
-            break
-        candidates = rest if strategy == "random" else fitted.transform_counted(rest)
-        fresh = cut(query(candidates, strategy, batch, id_col, seed=f"{seed}-{iteration}").select(id_col))
-        if fresh.isEmpty():
-            break
-        drawn = fresh if drawn is None else drawn.unionByName(fresh)
+    def packed(df: DataFrame, seeded: bool) -> DataFrame:
+        return pack_terms(df.select(id_col, F.col(text_col).alias("text"), F.col(label_col).cast("string").alias("_label"), F.lit(seeded).alias("_seeded")))
+
+    def kept(rows: DataFrame) -> DataFrame:
+        # They lie in as many tasks as the pool: a few, by id, do for the many small jobs of a fit.
+        return count_terms(rows.select(id_col, "text", "_label").repartition(id_col)).persist()
+
+    with small_batches(spark):
+        every = cut(packed(seed_rows, True).unionByName(packed(pool, False)))
+        held_out = None if test is None else cut(packed(test, False).drop("text"))
+        rest = every.filter("not _seeded")
+        parts = [kept(every.filter("_seeded"))]
+        history, fitted = [], None
+        try:
+            for iteration in range(n_iterations + 1):
+                labelled = reduce(DataFrame.unionByName, parts)
+                fitted = fit_counted(labelled, model=model, max_terms=max_terms)
+                scored = fitted.transform_counted(labelled if held_out is None else held_out)
+                m = evaluate(scored, "_label", "predicted", labelled.select("_label").distinct()).first()
+                history.append((iteration, labelled.count(), m["accuracy"], m["f1"], strategy))
+                if iteration == n_iterations:
+                    break
+                candidates = rest if strategy == "random" else fitted.transform_counted(rest.drop("text"))
+                fresh = cut(query(candidates, strategy, batch, id_col, seed=f"{seed}-{iteration}").select(id_col))
+                if fresh.isEmpty():
+                    break
+                parts.append(kept(rest.join(fresh, id_col, "left_semi")))
+                rest = rest.join(fresh, id_col, "left_anti")
+        finally:
+            for part in parts:
+                part.unpersist()
+            for table in (every, held_out):
+                if table is not None:
+                    drop(table)
     return spark.createDataFrame(history, HISTORY), fitted
 
 
